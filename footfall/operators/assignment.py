@@ -102,14 +102,17 @@ def ticket_at(
     only when they are few, in all and per device.
     """
     if plan == "auto":
-        plan, intervals = _choose_plan(sensor, intervals)
+        plan, intervals = choose_plan(sensor, intervals)
     if plan == "broadcast":
         return _by_broadcast(sensor, intervals)
     return _by_marks(sensor, intervals, slice_rows)
 
 
-def _choose_plan(sensor: DataFrame, intervals: DataFrame) -> tuple[str, DataFrame]:
-    if sensor.isStreaming or plan_bytes(sensor) <= WHOLE_INPUT_BYTES:
+def choose_plan(
+    sensor: DataFrame, intervals: DataFrame, small_input: int = WHOLE_INPUT_BYTES
+) -> tuple[str, DataFrame]:
+    """The plan for ``ticket_at``, and the intervals to use with it."""
+    if sensor.isStreaming or plan_bytes(sensor) <= small_input:
         return "marks", intervals
     intervals = written(intervals, "device_assignments")
     size = (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from footfall.functions.patterns import (
     glob_match,
-    glob_to_regex,
     key_prefix,
     last_segment,
     specificity,
@@ -64,25 +63,22 @@ def route(raw: DataFrame, rules=RULES, keep_unmatched: bool = False) -> DataFram
 def rule_matches(raw: DataFrame, rules=RULES) -> DataFrame:
     """Every rule that matches each event, with its rank (0 wins).
 
-    The rules are an array literal filtered per row, so rows multiply only by true matches.
+    Each row gets an array of its hits, so rows multiply only by true matches.
     """
-    entries = F.array(
+    hits = F.array(
         *[
-            F.struct(
-                F.lit(rule.name).alias("rule"),
-                F.lit(rule.source_type).alias("rule_type"),
-                F.lit(glob_to_regex(rule.pattern)).alias("regex"),
-                F.lit(rule.target_table).alias("target_table"),
-                F.lit(rank).cast("bigint").alias("rank"),
+            F.when(
+                _hit(rule),
+                F.struct(
+                    F.lit(rule.name).alias("rule"),
+                    F.lit(rule.target_table).alias("target_table"),
+                    F.lit(rank).cast("bigint").alias("rank"),
+                ),
             )
             for rank, rule in _ordered(rules)
         ]
     )
-    hits = F.filter(
-        entries,
-        lambda r: (r["rule_type"] == F.col("source_type")) & F.col("key").rlike(r["regex"]),
-    )
-    return raw.select("*", F.explode(hits).alias("_hit")).select(
+    return raw.select("*", F.explode(F.array_compact(hits)).alias("_hit")).select(
         *raw.columns, "_hit.rule", "_hit.target_table", "_hit.rank"
     )
 

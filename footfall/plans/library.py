@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import profile, visitor_queries as vq
 from footfall.plans.registry import query
-from footfall.plans.views import feed, rounded, sql, tables, visits
+from footfall.plans.views import feed, rounded, sql, table, visits
 from footfall.rules import STATE
 
 WIDE = ", ".join(vq.WIDE)
@@ -195,13 +195,13 @@ def e12(spark, sf):
 SELECT count(DISTINCT state_key) AS unique_keys, count(*) AS total_rows FROM global_state_events
 WHERE state_key LIKE '%DeviceID%'"""))
 def e13(spark, sf):
-    return profile.state_check(tables(spark, sf)[STATE], "DeviceID")
+    return profile.state_check(table(spark, sf, STATE), "DeviceID")
 
 
 @query("e13_state_check_keys", sql(
     "SELECT state_key, count(*) AS key_rows FROM global_state_events GROUP BY state_key"))
 def e13_keys(spark, sf):
-    return profile.state_check_keys(tables(spark, sf)[STATE])
+    return profile.state_check_keys(table(spark, sf, STATE))
 
 
 @query("e14_table_totals", sql("""
@@ -218,7 +218,7 @@ SELECT 'global_state_events', count(*), count(DISTINCT state_key) FROM global_st
 def e15(spark, sf):
     return profile.table_stats({
         "visitor_events": (visits(spark, sf), "device_id"),
-        "global_state_events": (tables(spark, sf)[STATE], "state_key"),
+        "global_state_events": (table(spark, sf, STATE), "state_key"),
     })
 
 

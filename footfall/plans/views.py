@@ -35,14 +35,17 @@ def intervals(spark: SparkSession, sf: str) -> DataFrame:
     return assignment_intervals(assignment_log(feed(spark, sf)))
 
 
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """One target table, with ``seq``."""
+    if name == STATE:
+        return state_rows(routed(spark, sf))
+    make = {EMPATICA: empatica_rows, BLUEIOT: blueiot_rows}[name]
+    return make(routed(spark, sf), intervals(spark, sf))
+
+
 def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The three target tables, in table order, with ``seq``."""
-    events_routed, held = routed(spark, sf), intervals(spark, sf)
-    return {
-        EMPATICA: empatica_rows(events_routed, held),
-        BLUEIOT: blueiot_rows(events_routed, held),
-        STATE: state_rows(events_routed),
-    }
+    """The three target tables, in table order."""
+    return {name: table(spark, sf, name) for name in (EMPATICA, BLUEIOT, STATE)}
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -172,19 +175,19 @@ CTES = {
     "live_blueiot": _POS.format(source="live", intervals="live_intervals"),
     "live_state": _STATE.format(source="live"),
     "replay": """
-  SELECT epoch_ms(event_timestamp) AS timestamp, 'channel' AS type,
+  SELECT epoch_us(event_timestamp) // 1000 AS timestamp, 'channel' AS type,
     'Wearables:WatchDevices:' || device_id || ':BioSensors' AS key,
     CASE WHEN payload_ok THEN '{"Heart_Rate_Value":' || CAST(heart_rate AS BIGINT) || ',"Steps":' || steps || '}'
          ELSE '{}' END AS text,
     'json' AS value_type, CAST(NULL AS BIGINT) AS ttl, seq, 0 AS table_rank
   FROM empatica
   UNION ALL
-  SELECT epoch_ms(event_timestamp), 'channel', 'Wearables:WatchDevices:' || device_id || ':BlueIoTSensors',
+  SELECT epoch_us(event_timestamp) // 1000, 'channel', 'Wearables:WatchDevices:' || device_id || ':BlueIoTSensors',
     '{"BlueIoT_Position":[' || CAST(position_x AS BIGINT) || '.0,' || CAST(position_y AS BIGINT) ||
     '.0],"Room_ID":' || room || '}', 'json', NULL, seq, 1
   FROM blueiot
   UNION ALL
-  SELECT epoch_ms(event_timestamp), event_source_type, state_key, state_value,
+  SELECT epoch_us(event_timestamp) // 1000, event_source_type, state_key, state_value,
     CASE WHEN state_key LIKE 'Rooms:%' THEN 'int' ELSE 'string' END, ttl_seconds, seq, 2
   FROM global_state_events
 """,

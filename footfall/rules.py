@@ -246,8 +246,8 @@ def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
 
 
 def java_regex(regex: str) -> str:
-    """Python named groups written the way the JVM reads them."""
-    return regex.replace("(?P<", "(?<")
+    """The regex with its named groups as plain ones (JVM group names allow no ``_``)."""
+    return re.sub(r"\(\?P<\w+>", "(", regex)
 
 
 def group_number(regex: str | None, name: str) -> int | None:

@@ -66,7 +66,6 @@ def plan_bytes(df: DataFrame) -> int:
     of the files and multiplies the sides of joins, it errs towards large.
     """
     try:
-        size = df._jdf.queryExecution().analyzed().stats().sizeInBytes()
-        return int(size.toString())
-    except Exception:  # e.g. a remote session: treat the frame as large
+        return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
+    except AttributeError:  # a remote session has no such handle: treat the frame as large
         return 1 << 62

@@ -26,8 +26,11 @@ def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1)
     )
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def _with_k(events: DataFrame) -> DataFrame:
+    """Adds ``k``. As a generated column it is parsed once per row; a plain one would be
+    copied into every filter and projection that uses it."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    return events.select("*", F.explode(F.array(k)).alias("k"))
 
 
 def _device() -> Column:
@@ -46,7 +49,7 @@ def visitor_events(events: DataFrame) -> DataFrame:
     def unless(name: str, value: Column) -> Column:
         return F.when(kind != name, value)
 
-    return events.withColumn("k", _k()).select(
+    return _with_k(events).select(
         "event_id",
         F.col("ts").alias("event_timestamp"),
         _device().alias("device_id"),
@@ -88,23 +91,31 @@ def raw_events(events: DataFrame, uuid_tickets: bool = False) -> DataFrame:
         _text('{"Heart_Rate_Value":', k, ',"Steps":', eid % 50, "}")
     )
     position = _text('{"BlueIoT_Position":[', k, ",", eid % 100, '],"Room_ID":', k % 8, "}")
-    return events.withColumn("k", _k()).select(
-        eid.alias("seq"),
-        F.col("ts").alias("event_timestamp"),
-        F.when(kind.isin("click", "view"), "channel").otherwise("key").alias("source_type"),
-        pick(
-            _text("Wearables:WatchDevices:", device, ":BioSensors"),
-            _text("Wearables:WatchDevices:", device, ":BlueIoTSensors"),
-            _text("Visitors:", ticket, ":EmpaticaDeviceID"),
-            _text("Visitors:", ticket, ":Status"),
-            _text("Rooms:", F.col("user_id") % 8, ":Lighting:Brightness"),
-        ).alias("key"),
-        pick(
-            bio,
-            position,
-            F.when(k % 10 == 0, "").otherwise(device),
-            F.when(k % 4 == 0, "Inactive").otherwise("Active"),
-            _text(k % 3),
-        ).alias("value"),
-        F.when(kind == "error", F.lit(-1).cast("bigint")).when(kind == "purchase", k).alias("ttl"),
+    key = pick(
+        _text("Wearables:WatchDevices:", device, ":BioSensors"),
+        _text("Wearables:WatchDevices:", device, ":BlueIoTSensors"),
+        _text("Visitors:", ticket, ":EmpaticaDeviceID"),
+        _text("Visitors:", ticket, ":Status"),
+        _text("Rooms:", F.col("user_id") % 8, ":Lighting:Brightness"),
+    )
+    value = pick(
+        bio,
+        position,
+        F.when(k % 10 == 0, "").otherwise(device),
+        F.when(k % 4 == 0, "Inactive").otherwise("Active"),
+        _text(k % 3),
+    )
+    # Generated too: the texts are built once, however many rules look at them.
+    message = F.explode(F.array(F.struct(key.alias("key"), value.alias("value"))))
+    return (
+        _with_k(events)
+        .select("*", message.alias("_m"))
+        .select(
+            eid.alias("seq"),
+            F.col("ts").alias("event_timestamp"),
+            F.when(kind.isin("click", "view"), "channel").otherwise("key").alias("source_type"),
+            "_m.key",
+            "_m.value",
+            F.when(kind == "error", F.lit(-1).cast("bigint")).when(kind == "purchase", k).alias("ttl"),
+        )
     )
