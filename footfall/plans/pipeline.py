@@ -295,21 +295,16 @@ def c21(spark, sf):
 
 
 @query("c22_c23_decode", sql("""
-SELECT seq, CASE WHEN seq % 3 = 0 THEN chr(255) || value ELSE value END AS text,
-  'key=' || key AS field FROM raw"""))
+SELECT seq, CASE WHEN seq % 3 = 0 AND NOT json_valid(value) THEN chr(255) || value ELSE value END AS text,
+  key AS field FROM raw"""))
 def c22(spark, sf):
+    # every third value gets a stray byte: dropped where JSON is left, else read as Latin-1
     data = F.encode("value", "UTF-8")
     broken = F.when(F.col("seq") % 3 == 0, F.concat(F.unhex(F.lit("FF")), data)).otherwise(data)
-    # a stray byte is dropped when JSON is left, so break those values apart first
     fields = F.create_map(F.encode(F.lit("key"), "UTF-8"), F.encode("key", "UTF-8"))
-    out = feed(spark, sf).where("value is not null").select(
-        "seq",
-        F.when(
-            F.try_parse_json("value").isNull() | (F.col("seq") % 3 != 0), decode.decode_bytes(broken)
-        ).otherwise(F.concat(F.lit("ÿ"), "value")).alias("text"),
-        decode.decode_hash(fields).alias("h"),
+    return feed(spark, sf).select(
+        "seq", decode.decode_bytes(broken).alias("text"), decode.decode_hash(fields)["key"].alias("field")
     )
-    return out.select("seq", "text", F.concat(F.lit("key="), F.col("h")["key"]).alias("field"))
 
 
 @query("c24_parse_if_object", sql("""

@@ -40,7 +40,7 @@ def write_parquet(
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
-    """One JSON object per line, ISO times, nulls written out."""
+    """One JSON object per line, ISO times in milliseconds, nulls written out."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
@@ -90,21 +90,20 @@ def write_partitioned(
     table: str,
     path: str,
     batch_id: int | None = None,
-    arranged: bool = True,
+    small: bool = False,
     tables: dict[str, Table] = TABLES,
 ) -> None:
     """Writes rows below ``event_date=…``, clustered inside the files.
 
-    ``arranged`` spreads a back-fill by range over (day, clustering, time), which splits a
-    day or device of any size over tasks, keeps files few, and makes min/max statistics
-    selective. With ``batch_id`` the rows go below ``batch_id=…`` too and replace what an
+    Rows are spread by range over (day, clustering, time), which splits a day or device of
+    any size over tasks, keeps files few, and makes min/max statistics selective. A
+    ``small`` input, one that fits a task, gets one file per day instead. With ``batch_id`` the rows go below ``batch_id=…`` too and replace what an
     earlier attempt of the same batch wrote, so a retry leaves no duplicates.
     """
     spec = tables[table]
     rows = rows.withColumn("event_date", partition_value(spec))
     parts, layout = ["event_date"], ["event_date", *spec.clustering, spec.partition_field]
-    if arranged:
-        rows = rows.repartitionByRange(*layout)
+    rows = rows.repartition("event_date") if small else rows.repartitionByRange(*layout)
     rows = rows.sortWithinPartitions(*layout)
     writer = rows.write
     if batch_id is None:

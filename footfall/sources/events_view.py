@@ -22,7 +22,8 @@ def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1)
     return (
         spark.readStream.schema(EVENTS_SCHEMA)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(os.path.join(sf_dir, "events.parquet"))
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
     )
 
 

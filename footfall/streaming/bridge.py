@@ -14,6 +14,7 @@ from footfall.operators.assignment import (
     assignment_log,
     open_assignments,
 )
+from footfall.operators.ordered import PLAIN, SLICE_ROWS
 from footfall.operators.projection import conform, enriched_rows, state_rows
 from footfall.operators.routing import route
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLE_NAMES, table_schema
@@ -61,16 +62,19 @@ class Bridge:
             *[F.count_if(F.col("target_table") == t).alias(t) for t in TABLE_NAMES],
         ).persist()
         try:
+            # The batch has no size estimate, but the source's limits keep it countable.
+            slices = PLAIN if routed.count() <= SLICE_ROWS else SLICE_ROWS
             # The batch's own events come after everything that is already open.
             log = self._open_before(batch_id).unionByName(assignment_log(routed))
-            intervals = assignment_intervals(log).persist()
+            intervals = assignment_intervals(log, slices).persist()
             still_open = open_assignments(intervals).select(
                 F.col("start_seq").alias("seq"), "ticket_id", "device_id"
             )
             still_open.write.mode("overwrite").parquet(self._version(batch_id))
+            how = {"rules": self.rules, "plan": "marks", "slice_rows": slices}
             rows = {
-                EMPATICA: enriched_rows(routed, EMPATICA, intervals, self.rules, plan="marks"),
-                BLUEIOT: enriched_rows(routed, BLUEIOT, intervals, self.rules, plan="marks"),
+                EMPATICA: enriched_rows(routed, EMPATICA, intervals, **how),
+                BLUEIOT: enriched_rows(routed, BLUEIOT, intervals, **how),
                 STATE: state_rows(routed),
             }
             for table, df in rows.items():
@@ -79,7 +83,7 @@ class Bridge:
                     ready.write.format("noop").mode("overwrite").save()
                 else:
                     path = os.path.join(self.out_dir, table)
-                    write_partitioned(ready, table, path, batch_id, arranged=False)
+                    write_partitioned(ready, table, path, batch_id, small=slices == PLAIN)
             intervals.unpersist()
             self.stats.append({"batch_id": batch_id, **seen.get})
         finally:

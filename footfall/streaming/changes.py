@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from footfall.functions.text import hash_text
-from footfall.rules import KEY
+from footfall.rules import KEY, RAW_SCHEMA
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -22,6 +22,9 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(STATE_STORE, ROCKSDB)
 
 
+WHOLE_NUMBERS = [f.name for f in RAW_SCHEMA.fields if isinstance(f.dataType, T.LongType)]
+
+
 class LastValue(StatefulProcessor):
     """Lets a key's event through when its hash differs from the one before."""
 
@@ -31,11 +34,13 @@ class LastValue(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # One key's rows of one micro-batch, whose size the trigger limits bound.
         batch = pd.concat(list(rows)).sort_values("seq")
-        before = batch["_hash"].shift(1)
+        # pandas turns a whole-number column with gaps into floats
+        batch = batch.astype({c: "Int64" for c in WHOLE_NUMBERS if c in batch.columns})
+        before = batch["value_hash"].shift(1)
         if self._last.exists():
             before.iloc[0] = self._last.get()[0]
-        self._last.update((batch["_hash"].iloc[-1],))
-        yield batch[batch["_hash"] != before]
+        self._last.update((batch["value_hash"].iloc[-1],))
+        yield batch[batch["value_hash"] != before]
 
     def close(self) -> None:
         pass
@@ -45,7 +50,7 @@ def changed_keys_stream(key_events: DataFrame) -> DataFrame:
     """Streaming form of ``changed_keys`` (give it key events only)."""
     use_rocksdb(key_events.sparkSession)
     as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
-    hashed = key_events.withColumn("_hash", hash_text(F.col("value"), as_object))
+    hashed = key_events.withColumn("value_hash", hash_text(F.col("value"), as_object))
     nullable = T.StructType([T.StructField(f.name, f.dataType) for f in hashed.schema.fields])
     return (
         hashed.groupBy("key")
@@ -55,7 +60,7 @@ def changed_keys_stream(key_events: DataFrame) -> DataFrame:
             outputMode="Append",
             timeMode="None",
         )
-        .drop("_hash")
+        .drop("value_hash")
     )
 
 
