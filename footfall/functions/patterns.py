@@ -42,9 +42,10 @@ def glob_match(text: Column, pattern: str) -> Column:
     """Case-sensitive glob match; an exact pattern is a plain comparison."""
     if not any(c in pattern for c in "*?["):
         return text == F.lit(pattern)
-    simple = pattern[:-1]
-    if pattern.endswith("*") and not any(c in simple for c in "*?["):
-        return text.startswith(simple)
+    if pattern.count("*") == 1 and not any(c in pattern for c in "?["):
+        head, tail = pattern.split("*")
+        hit = text.startswith(head)
+        return hit & text.endswith(tail) & (F.length(text) >= len(head + tail)) if tail else hit
     return text.rlike(glob_to_regex(pattern))
 
 

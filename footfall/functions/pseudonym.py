@@ -82,7 +82,8 @@ def fake_text(text: Column, salt: str, with_scent: bool, start: str = WORD_START
     pieces = F.zip_with(
         F.split(text, regex, -1), found, lambda rest, t: F.concat(rest, F.coalesce(t, F.lit("")))
     )
-    return F.array_join(pieces, "")
+    # most texts hold no id: one search decides
+    return F.when(text.rlike(regex), F.array_join(pieces, "")).otherwise(text)
 
 
 def fake_value(key: Column, text: Column, value_type: Column, salt: str) -> Column:
@@ -93,9 +94,10 @@ def fake_value(key: Column, text: Column, value_type: Column, salt: str) -> Colu
     """
 
     def rewrite(with_scent: bool) -> Column:
-        inside_json = map_json_text(
-            text, inside=lambda s: fake_text(s, salt, with_scent, JSON_WORD_START)
-        )
+        inside_json = F.when(
+            text.rlike(_embedded(JSON_WORD_START, with_scent)),
+            map_json_text(text, inside=lambda s: fake_text(s, salt, with_scent, JSON_WORD_START)),
+        ).otherwise(text)
         return (
             F.when(value_type == "string", fake_text(text, salt, with_scent))
             .when(value_type == "json", inside_json)

@@ -8,22 +8,14 @@ from pyspark.sql import functions as F
 from footfall.functions.patterns import segment
 from footfall.functions.text import canonical_text, coerce
 from footfall.operators.assignment import ticket_at
-from footfall.operators.routing import device_id
-from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLES, table_schema
+from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLES, table_schema
 
 POSITION_FIELD = "BlueIoT_Position"
 
 
-def payload(value: Column) -> Column:
-    return F.try_parse_json(value)
-
-
-def payload_ok(parsed: Column) -> Column:
+def payload_ok(parsed: Column, text: Column) -> Column:
     """Objects, lists and texts can be looked into; bad JSON and bare scalars cannot."""
-    kind = F.schema_of_variant(parsed)
-    return parsed.isNotNull() & (
-        kind.startswith("OBJECT") | kind.startswith("ARRAY") | (kind == "STRING")
-    )
+    return parsed.isNotNull() & F.substring(F.ltrim(text), 1, 1).isin("{", "[", '"')
 
 
 def payload_columns(parsed: Column, table: str, tables=TABLES) -> list[Column]:
@@ -40,42 +32,52 @@ def payload_columns(parsed: Column, table: str, tables=TABLES) -> list[Column]:
     return out
 
 
-def sensor_rows(routed: DataFrame, table: str, rules=RULES) -> DataFrame:
-    """Rows of a sensor table before the ticket is known, with ``seq`` and ``payload_ok``.
-
-    An event whose device id cannot be read is dropped; one with a bad payload keeps its
-    device id only.
-    """
-    parsed = F.col("_payload")
-    rows = (
-        routed.where(F.col("target_table") == table)
-        .withColumn("device_id", device_id(rules))
-        .where(F.col("device_id").isNotNull())
-        .withColumn("_payload", payload(F.col("value")))
-    )
-    return rows.select(
-        "seq",
-        "event_timestamp",
-        "device_id",
-        payload_ok(parsed).alias("payload_ok"),
-        *payload_columns(parsed, table),
-    )
+def sensor_events(routed: DataFrame) -> DataFrame:
+    """Events of all sensor tables that name their device; the others are dropped."""
+    return routed.where(
+        F.col("target_table").isin(EMPATICA, BLUEIOT) & F.col("device_id").isNotNull()
+    ).select("seq", "event_timestamp", "target_table", "device_id", "value")
 
 
-def enriched_rows(
+def enriched_events(
     routed: DataFrame,
-    table: str,
     intervals: DataFrame,
-    rules=RULES,
     plan: str = "auto",
     slice_rows: int | None = None,
 ) -> DataFrame:
-    """Sensor rows with the ticket that held the device at that moment.
+    """Sensor events with the ticket that held the device at that moment.
 
-    No ticket is looked up for a row whose payload could not be read.
+    One look-up for all sensor tables: where a query uses several of them, Spark finds the
+    same exchange in each and runs it once.
     """
-    rows = ticket_at(sensor_rows(routed, table, rules), intervals, plan, slice_rows)
-    return rows.withColumn("ticket_id", F.when(F.col("payload_ok"), F.col("ticket_id")))
+    return ticket_at(sensor_events(routed), intervals, plan, slice_rows)
+
+
+def sensor_table(sensors: DataFrame, table: str) -> DataFrame:
+    """Rows of one sensor table, with ``seq`` and ``payload_ok``.
+
+    An event with a bad payload keeps its device id only; no ticket is given to it.
+    """
+    parsed = F.col("_payload")
+    rows = sensors.where(F.col("target_table") == table).withColumn(
+        "_payload", F.try_parse_json("value")
+    )
+    ok = payload_ok(parsed, F.col("value"))
+    ticket = [F.when(ok, F.col("ticket_id")).alias("ticket_id")] if "ticket_id" in sensors.columns else []
+    return rows.select(
+        "seq", "event_timestamp", "device_id", ok.alias("payload_ok"),
+        *payload_columns(parsed, table), *ticket,
+    )
+
+
+def sensor_rows(routed: DataFrame, table: str) -> DataFrame:
+    """Rows of a sensor table before the ticket is known."""
+    return sensor_table(sensor_events(routed), table)
+
+
+def enriched_rows(routed: DataFrame, table: str, intervals: DataFrame, **how) -> DataFrame:
+    """Rows of a sensor table with their ticket."""
+    return sensor_table(enriched_events(routed, intervals, **how), table)
 
 
 def empatica_rows(routed, intervals, **how) -> DataFrame:
@@ -127,9 +129,9 @@ def nested_record(text: Column, schema) -> Column:
     return F.from_json(text, schema)
 
 
-def assembly_counts(routed: DataFrame, rules=RULES) -> DataFrame:
+def assembly_counts(routed: DataFrame) -> DataFrame:
     """Events per target table: kept, skipped for want of any data, and the skip rate."""
-    keeps = (F.col("target_table") == STATE) | device_id(rules).isNotNull()
+    keeps = (F.col("target_table") == STATE) | F.col("device_id").isNotNull()
     skipped = F.count_if(~keeps)
     return routed.groupBy("target_table").agg(
         F.count("*").alias("events"),

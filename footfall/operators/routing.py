@@ -43,10 +43,11 @@ def first_match(rules, value) -> Column:
 
 
 def route(raw: DataFrame, rules=RULES, keep_unmatched: bool = False) -> DataFrame:
-    """Adds ``rule``, ``target_table`` and ``value_is_object``; unmatched events drop out.
+    """Adds ``rule``, ``target_table``, ``value_is_object`` and the sensor's ``device_id``.
 
-    The rules are configuration, so the match is one expression evaluated in the scan's
-    stage: no join, and the same plan for batch and stream.
+    Unmatched events drop out. The rules are configuration, so the match is one expression
+    in the scan's stage: no join, and the same plan for batch and stream. It is generated,
+    because a plain column would be copied into every later filter on the target table.
     """
     target = first_match(
         rules,
@@ -54,9 +55,11 @@ def route(raw: DataFrame, rules=RULES, keep_unmatched: bool = False) -> DataFram
             F.lit(r.name).alias("rule"),
             F.lit(r.target_table).alias("target_table"),
             F.lit(r.value_is_object).alias("value_is_object"),
+            device_of(r).alias("device_id"),
         ),
     )
-    out = raw.withColumn("_route", target).select(*raw.columns, "_route.*")
+    generated = F.explode(F.array(target)).alias("_route")
+    out = raw.select("*", generated).select(*raw.columns, "_route.*")
     return out if keep_unmatched else out.where(F.col("target_table").isNotNull())
 
 
@@ -134,16 +137,12 @@ def row_id(rules=RULES) -> Column:
     return by_rule(rules, of)
 
 
-def device_id(rules=RULES) -> Column:
-    """Device id of a routed sensor event, null when the regex misses or finds nothing."""
-
-    def of(rule: Rule) -> Column:
-        number = group_number(rule.id_regex, "device_id")
-        if rule.target_table == STATE or not number:
-            return F.lit(None).cast("string")
-        return F.nullif(F.regexp_extract("key", "^" + java_regex(rule.id_regex), number), F.lit(""))
-
-    return by_rule(rules, of)
+def device_of(rule: Rule) -> Column:
+    """Device id that a sensor rule reads from the key; null on a miss or an empty id."""
+    number = group_number(rule.id_regex, "device_id")
+    if rule.target_table == STATE or not number:
+        return F.lit(None).cast("string")
+    return F.nullif(F.regexp_extract("key", "^" + java_regex(rule.id_regex), number), F.lit(""))
 
 
 def by_rule(rules, value) -> Column:

@@ -9,7 +9,7 @@ from footfall.operators import assignment, changes, projection, routing
 from footfall.operators import export as ex
 from footfall.operators import profile, replay
 from footfall.plans.registry import query
-from footfall.plans.views import feed, intervals, routed, sql, table, tables, visits
+from footfall.plans.views import feed, intervals, routed, routed_and_held, sql, table, tables, visits
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, rules_frame
 from footfall.session import work_path
 from footfall.sinks import writers
@@ -203,8 +203,7 @@ def c7(spark, sf):
 @query("c8_device_ids", sql("""
 SELECT seq, split_part(key, ':', 3) AS device_id FROM raw WHERE event_type IN ('click', 'view')"""))
 def c8(spark, sf):
-    found = routed(spark, sf).select("seq", routing.device_id().alias("device_id"))
-    return found.where(F.col("device_id").isNotNull())
+    return routed(spark, sf).where(F.col("device_id").isNotNull()).select("seq", "device_id")
 
 
 @query("c9_i8_data_types", sql("""
@@ -472,39 +471,29 @@ def f7(spark, sf):
     return changes.changed_keys(feeds.key_events(feed(spark, sf)))
 
 
-ENRICHED = """
-SELECT seq, 'empatica' AS table_name, device_id, ticket_id FROM empatica
-UNION ALL SELECT seq, 'blueiot', device_id, ticket_id FROM blueiot"""
+def _found(events):
+    return events.select("seq", F.col("target_table").alias("table_name"), "device_id", "ticket_id")
 
 
-def _enriched(spark, sf, **how):
-    made, held = routed(spark, sf), intervals(spark, sf)
-    parts = [
-        projection.enriched_rows(made, t, held, **how).select(
-            "seq", F.lit(t).alias("table_name"), "device_id", "ticket_id"
-        )
-        for t in (EMPATICA, BLUEIOT)
-    ]
-    return parts[0].unionByName(parts[1])
+ENRICHED = """
+SELECT r.seq, CASE r.event_type WHEN 'click' THEN 'empatica' ELSE 'blueiot' END AS table_name,
+  split_part(r.key, ':', 3) AS device_id, i.ticket_id
+FROM raw r LEFT JOIN intervals i ON i.device_id = split_part(r.key, ':', 3)
+  AND r.seq >= i.start_seq AND (i.end_seq IS NULL OR r.seq < i.end_seq)
+WHERE r.event_type IN ('click', 'view')"""
 
 
 @query("d1_asof_enrichment", sql(ENRICHED))
 def d1(spark, sf):
-    return _enriched(spark, sf)
+    return _found(projection.enriched_events(*routed_and_held(spark, sf)))
 
 
-@query("d1_asof_enrichment_broadcast", sql(ENRICHED))
-def d1_broadcast(spark, sf):
-    """The plan that ``auto`` takes for big input once the intervals have been counted."""
-    made, held = routed(spark, sf), intervals(spark, sf)
+@query("d1_asof_enrichment_checked", sql(ENRICHED))
+def d1_checked(spark, sf):
+    """As for big input: the intervals are written and counted, then joined or merged."""
+    made, held = routed_and_held(spark, sf)
     plan, held = assignment.choose_plan(made, held, small_input=0)
-    parts = [
-        projection.enriched_rows(made, t, held, plan=plan).select(
-            "seq", F.lit(t).alias("table_name"), "device_id", "ticket_id"
-        )
-        for t in (EMPATICA, BLUEIOT)
-    ]
-    return parts[0].unionByName(parts[1])
+    return _found(projection.enriched_events(made, held, plan=plan))
 
 
 @query("d2_open_assignments", sql(
@@ -518,8 +507,9 @@ SELECT g.seq, g.ticket_id, i.device_id FROM global_state_events g LEFT JOIN inte
   ON i.ticket_id = g.ticket_id AND g.seq >= i.start_seq AND (i.end_seq IS NULL OR g.seq < i.end_seq)
 WHERE g.ticket_id IS NOT NULL"""))
 def d2(spark, sf):
-    asked = table(spark, sf, STATE).where("ticket_id is not null").select("seq", "ticket_id")
-    return assignment.device_at(asked, intervals(spark, sf))
+    made, held = routed_and_held(spark, sf)
+    asked = projection.state_rows(made).where("ticket_id is not null").select("seq", "ticket_id")
+    return assignment.device_at(asked, held)
 
 
 @query("d6_rule_matches", sql("""

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.assignment import assignment_intervals, assignment_log
-from footfall.operators.projection import blueiot_rows, empatica_rows, state_rows
+from footfall.operators.projection import (
+    enriched_events,
+    enriched_rows,
+    sensor_table,
+    state_rows,
+)
 from footfall.operators.routing import route
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.sources.events_view import events, raw_events, visitor_events
@@ -35,17 +40,26 @@ def intervals(spark: SparkSession, sf: str) -> DataFrame:
     return assignment_intervals(assignment_log(feed(spark, sf)))
 
 
+def routed_and_held(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The routed feed and the assignment intervals of the same feed."""
+    raw = feed(spark, sf)
+    return route(raw), assignment_intervals(assignment_log(raw))
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One target table, with ``seq``."""
     if name == STATE:
         return state_rows(routed(spark, sf))
-    make = {EMPATICA: empatica_rows, BLUEIOT: blueiot_rows}[name]
-    return make(routed(spark, sf), intervals(spark, sf))
+    made, held = routed_and_held(spark, sf)
+    return enriched_rows(made, name, held)
 
 
 def tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The three target tables, in table order."""
-    return {name: table(spark, sf, name) for name in (EMPATICA, BLUEIOT, STATE)}
+    """The three target tables, in table order, with one look-up for both sensor tables."""
+    made, held = routed_and_held(spark, sf)
+    sensors = enriched_events(made, held)
+    out = {name: sensor_table(sensors, name) for name in (EMPATICA, BLUEIOT)}
+    return {**out, STATE: state_rows(made)}
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:

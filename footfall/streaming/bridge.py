@@ -15,7 +15,7 @@ from footfall.operators.assignment import (
     open_assignments,
 )
 from footfall.operators.ordered import PLAIN, SLICE_ROWS
-from footfall.operators.projection import conform, enriched_rows, state_rows
+from footfall.operators.projection import conform, enriched_events, sensor_table, state_rows
 from footfall.operators.routing import route
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLE_NAMES, table_schema
 from footfall.sinks.writers import write_partitioned
@@ -71,12 +71,9 @@ class Bridge:
                 F.col("start_seq").alias("seq"), "ticket_id", "device_id"
             )
             still_open.write.mode("overwrite").parquet(self._version(batch_id))
-            how = {"rules": self.rules, "plan": "marks", "slice_rows": slices}
-            rows = {
-                EMPATICA: enriched_rows(routed, EMPATICA, intervals, **how),
-                BLUEIOT: enriched_rows(routed, BLUEIOT, intervals, **how),
-                STATE: state_rows(routed),
-            }
+            sensors = enriched_events(routed, intervals, "marks", slices).persist()
+            rows = {t: sensor_table(sensors, t) for t in (EMPATICA, BLUEIOT)}
+            rows[STATE] = state_rows(routed)
             for table, df in rows.items():
                 ready = conform(df, table)
                 if self.dry_run:
@@ -84,7 +81,8 @@ class Bridge:
                 else:
                     path = os.path.join(self.out_dir, table)
                     write_partitioned(ready, table, path, batch_id, small=slices == PLAIN)
-            intervals.unpersist()
+            for used in (intervals, sensors):
+                used.unpersist()
             self.stats.append({"batch_id": batch_id, **seen.get})
         finally:
             routed.unpersist()
