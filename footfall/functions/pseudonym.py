@@ -89,26 +89,27 @@ def fake_text(text: Column, salt: str, with_scent: bool, start: str = WORD_START
 def fake_value(key: Column, text: Column, value_type: Column, salt: str) -> Column:
     """A record's value with embedded ids replaced.
 
-    Texts are rewritten whole, JSON only inside its strings (member names included), so a
-    number is never changed. Five-digit scent ids count only where the key says ``Scent``.
+    Texts are rewritten whole. In JSON no ticket or watch id can stand outside a string, so
+    its text is rewritten whole too; five-digit scent ids look like numbers, so where the
+    key says ``Scent``, the only place they count, the strings are rewritten one by one.
     """
 
-    def rewrite(with_scent: bool) -> Column:
-        inside_json = F.when(
-            text.rlike(_embedded(JSON_WORD_START, with_scent)),
-            map_json_text(text, inside=lambda s: fake_text(s, salt, with_scent, JSON_WORD_START)),
-        ).otherwise(text)
+    def in_string(part: Column, with_scent: bool) -> Column:
+        return fake_text(part, salt, with_scent, JSON_WORD_START)
+
+    def rewrite(with_scent: bool, json: Column) -> Column:
         return (
             F.when(value_type == "string", fake_text(text, salt, with_scent))
-            .when(value_type == "json", inside_json)
+            .when(value_type == "json", json)
             .otherwise(text)
         )
 
+    strings = map_json_text(text, inside=lambda s: in_string(s, True))
     is_short = key.endswith(SHORT_ID_KEY) & (value_type == "string")
     return (
         F.when(is_short, F.concat(F.lit("F"), text))
-        .when(key.contains("Scent"), rewrite(True))
-        .otherwise(rewrite(False))
+        .when(key.contains("Scent"), rewrite(True, strings))
+        .otherwise(rewrite(False, in_string(text, False)))
     )
 
 

@@ -21,6 +21,9 @@ from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLE_NAMES, table_s
 from footfall.sinks.writers import write_partitioned
 from footfall.streaming.changes import suppress_unchanged_stream
 
+# Versions of the open assignments that are kept. A batch reads the one before its own,
+# and only the newest batch is ever run again.
+SLOTS = 4
 OPEN_SCHEMA = "seq bigint, ticket_id string, device_id string"
 
 
@@ -43,7 +46,7 @@ class Bridge:
     stats: list[dict] = field(default_factory=list)
 
     def _version(self, batch_id: int) -> str:
-        return os.path.join(self.state_dir, "open_assignments", f"version={batch_id}")
+        return os.path.join(self.state_dir, "open_assignments", f"slot={batch_id % SLOTS}")
 
     def _open_before(self, batch_id: int) -> DataFrame:
         if batch_id > 0:
