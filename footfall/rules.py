@@ -6,6 +6,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEY, CHANNEL = "key", "channel"
@@ -236,13 +237,19 @@ def check_table(name: str, raw: dict) -> Table:
 
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
     """The rules as a small table, with their position in the file."""
-    rows = [(i, r.name, r.source_type, r.pattern, r.target_table, r.id_regex, r.value_is_object)
-            for i, r in enumerate(rules)]
-    return spark.createDataFrame(
-        rows,
-        "rule_idx long, name string, source_type string, pattern string, target_table string, "
-        "id_regex string, value_is_object boolean",
-    )
+    entries = [
+        F.struct(
+            F.lit(i).cast("bigint").alias("rule_idx"),
+            F.lit(r.name).alias("name"),
+            F.lit(r.source_type).alias("source_type"),
+            F.lit(r.pattern).alias("pattern"),
+            F.lit(r.target_table).alias("target_table"),
+            F.lit(r.id_regex).cast("string").alias("id_regex"),
+            F.lit(r.value_is_object).alias("value_is_object"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    return spark.range(1).select(F.explode(F.array(*entries)).alias("r")).select("r.*")
 
 
 def java_regex(regex: str) -> str:

@@ -32,29 +32,6 @@ def stream_raw(
     return reader.load(path)
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic_pattern: str) -> DataFrame:
-    """The raw feed from Kafka topics (needs the Kafka connector on the class path).
-
-    The record key is the key or channel, the headers carry ``source_type`` and ``ttl``.
-    """
-    records = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribePattern", topic_pattern)
-        .option("includeHeaders", "true")
-        .load()
-    )
-    headers = F.map_from_entries("headers")
-    return records.select(
-        F.col("offset").alias("seq"),
-        F.col("timestamp").alias("event_timestamp"),
-        headers["source_type"].cast("string").alias("source_type"),
-        F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        headers["ttl"].cast("string").cast("bigint").alias("ttl"),
-    )
-
-
 def channel_events(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("source_type") == CHANNEL)
 
