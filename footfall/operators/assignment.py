@@ -12,7 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.patterns import glob_match, segment
-from footfall.operators.ordered import WHOLE_INPUT_BYTES, carry_forward, neighbours
+from footfall.operators.ordered import (
+    WHOLE_INPUT_BYTES,
+    carry_forward,
+    choose_slicing,
+    neighbours,
+    settled,
+)
 from footfall.session import plan_bytes, written
 
 # Limits of the broadcast plan: rows shipped to every task, candidates per sensor row.
@@ -63,9 +69,12 @@ def snapshot_log(snapshot: DataFrame, seq: int = -1) -> DataFrame:
 def assignment_intervals(log: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """``device_assignments``: device, ticket, ``start_seq`` and ``end_seq`` (null = open)."""
     seq = F.col("seq")
+    slice_rows = choose_slicing(log, slice_rows)
+    log = settled(log, slice_rows, "assignment-log")
     by_ticket = neighbours(
         log, ["ticket_id"], ["seq"], seq, next={"_ticket_next": "seq"}, slice_rows=slice_rows
     )
+    by_ticket = settled(by_ticket, slice_rows, "assignment-log")
     by_device = neighbours(
         by_ticket.where(F.col("device_id").isNotNull()),
         ["device_id"],

@@ -4,8 +4,9 @@
 A key may hold a third of all rows, so above a size limit these operators cut the
 ordered rows of *heavy* keys into slices:
 
-1. count rows per key (map-side combined, key and position columns only) and keep the
-   heavy keys with the slice width each one needs,
+1. count rows per key (map-side combined, key and position columns only), write the
+   counts, and keep the heavy keys with the slice width each one needs; without heavy keys
+   the plain window is safe and is used,
 2. run the window inside (key, slice),
 3. reduce every slice of a heavy key to its edge row, run the window over the edges
    and hand the result to the slice's outermost row.
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.session import plan_bytes
+from footfall.session import plan_bytes, written
 
 # Below this size the whole input fits one task, so no key can be too big.
 WHOLE_INPUT_BYTES = 256 << 20
@@ -39,17 +40,23 @@ def choose_slicing(df: DataFrame, slice_rows: int | None) -> int:
     return PLAIN if plan_bytes(df) <= WHOLE_INPUT_BYTES else SLICE_ROWS
 
 
+def settled(df: DataFrame, slice_rows: int, name: str) -> DataFrame:
+    """Big intermediate results are written, as slicing reads its input several times."""
+    return df if slice_rows == PLAIN else written(df, name)
+
+
 def heavy_keys(df: DataFrame, keys: list[str], position: Column, slice_rows: int) -> DataFrame:
-    """Heavy keys with the start and width of their slices (at most HEAVY_KEYS rows)."""
-    counts = (
+    """Heavy keys with the start and width of their slices (fewer than HEAVY_KEYS rows)."""
+    counts = written(
         df.where(_all_present(keys))
         .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(position).alias("_from"), F.max(position).alias("_to"))
+        .agg(F.count("*").alias("_n"), F.min(position).alias("_from"), F.max(position).alias("_to")),
+        "key-counts",
     )
-    total = counts.agg(F.sum("_n")).scalar()
+    total = counts.agg(F.sum("_n")).first()[0] or 0
     slices = F.ceil(F.col("_n") / F.lit(slice_rows))
     return counts.where(
-        (F.col("_n") > slice_rows) & (F.col("_n") * F.lit(HEAVY_KEYS) > total)
+        (F.col("_n") > slice_rows) & (F.col("_n") > F.lit(total // HEAVY_KEYS))
     ).select(
         *keys,
         "_from",
@@ -59,11 +66,11 @@ def heavy_keys(df: DataFrame, keys: list[str], position: Column, slice_rows: int
     )
 
 
-def with_slices(df: DataFrame, keys: list[str], position: Column, slice_rows: int) -> DataFrame:
+def with_slices(df: DataFrame, keys: list[str], position: Column, heavy: DataFrame) -> DataFrame:
     """Adds ``_slice``: null for light keys, else the slice number within the key."""
-    heavy = F.broadcast(heavy_keys(df, keys, position, slice_rows))
     number = F.floor((position - F.col("_from")) / F.col("_width")).cast("long")
-    return df.join(heavy, keys, "left").withColumn("_slice", number).drop("_from", "_width")
+    joined = df.join(F.broadcast(heavy), keys, "left")
+    return joined.withColumn("_slice", number).drop("_from", "_width")
 
 
 def neighbours(
@@ -83,7 +90,8 @@ def neighbours(
     """
     prev, next = prev or {}, next or {}
     slice_rows = choose_slicing(df, slice_rows)
-    if slice_rows == PLAIN:
+    heavy = None if slice_rows == PLAIN else heavy_keys(df, keys, position, slice_rows)
+    if heavy is None or heavy.isEmpty():
         w = W.partitionBy(*keys).orderBy(*order)
         return df.select(
             "*",
@@ -91,33 +99,33 @@ def neighbours(
             *[F.lead(c).over(w).alias(n) for n, c in next.items()],
         )
 
-    sliced = with_slices(df, keys, position, slice_rows)
+    sliced = with_slices(df, keys, position, heavy)
     w = W.partitionBy(*keys, "_slice").orderBy(*order)
-    held = {"prev": (prev, F.lag), "next": (next, F.lead)}
-    wanted = {side: spec for side, spec in held.items() if spec[0]}
-    inner = sliced.select(
-        "*", *[move(_row(cols)).over(w).alias(f"_{side}") for side, (cols, move) in wanted.items()]
-    )
+    sides = [s for s in (("prev", prev, F.lag, F.max_by), ("next", next, F.lead, F.min_by)) if s[1]]
+    moved = []
+    for side, columns, move, _ in sides:
+        moved.append(move(F.lit(True)).over(w).alias(f"_{side}_here"))
+        moved += [move(c).over(w).alias(n) for n, c in columns.items()]
+    inner = sliced.select("*", *moved)
 
     # One row per slice of a heavy key: its last row (for lag) and first row (for lead).
-    pick = {"prev": F.max_by, "next": F.min_by}
     edges = (
         sliced.where(F.col("_slice").isNotNull())
         .groupBy(*keys, "_slice")
-        .agg(*[pick[s](_row(c), _row(order)).alias(f"_{s}_out") for s, (c, _) in wanted.items()])
+        .agg(*[pick(_row(cols), _row(order)).alias(f"_{s}_out") for s, cols, _, pick in sides])
     )
     across = W.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(
         *keys,
         "_slice",
-        *[move(f"_{s}_out").over(across).alias(f"_{s}_in") for s, (_, move) in wanted.items()],
+        *[move(f"_{s}_out").over(across).alias(f"_{s}_in") for s, _, move, _ in sides],
     )
-    joined = inner.join(edges, [*keys, "_slice"], "left")
-    filled = []
-    for side, (cols, _) in wanted.items():
-        found = F.coalesce(F.col(f"_{side}"), F.col(f"_{side}_in"))
-        filled += [found.getField(_field(i)).alias(n) for i, n in enumerate(cols)]
-    return joined.select(*df.columns, *filled)
+    filled = [
+        F.when(F.col(f"_{s}_here"), F.col(n)).otherwise(F.col(f"_{s}_in").getField(_field(i))).alias(n)
+        for s, cols, _, _ in sides
+        for i, n in enumerate(cols)
+    ]
+    return inner.join(edges, [*keys, "_slice"], "left").select(*df.columns, *filled)
 
 
 def carry_forward(
@@ -132,11 +140,12 @@ def carry_forward(
     """Adds the last non-null ``value`` at or before each row of the key."""
     slice_rows = choose_slicing(df, slice_rows)
     upto = (W.unboundedPreceding, W.currentRow)
-    if slice_rows == PLAIN:
+    heavy = None if slice_rows == PLAIN else heavy_keys(df, keys, position, slice_rows)
+    if heavy is None or heavy.isEmpty():
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
-    sliced = with_slices(df, keys, position, slice_rows)
+    sliced = with_slices(df, keys, position, heavy)
     w = W.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(*upto)
     inner = sliced.withColumn(out, F.last(value, ignorenulls=True).over(w))
     ends = (

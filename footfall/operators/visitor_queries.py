@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.operators.ordered import first_n, latest_rows, neighbours
+from footfall.operators.ordered import choose_slicing, first_n, latest_rows, neighbours, settled
 
 TS = "event_timestamp"
 WIDE = [
@@ -279,6 +279,8 @@ def zone_history(df, device_id=None, slice_rows=None) -> DataFrame:
     changes = _around(seen, prev={"previous_zone": "zone"}, slice_rows=slice_rows).where(
         _zone_changed()
     )
+    slice_rows = choose_slicing(seen, slice_rows)
+    changes = settled(changes, slice_rows, "zone-changes")
     return (
         _around(changes, prev={"_since": TS}, slice_rows=slice_rows)
         .select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from footfall.functions import biometrics, decode, patterns, text
@@ -283,8 +285,6 @@ def c20(spark, sf):
 SELECT seq, CASE WHEN seq % 2 = 0 THEN event_timestamp ELSE TIMESTAMP '2024-06-01 00:00:00' END
   AS event_timestamp FROM raw"""))
 def c21(spark, sf):
-    import datetime
-
     # odd events come without a time of their own
     timed = feed(spark, sf).withColumn(
         "event_timestamp", F.when(F.col("seq") % 2 == 0, F.col("event_timestamp"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.plans.library import ASSEMBLY, ASSEMBLY_SQL
 from footfall.plans.registry import query
-from footfall.plans.views import rounded, sql
+from footfall.plans.views import rounded, sql, visits
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.session import work_path
 from footfall.sources.events_view import events_stream, raw_events, visitor_events
@@ -64,8 +64,6 @@ FROM (SELECT *, sum(fresh) OVER (PARTITION BY device_id ORDER BY event_timestamp
     ORDER BY event_timestamp, event_id) + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM ve))
 GROUP BY device_id, part"""))
 def j3_sessions(spark, sf):
-    from footfall.plans.views import visits
-
     return rounded(assemble_sessions(visits(spark, sf), "heart_rate", "1 hour"), "heart_rate")
 
 

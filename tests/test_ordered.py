@@ -43,7 +43,9 @@ def test_carry_forward(skewed, slice_rows):
 
 
 def test_slices_are_small_and_only_for_heavy_keys(skewed):
-    sliced = ordered.with_slices(skewed, ["key"], F.col("seq"), 300)
+    heavy = ordered.heavy_keys(skewed, ["key"], F.col("seq"), 300)
+    assert [r["key"] for r in heavy.collect()] == ["hot"]
+    sliced = ordered.with_slices(skewed, ["key"], F.col("seq"), heavy)
     sizes = {(r["key"], r["_slice"]): r["count"] for r in sliced.groupBy("key", "_slice").count().collect()}
     hot = [n for (key, number), n in sizes.items() if key == "hot"]
     assert len(hot) >= 3 and max(hot) < 400
