@@ -31,9 +31,9 @@ def _digest(kind: str, real: Column, salt: str) -> Column:
 
 def ticket_token(real: Column, salt: str) -> Column:
     """A token in the shape of a random (version 4) UUID."""
-    h = _digest("ticket", real, salt)
-    cuts = [(1, 8, ""), (9, 4, ""), (13, 3, "4"), (16, 3, "a"), (19, 12, "")]
-    return F.concat_ws("-", *[F.concat(F.lit(p), F.substring(h, a, n)) for a, n, p in cuts])
+    # one replacement, so that the hash is computed once
+    parts = "^(.{8})(.{4})(.{3})(.{3})(.{12}).*$"
+    return F.regexp_replace(_digest("ticket", real, salt), parts, "$1-$2-4$3-a$4-$5")
 
 
 def watch_token(real: Column, salt: str) -> Column:
@@ -52,9 +52,8 @@ def fake_key(key: Column, salt: str) -> Column:
     def of(prefix: str, shape: str, token) -> tuple[Column, Column]:
         regex = f"^{prefix}:({shape})(:.*)?$"
         found = F.regexp_extract(key, regex, 1)
-        return key.rlike(regex), F.concat(
-            F.lit(f"{prefix}:"), token(found), F.regexp_extract(key, regex, 2)
-        )
+        hit = key.startswith(f"{prefix}:") & (found != "")
+        return hit, F.concat(F.lit(f"{prefix}:"), token(found), F.regexp_extract(key, regex, 2))
 
     visitor = of("Visitors", f"{UUID_ID}|{AT_ID}", lambda c: ticket_token(c, salt))
     watch = of("Wearables:WatchDevices", WATCH_ID, lambda c: watch_token(c, salt))

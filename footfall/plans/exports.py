@@ -146,15 +146,19 @@ def b14(spark, sf):
 
 @query("b6_ticket_export", sql("""
 SELECT type, key, count(*) AS records FROM replay r, (
-  SELECT min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows WHERE ticket_id = 'T7') f
+  SELECT ticket_id AS t, min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows
+  WHERE ticket_id IS NOT NULL GROUP BY ticket_id ORDER BY count(*) DESC, ticket_id LIMIT 1) f
 WHERE (table_rank = 2 AND seq IN (SELECT seq FROM global_state_events WHERE event_timestamp >= a AND event_timestamp < b))
-   OR (table_rank = 0 AND seq IN (SELECT seq FROM empatica WHERE ticket_id = 'T7'))
-   OR (table_rank = 1 AND seq IN (SELECT seq FROM blueiot WHERE ticket_id = 'T7'))
+   OR (table_rank = 0 AND seq IN (SELECT seq FROM empatica WHERE ticket_id = t))
+   OR (table_rank = 1 AND seq IN (SELECT seq FROM blueiot WHERE ticket_id = t))
 GROUP BY type, key""", all_rows=ALL_ROWS))
 def b6(spark, sf):
-    """The export of one ticket with the whole system state of its lifetime."""
-    spec = ex.TicketSpec("T7", format="replay")
-    files = writers.export_ticket(tables(spark, sf), spec, work_path(spark, "ticket-export"))
+    """The export of the busiest ticket, with the whole system state of its lifetime."""
+    made = tables(spark, sf)
+    rows = ex.ticket_table_counts(made).groupBy("ticket_id").agg(F.sum("row_count").alias("n"))
+    busiest = rows.orderBy(F.desc("n"), "ticket_id").first()["ticket_id"]
+    spec = ex.TicketSpec(busiest, format="replay")
+    files = writers.export_ticket(made, spec, work_path(spark, "ticket-export"))
     log = feeds.read_replay(spark, files["combined"])
     return log.groupBy("type", "key").agg(F.count("*").alias("records"))
 
