@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,25 @@ def local_session(cpus: int | str = 8, app: str = "footfall", **conf) -> SparkSe
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, so that Python stages find it there.
+
+    Not needed where the package is installed, or named in ``--py-files`` or PYTHONPATH, on every machine.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_footfall_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, str(path.relative_to(top.parent)))
+    target = os.path.join(tempfile.mkdtemp(prefix="footfall-ship-"), "footfall.zip")
+    Path(target).write_bytes(held.getvalue())
+    context.addPyFile(target)
+    context._footfall_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
