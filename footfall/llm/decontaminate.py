@@ -32,8 +32,8 @@ from footfall.llm.common import pieces_of
 from footfall.llm.textops import NOT_WORD, gram_hashes, word_hashes
 
 GRAM = 3
-#: A seed in at most this share of the documents is rare.
-RARE = 2e-4
+#: A seed in at most this share of the documents, or in this many, is rare.
+RARE, FEW = 2e-4, 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The least alignment score as a share of the item's score with itself.
 SHARE = 0.5
@@ -161,7 +161,7 @@ def hits_of(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, float,
 def seeds_kept(items: Items, frequency: dict[int, int], documents: int) -> np.ndarray:
     """Which entries stay: rare ones, and each item's rarer half."""
     df = np.array([frequency.get(int(g), 0) for g in items.gram.view(np.int64)])
-    keep = df <= RARE * documents
+    keep = df <= max(FEW, RARE * documents)
     order = np.lexsort((items.place, df, items.item))
     count = np.bincount(items.item, minlength=len(items.ids))
     nth = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
