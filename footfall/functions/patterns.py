@@ -64,18 +64,16 @@ def allow_glob_to_regex(pattern: str) -> str:
     return rf"\A{body}$"
 
 
-def specificity(pattern: str) -> tuple[float, int]:
+def specificity(pattern: str) -> tuple[bool, bool, bool, int]:
     """Sort key of a pattern, most specific first.
 
     Exact text (longest first), then text before the first ``*`` (longest first),
     then other wildcards (longest first), then the bare ``*``.
     """
-    if "*" not in pattern and "?" not in pattern:
-        return (0, -len(pattern))
-    lead = pattern.split("*", 1)[0]
-    if "*" in pattern and lead:
-        return (1, -len(lead))
-    return (2, 0) if pattern == "*" else (1.5, -len(pattern))
+    fixed, star, _ = pattern.partition("*")
+    wild = bool(star) or "?" in pattern
+    leads = bool(star and fixed)
+    return wild, wild and not leads, pattern == "*", -len(fixed if leads else pattern)
 
 
 def key_prefix(pattern: Column) -> Column:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zoneinfo import available_timezones
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A JSON string literal, quotes included.
 STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+# A member of a flat object whose name comes again.
+EARLIER_MEMBER = rf"({STRING_LITERAL})\s*:\s*(?:{STRING_LITERAL}|[^,{{}}\[\]\"]*),(?=(?:[^\"]|{STRING_LITERAL})*?\1\s*:)"
 
 
 def map_json_text(
@@ -56,13 +59,19 @@ def canonical_text(value: Column, value_is_object: Column) -> Column:
 
 
 def hash_text(value: Column, value_is_object: Column | None = None) -> Column:
-    """SHA-256 of a value for change detection; object members are sorted by name first."""
+    """SHA-256 of a value for change detection. It never fails.
+
+    An object or list is hashed as compact JSON with sorted members, numbers and texts told
+    apart, and the last of several members of one name. What is no JSON, or is not parsed by
+    its rule, is hashed as it came.
+    """
     if value_is_object is None:
         value_is_object = F.lit(True)
-    members = F.from_json(value, "map<string,string>")
-    ordered = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(members))))
-    is_object = value_is_object & F.ltrim(value).startswith("{")
-    return F.sha2(F.coalesce(F.when(is_object, ordered), value, F.lit("None")), 256)
+    structured = value_is_object & F.ltrim(value).substr(1, 1).isin("{", "[")
+    # the parser refuses a name that comes twice: then earlier members of a flat object give way
+    last_wins = F.regexp_replace(value, EARLIER_MEMBER, "")
+    parsed = F.coalesce(F.try_parse_json(value), F.try_parse_json(last_wins))
+    return F.sha2(F.coalesce(F.when(structured, F.to_json(parsed)), value, F.lit("None")), 256)
 
 
 def parse_bool(text: Column) -> Column:
@@ -86,15 +95,17 @@ def coerce(value: Column, spark_type: str) -> Column:
 def parse_time(text: Column, default_zone: str = "America/Los_Angeles") -> Column:
     """Time text as an instant: ISO with offset or ``Z``, ISO with ``[Zone]``, or local.
 
-    Texts without a zone, dates alone included, are read in ``default_zone``.
+    Texts without a zone, dates alone included, are read in ``default_zone``. A ``[Zone]``
+    counts more than an offset; an unknown one gives null.
     """
     zone = F.nullif(F.regexp_extract(text, r"\[([^\]]+)\]$", 1), F.lit(""))
     body = F.regexp_replace(text, r"\[[^\]]*\]$", "")
     has_offset = body.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & body.contains(":")
-    local = F.to_utc_timestamp(
-        body.try_cast("timestamp_ntz").cast("timestamp"), F.coalesce(zone, F.lit(default_zone))
-    )
-    return F.when(has_offset, body.try_cast("timestamp")).otherwise(local)
+    clock = F.when(has_offset, F.regexp_replace(body, r"(Z|[+-]\d{2}:?\d{2})$", "")).otherwise(body)
+    here = F.coalesce(zone, F.lit(default_zone))
+    known = F.when(here.isin(*sorted(available_timezones())), here)
+    local = F.to_utc_timestamp(clock.try_cast("timestamp_ntz").cast("timestamp"), known)
+    return F.when(has_offset & zone.isNull(), body.try_cast("timestamp")).otherwise(local)
 
 
 def show_time(ts: Column, zone: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:

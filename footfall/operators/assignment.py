@@ -12,18 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.patterns import glob_match, segment
-from footfall.operators.ordered import (
-    WHOLE_INPUT_BYTES,
-    carry_forward,
-    choose_slicing,
-    neighbours,
-    settled,
-)
-from footfall.session import plan_bytes, written
-
-# Limits of the broadcast plan: rows shipped to every task, candidates per sensor row.
-BROADCAST_INTERVALS = 200_000
-BROADCAST_PER_DEVICE = 64
+from footfall.operators.ordered import carry_forward, choose_slicing, neighbours, settled
 
 KEY_GLOB = "Visitors:*:EmpaticaDeviceID"
 
@@ -96,58 +85,12 @@ def open_assignments(intervals: DataFrame) -> DataFrame:
     return intervals.where(F.col("end_seq").isNull())
 
 
-def ticket_at(
-    sensor: DataFrame,
-    intervals: DataFrame,
-    plan: str = "auto",
-    slice_rows: int | None = None,
-) -> DataFrame:
+def ticket_at(sensor: DataFrame, intervals: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """Adds the ``ticket_id`` that held the row's device at its ``seq`` (null when none).
 
-    ``marks`` merges interval ends into the sensor rows and carries the last one forward:
-    one shuffle, linear, hot devices sliced. ``broadcast`` joins with the intervals in
-    memory and leaves the sensor rows where they are. ``auto`` takes ``marks`` for input
-    that fits one task; above that it writes the intervals, counts them, and broadcasts
-    only when they are few, in all and per device.
+    Interval ends are merged into the sensor rows and the last one is carried forward: one
+    shuffle, linear in both, hot devices sliced.
     """
-    if plan == "auto":
-        plan, intervals = choose_plan(sensor, intervals)
-    if plan == "broadcast":
-        return _by_broadcast(sensor, intervals)
-    return _by_marks(sensor, intervals, slice_rows)
-
-
-def choose_plan(
-    sensor: DataFrame, intervals: DataFrame, small_input: int = WHOLE_INPUT_BYTES
-) -> tuple[str, DataFrame]:
-    """The plan for ``ticket_at``, and the intervals to use with it."""
-    if sensor.isStreaming or plan_bytes(sensor) <= small_input:
-        return "marks", intervals
-    intervals = written(intervals, "device_assignments")
-    size = (
-        intervals.groupBy("device_id")
-        .agg(F.count("*").alias("n"))
-        .agg(F.sum("n").alias("rows"), F.max("n").alias("widest"))
-        .first()
-    )
-    few = (size["rows"] or 0) <= BROADCAST_INTERVALS
-    thin = (size["widest"] or 0) <= BROADCAST_PER_DEVICE
-    return ("broadcast" if few and thin else "marks"), intervals
-
-
-def _by_broadcast(sensor: DataFrame, intervals: DataFrame) -> DataFrame:
-    held = F.broadcast(
-        intervals.select(F.col("device_id").alias("_device"), "ticket_id", "start_seq", "end_seq")
-    )
-    inside = (F.col("seq") >= F.col("start_seq")) & (
-        F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq"))
-    )
-    return sensor.join(held, (F.col("device_id") == F.col("_device")) & inside, "left").select(
-        *sensor.columns, "ticket_id"
-    )
-
-
-def _by_marks(sensor: DataFrame, intervals: DataFrame, slice_rows: int | None) -> DataFrame:
     # At one seq a close comes before an open, and both before a sensor row. The mark is a
     # struct, so that a close (ticket null) is still a value to carry.
     def end(seq: str, kind: int, ticket) -> Column:
@@ -174,14 +117,14 @@ def _by_marks(sensor: DataFrame, intervals: DataFrame, slice_rows: int | None) -
     )
 
 
-def device_at(tickets: DataFrame, intervals: DataFrame, plan: str = "auto") -> DataFrame:
+def device_at(tickets: DataFrame, intervals: DataFrame) -> DataFrame:
     """Reverse look-up: adds the ``device_id`` that the row's ticket held at its ``seq``."""
     swapped = intervals.select(
         F.col("ticket_id").alias("device_id"), F.col("device_id").alias("ticket_id"),
         "start_seq", "end_seq",
     )
     asked = tickets.withColumnRenamed("ticket_id", "device_id")
-    found = ticket_at(asked, swapped, plan)
+    found = ticket_at(asked, swapped)
     names = [F.col("device_id").alias("ticket_id") if c == "ticket_id" else F.col(c)
              for c in tickets.columns]
     return found.select(*names, F.col("ticket_id").alias("device_id"))

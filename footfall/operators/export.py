@@ -7,10 +7,11 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.operators.ordered import PLAIN, choose_slicing, first_n
-from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLE_NAMES
+from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLE_NAMES, TABLES
 
 TS = "event_timestamp"
 FORMATS = ("parquet", "jsonl", "replay")
@@ -69,11 +70,27 @@ class TicketSpec:
         return f"ticket_{self.ticket_id}"
 
 
-def in_range(df: DataFrame, start=None, end=None, inclusive_end: bool = False) -> DataFrame:
-    """Rows of ``[start, end)``; the day partitions outside the range are not read."""
+PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
+
+
+def partition_start(moment: Column, unit: str) -> Column:
+    """The partition of a moment: the start of its day, month or year, or its hour as text. An unknown unit means days."""
+    unit = unit if unit in PARTITION_UNITS else "DAY"
+    if unit == "HOUR":
+        return F.date_format(F.date_trunc("HOUR", moment), "yyyy-MM-dd-HH")
+    return F.to_date(F.date_trunc(unit, moment))
+
+
+def in_range(
+    df: DataFrame, start=None, end=None, inclusive_end: bool = False, unit: str = TABLES[STATE].partition_type
+) -> DataFrame:
+    """Rows of ``[start, end)``; the partitions (of that ``unit``) outside the range are not read.
+
+    Bounds are times, with or without a zone, texts, or columns.
+    """
 
     def at(moment) -> Column:
-        return F.lit(moment).cast("timestamp")
+        return (moment if isinstance(moment, Column) else F.lit(moment)).cast("timestamp")
 
     if start is not None:
         df = df.where(F.col(TS) >= at(start))
@@ -81,9 +98,9 @@ def in_range(df: DataFrame, start=None, end=None, inclusive_end: bool = False) -
         df = df.where(F.col(TS) <= at(end) if inclusive_end else F.col(TS) < at(end))
     if "event_date" in df.columns:
         if start is not None:
-            df = df.where(F.col("event_date") >= F.to_date(at(start)))
+            df = df.where(F.col("event_date") >= partition_start(at(start), unit))
         if end is not None:
-            df = df.where(F.col("event_date") <= F.to_date(at(end)))
+            df = df.where(F.col("event_date") <= partition_start(at(end), unit))
     return df
 
 
@@ -94,7 +111,7 @@ def time_range(df: DataFrame, table: str, start, end, include_ticket_id: bool =
     ``include_ticket_id`` is false.
     """
     check_tables([table])
-    rows = in_range(df, start, end)
+    rows = in_range(df, start, end, unit=TABLES[table].partition_type)
     if table == STATE:
         rows = rows.select(*[c for c in STATE_COLUMNS if c != "ticket_id"])
     elif not include_ticket_id:
@@ -106,7 +123,7 @@ def ticket_rows(df: DataFrame, table: str, ticket_id=None, start=None, end=None)
     """A ticket's own rows, oldest first (all tickets' rows when none is named)."""
     check_tables([table])
     own = F.col("ticket_id").isNotNull() if ticket_id is None else F.col("ticket_id") == ticket_id
-    rows = in_range(df.where(own), start, end)
+    rows = in_range(df.where(own), start, end, unit=TABLES[table].partition_type)
     return (rows.select(*STATE_COLUMNS) if table == STATE else rows).orderBy(TS)
 
 
@@ -133,11 +150,12 @@ def ticket_timeframes(tables: dict[str, DataFrame], ticket_id: str | None = None
 def state_context(
     state: DataFrame, first_seen, last_seen, start=None, end=None, inclusive_end: bool = False
 ) -> DataFrame:
-    """All state events, of any ticket, in a lifetime narrowed by an optional range."""
-    low = first_seen if start is None else max(first_seen, start)
-    if end is not None and end < last_seen:
-        last_seen, inclusive_end = end, False
-    return in_range(state, low, last_seen, inclusive_end).select(*STATE_COLUMNS).orderBy(TS)
+    """All state events, of any ticket, in a lifetime narrowed by an optional range.
+
+    Any bound may be a time, with or without a zone, a text, or a column.
+    """
+    rows = in_range(in_range(state, first_seen, last_seen, inclusive_end), start, end)
+    return rows.select(*STATE_COLUMNS).orderBy(TS)
 
 
 def state_in_lifetimes(
@@ -186,6 +204,58 @@ def state_in_lifetimes(
     return hits.select("for_ticket", *STATE_COLUMNS)
 
 
+def lifetime_counts(state: DataFrame, lifetimes: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """Number, first and last of the state events in every ticket's lifetime, without listing them.
+
+    An event count up to a moment is the count of all earlier time buckets, plus the events
+    before it in its own bucket. So each lifetime adds two marks to the events, and the work
+    grows with their sum. Tickets without events give no row.
+    """
+
+    def bucket(ts: str) -> Column:
+        return F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).cast("bigint").alias("bucket")
+
+    ends = F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("at")) for c in ("first_seen", "last_seen")])
+    marks = lifetimes.select("ticket_id", F.explode(ends).alias("e")).select("ticket_id", "e.side", "e.at")
+    nobody = F.lit(None).cast("string")
+    rows = marks.unionByName(state.select(nobody.alias("ticket_id"), nobody.alias("side"), F.col(TS).alias("at")))
+    event = F.when(F.col("side").isNull(), F.col("at"))
+    rows = rows.select("*", bucket("at"), event.alias("event"))
+    # a mark stands before the events of its own moment
+    inside = W.partitionBy("bucket").orderBy("at", F.col("side").isNull())
+    so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = rows.select(
+        "ticket_id", "side", "bucket",
+        F.count("event").over(so_far).alias("inner"),
+        F.max("event").over(so_far).alias("latest"),
+        F.min("event").over(inside.rowsBetween(W.currentRow, W.unboundedFollowing)).alias("next"),
+    ).where(F.col("side").isNotNull())
+    # one row for each bucket of the time line
+    sums = rows.groupBy("bucket").agg(F.count("event").alias("n"), F.min("event").alias("lo"), F.max("event").alias("hi"))
+    line = W.orderBy("bucket")
+    earlier, later = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
+    sums = sums.select(
+        "bucket",
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.max("hi").over(earlier).alias("hi_before"),
+        F.min("lo").over(later).alias("lo_after"),
+    )
+    at = placed.join(sums, "bucket").withColumn("rank", F.col("before") + F.col("inner"))
+
+    def of(side: str, value: Column) -> Column:
+        return F.max(F.when(F.col("side") == side, value))
+
+    return (
+        at.groupBy(F.col("ticket_id").alias("for_ticket"))
+        .agg(
+            (of("last_seen", F.col("rank")) - of("first_seen", F.col("rank"))).alias("context_events"),
+            of("first_seen", F.coalesce("next", "lo_after")).alias("from_ts"),
+            of("last_seen", F.coalesce("latest", "hi_before")).alias("to_ts"),
+        )
+        .where("context_events > 0")
+    )
+
+
 def list_tickets(state: DataFrame, start=None, end=None) -> DataFrame:
     """Tickets named in visitor keys: first and last event, number of events, newest first."""
     ticket = F.nullif(F.regexp_extract("state_key", "Visitors:([^:]+):", 1), F.lit(""))

@@ -5,8 +5,8 @@ A key may hold a third of all rows, so above a size limit these operators cut th
 ordered rows of *heavy* keys into slices:
 
 1. count rows per key (map-side combined, key and position columns only), write the
-   counts, and keep the heavy keys with the slice width each one needs; without heavy keys
-   the plain window is safe and is used,
+   counts, and keep the heavy keys, null included, with the cut points that part their rows
+   evenly (quantiles of the position); without heavy keys the plain window is safe and is used,
 2. run the window inside (key, slice),
 3. reduce every slice of a heavy key to its edge row, run the window over the edges
    and hand the result to the slice's outermost row.
@@ -30,6 +30,9 @@ SLICE_ROWS = 2_000_000
 # HEAVY_KEYS of them, whatever the size of the table.
 HEAVY_KEYS = 50_000
 
+# Quantiles that cut points are chosen from; a key has at most so many slices.
+STEPS = 1024
+
 PLAIN = 0
 
 
@@ -46,31 +49,38 @@ def settled(df: DataFrame, slice_rows: int, name: str) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, keys: list[str], position: Column, slice_rows: int) -> DataFrame:
-    """Heavy keys with the start and width of their slices (fewer than HEAVY_KEYS rows)."""
-    counts = written(
-        df.where(_all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(position).alias("_from"), F.max(position).alias("_to")),
-        "key-counts",
-    )
+    """Heavy keys with the positions at which their slices begin (fewer than HEAVY_KEYS rows)."""
+    counts = written(df.groupBy(*keys).agg(F.count("*").alias("_n")), "key-counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
-    slices = F.ceil(F.col("_n") / F.lit(slice_rows))
-    return counts.where(
-        (F.col("_n") > slice_rows) & (F.col("_n") > F.lit(total // HEAVY_KEYS))
-    ).select(
-        *keys,
-        "_from",
-        F.greatest(F.lit(1), F.ceil((F.col("_to") - F.col("_from") + 1) / slices))
-        .cast("long")
-        .alias("_width"),
+    many = counts.where((F.col("_n") > slice_rows) & (F.col("_n") > F.lit(total // HEAVY_KEYS)))
+    if many.isEmpty():
+        return many.select(*keys, F.lit(None).cast("array<long>").alias("_cuts"))
+    fractions = F.array(*[F.lit(i / STEPS) for i in range(1, STEPS)])
+    at = df.select(*keys, position.cast("long").alias("_at"))
+    steps = _with_key(at, keys, many, "inner").groupBy(*keys, "_n").agg(
+        F.percentile_approx("_at", fractions, F.lit(10 * STEPS)).alias("_q")
+    )
+    slices = F.least(F.lit(STEPS), F.ceil(F.col("_n") / F.lit(slice_rows))).cast("int")
+    chosen = F.transform(
+        F.sequence(F.lit(1), slices - 1), lambda i: F.get("_q", (i * STEPS / slices).cast("int") - 1)
     )
+    cuts = F.when(slices > 1, F.array_distinct(chosen)).otherwise(F.array().cast("array<long>"))
+    return written(steps.select(*keys, cuts.alias("_cuts")), "heavy-keys")
+
+
+def _with_key(df: DataFrame, keys: list[str], side: DataFrame, how: str) -> DataFrame:
+    """Joins a side of few rows, one per key, null keys included."""
+    named = side.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(F.broadcast(named), same, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def with_slices(df: DataFrame, keys: list[str], position: Column, heavy: DataFrame) -> DataFrame:
     """Adds ``_slice``: null for light keys, else the slice number within the key."""
-    number = F.floor((position - F.col("_from")) / F.col("_width")).cast("long")
-    joined = df.join(F.broadcast(heavy), keys, "left")
-    return joined.withColumn("_slice", number).drop("_from", "_width")
+    at = position.cast("long")
+    number = F.size(F.filter("_cuts", lambda c: c < at)).cast("long")
+    joined = _with_key(df, keys, heavy, "left")
+    return joined.withColumn("_slice", F.when(F.col("_cuts").isNotNull(), number)).drop("_cuts")
 
 
 def neighbours(
@@ -86,7 +96,7 @@ def neighbours(
 
     ``prev`` and ``next`` map new column name to source column. ``order`` must be a
     total order and ``position`` a long that never falls along it. Rows whose key is
-    null form one more key, as in a window, and are never sliced.
+    null form one more key, as in a window.
     """
     prev, next = prev or {}, next or {}
     slice_rows = choose_slicing(df, slice_rows)
@@ -125,7 +135,7 @@ def neighbours(
         for s, cols, _, _ in sides
         for i, n in enumerate(cols)
     ]
-    return inner.join(edges, [*keys, "_slice"], "left").select(*df.columns, *filled)
+    return _with_key(inner, [*keys, "_slice"], edges, "left").select(*df.columns, *filled)
 
 
 def carry_forward(
@@ -155,7 +165,7 @@ def carry_forward(
     )
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     ends = ends.select(*keys, "_slice", F.last("_end", ignorenulls=True).over(before).alias("_in"))
-    joined = inner.join(ends, [*keys, "_slice"], "left")
+    joined = _with_key(inner, [*keys, "_slice"], ends, "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.col("_in"))).select(*df.columns, out)
 
 
@@ -183,10 +193,3 @@ def _row(cols) -> Column:
     """A struct of the columns named by a dict's values or a list, with plain field names."""
     names = list(cols.values()) if isinstance(cols, dict) else list(cols)
     return F.struct(*[F.col(c).alias(_field(i)) for i, c in enumerate(names)])
-
-
-def _all_present(keys: list[str]) -> Column:
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    return present

@@ -17,24 +17,28 @@ QUANTILE_BUCKETS = 100_000
 
 
 def load_check(df: DataFrame, prefix: str = "", since=None) -> DataFrame:
-    """Devices, rows, time span, zones and mean heart rate of devices with a prefix.
-
-    Zones are the venue's rooms; they are reduced to distinct names before they are
-    listed, in one text.
-    """
-    rows = df.where(F.col("device_id").startswith(prefix))
-    if since is not None:
-        rows = rows.where(F.col(TS) >= since)
-    return rows.agg(
+    """Devices, rows, time span, number of zones and mean heart rate of devices with a prefix."""
+    return _load_rows(df, prefix, since).agg(
         F.countDistinct("device_id").alias("unique_devices"),
         F.count("*").alias("total_rows"),
         F.min(TS).alias("earliest"),
         F.max(TS).alias("latest"),
-        F.array_join(F.sort_array(F.collect_set("zone")), ",").alias("zones"),
+        F.countDistinct("zone").alias("zones"),
         F.avg("heart_rate").alias("avg_heart_rate"),
     )
 
 
+def load_check_zones(df: DataFrame, prefix: str = "", since=None) -> DataFrame:
+    """The distinct zones behind ``load_check``, one row each."""
+    rows = _load_rows(df, prefix, since).where(F.col("zone").isNotNull())
+    return rows.groupBy("zone").agg(F.count("*").alias("zone_rows"))
+
+
+def _load_rows(df: DataFrame, prefix: str, since) -> DataFrame:
+    rows = df.where(F.col("device_id").startswith(prefix))
+    return rows if since is None else rows.where(F.col(TS) >= since)
+
+
 def state_check(state: DataFrame, part: str = "", since=None) -> DataFrame:
     """Distinct keys and rows of state keys that contain a text."""
     return _state_rows(state, part, since).agg(
@@ -162,7 +166,8 @@ def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
         *[F.max(F.when(F.col("q") == q, value)).alias(n)
           for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
     )
-    return base.join(F.broadcast(quartiles), "metric").select(
+    every = _names(df, metrics, "metric").join(base, "metric", "left").na.fill(0, ["count"])
+    return every.join(F.broadcast(quartiles), "metric", "left").select(
         "metric", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -182,7 +187,7 @@ def operation_counts(notifications: DataFrame) -> DataFrame:
 
 
 def key_categories(keys: DataFrame, categories: dict[str, str], samples: int = 3) -> DataFrame:
-    """Distinct keys per named glob and the first few of them, in one text.
+    """Distinct keys per named glob (0 where there are none) and the first few of them, in one text.
 
     Only ``samples`` keys per task and category reach the shuffle that picks them.
     """
@@ -199,7 +204,14 @@ def key_categories(keys: DataFrame, categories: dict[str, str], samples: int = 3
         F.array_join(F.sort_array(F.collect_list("key")), ",").alias("examples")
     )
     # one row per category, and categories are an argument
-    return counts.join(F.broadcast(examples), "category")
+    every = _names(keys, list(categories), "category")
+    found = counts.join(F.broadcast(examples), "category")
+    return every.join(found, "category", "left").withColumn("key_count", F.coalesce("key_count", F.lit(0).cast("bigint")))
+
+
+def _names(df: DataFrame, names: list[str], column: str) -> DataFrame:
+    """A row for each name, so that names without rows are reported too."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, names))).alias(column))
 
 
 def channel_discovery(raw: DataFrame, excluded: list[str]) -> DataFrame:
@@ -219,12 +231,13 @@ def discovered_channels(raw: DataFrame, excluded: list[str]) -> DataFrame:
 
 
 def prefix_counts(df: DataFrame, column: str, prefixes: list[str]) -> DataFrame:
-    """Rows and distinct values per text prefix."""
+    """Rows and distinct values per text prefix, 0 where there are none."""
     entries = F.array(*[F.when(F.col(column).startswith(p), F.lit(p)) for p in prefixes])
     named = df.select(F.col(column).alias("value"), F.explode(F.array_compact(entries)).alias("prefix"))
-    return named.groupBy("prefix").agg(
+    found = named.groupBy("prefix").agg(
         F.count("*").alias("row_count"), F.countDistinct("value").alias("unique_values")
     )
+    return _names(df, prefixes, "prefix").join(found, "prefix", "left").na.fill(0)
 
 
 def resample_mean(df: DataFrame, column: str = "heart_rate") -> DataFrame:

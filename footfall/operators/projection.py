@@ -42,7 +42,6 @@ def sensor_events(routed: DataFrame) -> DataFrame:
 def enriched_events(
     routed: DataFrame,
     intervals: DataFrame,
-    plan: str = "auto",
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Sensor events with the ticket that held the device at that moment.
@@ -50,7 +49,7 @@ def enriched_events(
     One look-up for all sensor tables: where a query uses several of them, Spark finds the
     same exchange in each and runs it once.
     """
-    return ticket_at(sensor_events(routed), intervals, plan, slice_rows)
+    return ticket_at(sensor_events(routed), intervals, slice_rows)
 
 
 def sensor_table(sensors: DataFrame, table: str) -> DataFrame:
@@ -130,8 +129,12 @@ def nested_record(text: Column, schema) -> Column:
 
 
 def assembly_counts(routed: DataFrame) -> DataFrame:
-    """Events per target table: kept, skipped for want of any data, and the skip rate."""
-    keeps = (F.col("target_table") == STATE) | F.col("device_id").isNotNull()
+    """Events per target table (null: no rule takes them): kept, skipped, and the skip rate.
+
+    An event is skipped when no rule takes it, or when it goes to a sensor table and names no
+    device. Give it a feed routed with ``keep_unmatched``.
+    """
+    keeps = F.coalesce((F.col("target_table") == STATE) | (F.col("target_table").isNotNull() & F.col("device_id").isNotNull()), F.lit(False))
     skipped = F.count_if(~keeps)
     return routed.groupBy("target_table").agg(
         F.count("*").alias("events"),

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from footfall.functions.patterns import allow_list_match
 from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLES
 
+EVENT_TIME = "event_timestamp"
 LOG_COLUMNS = ["timestamp", "type", "key", "value", "ttl"]
-# Allow-list globs become one expression, so their number is bounded by configuration.
-MAX_GLOBS = 1000
 
 
 def table_kind(columns) -> str | None:
@@ -155,20 +154,34 @@ def as_log(records: DataFrame) -> DataFrame:
     return records.withColumn("value", F.encode("text", "UTF-8")).select(*LOG_COLUMNS)
 
 
-def schedule(log: DataFrame, speed: float = 1.0) -> DataFrame:
+def log_span(frames: dict[str, DataFrame]) -> DataFrame:
+    """``first`` and ``last`` time of a combined log, in milliseconds, from the tables' times alone."""
+    spans = [df.agg(F.min(EVENT_TIME).alias("a"), F.max(EVENT_TIME).alias("b")) for df in frames.values()]
+    both = reduce(DataFrame.unionByName, spans)
+    return both.agg(F.unix_millis(F.min("a")).alias("first"), F.unix_millis(F.max("b")).alias("last"))
+
+
+def schedule(log: DataFrame, speed: float = 1.0, span: DataFrame | None = None) -> DataFrame:
     """Adds ``offset_ms``: time since the log's first record, divided by ``speed``.
 
-    The first record is looked up over the whole log, before any filter.
+    The first record is that of the whole log, before any filter: by ``span`` (``log_span``)
+    where it is given, else looked up.
     """
     if speed <= 0:
         raise ValueError("speed must be positive")
-    first = log.agg(F.min("timestamp")).scalar()
+    first = (log.agg(F.min("timestamp").alias("first")) if span is None else span.select("first")).scalar()
     return log.withColumn("offset_ms", (F.col("timestamp") - first) / F.lit(float(speed)))
 
 
-def looped(scheduled: DataFrame, times: int) -> DataFrame:
-    """The schedule ``times`` over; each ``iteration`` starts where the one before ended."""
-    length = scheduled.agg(F.max("offset_ms")).scalar()
+def looped(scheduled: DataFrame, times: int, span: DataFrame | None = None, speed: float = 1.0) -> DataFrame:
+    """The schedule ``times`` over; each ``iteration`` starts where the one before ended.
+
+    ``span`` and ``speed`` as in ``schedule`` save a pass over the log for its length.
+    """
+    whole = scheduled.agg(F.max("offset_ms").alias("length"))
+    if span is not None:
+        whole = span.select(((F.col("last") - F.col("first")) / F.lit(float(speed))).alias("length"))
+    length = whole.scalar()
     rounds = F.explode(F.sequence(F.lit(1), F.lit(times)))
     return scheduled.withColumn("iteration", rounds).withColumn(
         "offset_ms", F.col("offset_ms") + (F.col("iteration") - 1) * length
@@ -194,17 +207,30 @@ def with_allowed(
 def allowed_by_list(log: DataFrame, entries: DataFrame) -> DataFrame:
     """Adds ``allowed`` by a list table (``entry``) of exact keys and globs.
 
-    Exact keys, of which there may be many, are matched by a join; the globs form one
-    expression.
+    Both may be many. The log's distinct keys are joined to the exact entries, and to the
+    globs by their first segment where that is plain text; the other globs form one test.
     """
     is_glob = F.col("entry").contains("*") | F.col("entry").contains("?")
-    globs = [r["entry"] for r in entries.where(is_glob).distinct().take(MAX_GLOBS + 1)]
-    if len(globs) > MAX_GLOBS:
-        raise ValueError(f"an allow-list may hold {MAX_GLOBS} globs; turn some into exact keys")
-    exact = entries.where(~is_glob).select(F.col("entry").alias("key")).distinct()
-    marked = log.join(exact.withColumn("_exact", F.lit(True)), "key", "left")
-    hit = F.coalesce("_exact", F.lit(False)) | allow_list_match(F.col("key"), globs)
-    return marked.withColumn("allowed", hit).select(*log.columns, "allowed")
+    head = F.split_part("entry", F.lit(":"), F.lit(1))
+    led = F.col("entry").contains(":") & ~head.contains("*") & ~head.contains("?")
+    globs = entries.where(is_glob).distinct().select(
+        allow_regex("entry").alias("_regex"), F.when(led, head).alias("_head")
+    )
+    keys = log.select("key").distinct().withColumn("_head", F.split_part("key", F.lit(":"), F.lit(1)))
+    exact = keys.select("key").join(entries.where(~is_glob).select(F.col("entry").alias("key")), "key", "left_semi")
+    by_head = keys.join(globs.where("_head is not null"), "_head").where("key rlike _regex").select("key")
+    rest = globs.where("_head is null").agg(F.array_join(F.collect_list("_regex"), "|").alias("r"))
+    by_rest = keys.where(F.rlike("key", rest.select(F.nullif("r", F.lit(""))).scalar())).select("key")
+    allowed = exact.union(by_head).union(by_rest).distinct().withColumn("_listed", F.lit(True))
+    marked = log.join(allowed, "key", "left")
+    return marked.withColumn("allowed", F.coalesce("_listed", F.lit(False))).select(*log.columns, "allowed")
+
+
+def allow_regex(glob: str) -> Column:
+    """The regex of an allow-list glob, as a column: ``*`` and ``?`` are wild, all else is literal."""
+    literal = F.regexp_replace(glob, r"([^A-Za-z0-9*?])", r"\\$1")
+    wild = F.replace(F.replace(literal, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit("."))
+    return F.concat(F.lit(r"(?:\A"), wild, F.lit("$)"))
 
 
 def command(text: Column) -> Column:

@@ -28,8 +28,9 @@ def _of_device(df: DataFrame, device_id: str | None) -> DataFrame:
 
 
 def _order(df: DataFrame) -> list[str]:
-    """Time, then the arrival number where there is one."""
-    return [TS, *[c for c in ("event_id", "seq") if c in df.columns]]
+    """Time, then the arrival number; without one, all other columns that have an order."""
+    arrival = [c for c in ("event_id", "seq") if c in df.columns]
+    return [TS, *(arrival or sorted(c for c, kind in df.dtypes if c != TS and "map<" not in kind))]
 
 
 def _around(df: DataFrame, prev=None, next=None, slice_rows=None) -> DataFrame:

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import datetime
+from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.pseudonym import pseudonymise
 from footfall.operators import export as ex
-from footfall.operators import replay
+from footfall.operators import replay, routing
 from footfall.plans.pipeline import ALLOWED, ALLOWED_SQL
 from footfall.plans.registry import query
-from footfall.plans.views import routed, sql, table, tables, uuid_feed
-from footfall.rules import BLUEIOT, EMPATICA, STATE, table_schema
+from footfall.plans.views import feed, sql, table, tables, with_faults
+from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLES, table_schema
 from footfall.session import work_path
 from footfall.sinks import writers
 from footfall.sources import feeds
+from footfall.sources.events_view import events, raw_events
 
 SALT = "footfall-demo"
 
@@ -68,7 +72,7 @@ def e11(spark, sf):
     return ex.ticket_state_keys(table(spark, sf, STATE), 10)
 
 
-@query("d5_state_in_lifetimes", sql("""
+@query("d5_lifetime_counts", sql("""
 SELECT f.ticket_id AS for_ticket, count(*) AS context_events, min(g.event_timestamp) AS from_ts,
   max(g.event_timestamp) AS to_ts
 FROM global_state_events g JOIN (SELECT ticket_id, min(event_timestamp) AS a, max(event_timestamp) AS b
@@ -76,12 +80,28 @@ FROM global_state_events g JOIN (SELECT ticket_id, min(event_timestamp) AS a, ma
   ON g.event_timestamp >= f.a AND g.event_timestamp < f.b GROUP BY f.ticket_id""", all_rows=ALL_ROWS))
 def d5(spark, sf):
     made = tables(spark, sf)
-    hits = ex.state_in_lifetimes(made[STATE], ex.ticket_timeframes(made), bucket_seconds=86_400)
-    return hits.groupBy("for_ticket").agg(
-        F.count("*").alias("context_events"),
-        F.min("event_timestamp").alias("from_ts"),
-        F.max("event_timestamp").alias("to_ts"),
-    )
+    return ex.lifetime_counts(made[STATE], ex.ticket_timeframes(made))
+
+
+SOME_TICKETS = """SELECT ticket_id, min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows
+  WHERE ticket_id IN (SELECT ticket_id FROM global_state_events WHERE state_value = 'Inactive' AND ticket_id LIKE '%3')
+  GROUP BY ticket_id"""
+
+
+def _some_tickets(spark, sf):
+    """A list drawn from the data: visitors that became inactive and whose id ends in 3."""
+    gone = table(spark, sf, STATE).where("state_value = 'Inactive' and ticket_id like '%3'")
+    return gone.select(F.col("ticket_id").alias("entry")).distinct()
+
+
+@query("d5_state_in_lifetimes", sql("""
+SELECT f.ticket_id AS for_ticket, g.event_timestamp, g.event_source_type, g.ticket_id, g.state_key, g.state_value, g.ttl_seconds
+FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b""", all_rows=ALL_ROWS, f=SOME_TICKETS))
+def d5_rows(spark, sf):
+    made = tables(spark, sf)
+    wanted = _some_tickets(spark, sf).withColumnRenamed("entry", "ticket_id")
+    lifetimes = ex.ticket_timeframes(made).join(wanted, "ticket_id", "left_semi")
+    return ex.state_in_lifetimes(made[STATE], lifetimes, bucket_seconds=86_400)
 
 
 # ---- B: sinks, written and read back --------------------------------------------------
@@ -120,16 +140,35 @@ def b4(spark, sf):
     return spark.read.schema(rows.schema).json(path)
 
 
-@query("b7_c30_partitioned_table", sql("""
+PARTITIONED = """
 SELECT event_timestamp, event_source_type, ticket_id, state_key, state_value, ttl_seconds,
-  CAST(event_timestamp AS DATE) AS event_date FROM global_state_events
-WHERE event_timestamp >= TIMESTAMP '2024-01-05 06:00:00' AND event_timestamp < TIMESTAMP '2024-01-12 18:00:00'"""))
-def b7(spark, sf):
-    path = work_path(spark, "state-table")
-    writers.write_partitioned(table(spark, sf, STATE).drop("seq"), STATE, path)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(STATE).fields]
-    written = spark.read.schema(", ".join([*fields, "event_date date"])).parquet(path)
-    return ex.in_range(written, "2024-01-05 06:00:00", "2024-01-12 18:00:00")
+  {part} AS event_date FROM global_state_events
+WHERE event_timestamp >= TIMESTAMP '2024-01-05 06:00:00' AND event_timestamp < TIMESTAMP '2024-01-12 18:00:00'"""
+PARTS = {
+    "HOUR": "strftime(event_timestamp, '%Y-%m-%d-%H')",
+    "DAY": "CAST(event_timestamp AS DATE)",
+    "MONTH": "CAST(date_trunc('month', event_timestamp) AS DATE)",
+    "YEAR": "CAST(date_trunc('year', event_timestamp) AS DATE)",
+}
+
+
+def partitioned(unit: str):
+    """The state table written in partitions of one unit and read back by range."""
+
+    def run(spark, sf):
+        path = work_path(spark, f"state-table-{unit.lower()}")
+        spec = {STATE: replace(TABLES[STATE], partition_type=unit)}
+        writers.write_partitioned(table(spark, sf, STATE).drop("seq"), STATE, path, tables=spec)
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(STATE).fields]
+        kind = "string" if unit == "HOUR" else "date"
+        written = spark.read.schema(", ".join([*columns, f"event_date {kind}"])).parquet(path)
+        return ex.in_range(written, "2024-01-05 06:00:00", "2024-01-12 18:00:00", unit=unit)
+
+    return run
+
+
+for _unit, _part in PARTS.items():
+    query(f"b7_c30_{_unit.lower()}_table", sql(PARTITIONED.format(part=_part)))(partitioned(_unit))
 
 
 @query("b14_range_export", sql("""
@@ -179,17 +218,52 @@ def _log(spark, sf):
 @query("f9_replay_schedule", sql("""
 SELECT seq, (timestamp - (SELECT min(timestamp) FROM replay)) / CAST(2 AS DOUBLE) AS offset_ms FROM replay"""))
 def f9(spark, sf):
-    return replay.schedule(_log(spark, sf), speed=2.0).select("seq", "offset_ms")
+    made = tables(spark, sf)
+    timed = replay.schedule(replay.combined_replay(made), 2.0, replay.log_span(made))
+    return timed.select("seq", "offset_ms")
 
 
 @query("i17_looped_replay", sql("""
 SELECT seq, CAST(i AS BIGINT) AS iteration, CAST(timestamp - a + (i - 1) * (b - a) AS DOUBLE) AS offset_ms
 FROM replay, (SELECT min(timestamp) AS a, max(timestamp) AS b FROM replay), (SELECT unnest([1, 2, 3]) AS i)"""))
 def i17(spark, sf):
-    timed = replay.looped(replay.schedule(_log(spark, sf)), 3)
+    made = tables(spark, sf)
+    span = replay.log_span(made)
+    timed = replay.looped(replay.schedule(replay.combined_replay(made), span=span), 3, span)
     return timed.select("seq", F.col("iteration").cast("bigint").alias("iteration"), "offset_ms")
 
 
+@query("a10_a11_ticket_list_export", sql("""
+SELECT table_name, for_ticket, count(*) AS rows, min(t) AS earliest, max(t) AS latest, 'jsonl' AS format, count(*) AS read_back FROM (
+  SELECT 'global_state_events' AS table_name, f.ticket_id AS for_ticket, date_trunc('millisecond', g.event_timestamp) AS t
+  FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b
+  UNION ALL SELECT 'empatica', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM empatica e JOIN f ON e.ticket_id = f.ticket_id
+  UNION ALL SELECT 'blueiot', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM blueiot e JOIN f ON e.ticket_id = f.ticket_id)
+GROUP BY table_name, for_ticket""", all_rows=ALL_ROWS, f=SOME_TICKETS))
+def a11(spark, sf):
+    """Three tables of the listed tickets with the state of their lifetimes, and the metadata read back beside the rows."""
+    made, out, listed = tables(spark, sf), work_path(spark, "ticket-list-export"), work_path(spark, "tickets")
+    lines = F.explode(F.array(F.concat(F.lit(" "), "entry"), F.lit("# a comment"), F.lit("")))
+    _some_tickets(spark, sf).select(lines.alias("value")).write.text(listed)
+    writers.export_tickets(made, feeds.read_list(spark, listed), out, "jsonl")
+    kept = [
+        spark.read.schema("for_ticket string").json(f"{out}/{t}").select(F.lit(t).alias("table_name"), "for_ticket") for t in made
+    ]
+    counted = reduce(DataFrame.unionByName, kept).groupBy("table_name", "for_ticket").agg(F.count("*").alias("read_back"))
+    schema = "table_name string, for_ticket string, rows bigint, earliest timestamp, latest timestamp, format string"
+    return spark.read.schema(schema).parquet(f"{out}/metadata").join(counted, ["table_name", "for_ticket"])
+
+
+@query("d7_many_globs", sql("""
+SELECT seq, key, (split_part(key, ':', 1) = 'Visitors' AND key LIKE '%:Status' OR key LIKE '%:_:Lighting:Brightness') AS allowed FROM replay"""))
+def d7_many(spark, sf):
+    """A list of thousands of globs: one for each visitor, and one that leads with a wildcard."""
+    visitors = table(spark, sf, STATE).where("ticket_id is not null").select(
+        F.explode(F.array(F.concat(F.lit("Visitors:"), "ticket_id", F.lit(":Stat*")), F.lit("*:?:Lighting:Brightness"))).alias("entry")
+    )
+    return replay.allowed_by_list(_log(spark, sf), visitors).select("seq", "key", "allowed")
+
+
 @query("i16_commands", sql("""
 SELECT seq, CASE WHEN type = 'channel' THEN 'PUBLISH ' || key || ' ' || text
   ELSE 'SET ' || key || CASE WHEN ttl > 0 THEN ' EX ' || ttl ELSE '' END || ' ' || text END AS command FROM replay"""))
@@ -251,13 +325,11 @@ SELECT seq, CASE WHEN key LIKE 'Visitors:%'
     ELSE value END AS text
 FROM (SELECT *, 'E3' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS device FROM uraw)"""))
 def i18(spark, sf):
-    raw = uuid_feed(spark, sf)
+    raw = raw_events(events(spark, sf), uuid_tickets=True, keep=("user_id",))
     key, value = F.col("key"), F.col("value")
     device, ticket = F.regexp_extract(key, "(E3[0-9]+)", 1), F.split_part(key, F.lit(":"), F.lit(2))
     # ids inside a text, and inside the strings, names and escapes of a JSON value
     of_user = F.concat(F.lit("E3"), F.lpad("user_id", 6, "0"))
-    users = spark.read.schema("event_id bigint, user_id bigint").parquet(f"{sf}/events.parquet")
-    raw = raw.join(users.withColumnRenamed("event_id", "seq"), "seq")
     records = raw.select(
         "seq",
         "key",
@@ -308,11 +380,22 @@ def i19(spark, sf):
 @query("b10_b11_pipeline_counts", sql("""
 SELECT count(*) AS received, count(*) FILTER (WHERE event_type = 'click') AS empatica,
   count(*) FILTER (WHERE event_type = 'view') AS blueiot,
-  count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) AS global_state_events, 0 AS skipped FROM raw"""))
+  count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) AS global_state_events,
+  (SELECT count(*) FROM raw WHERE seq % 7 = 0) AS unrouted,
+  (SELECT count(*) FROM raw WHERE seq % 7 <> 0 AND seq % 5 = 0 AND event_type IN ('click', 'view')) AS skipped,
+  count(*) AS dry_run_rows
+FROM raw WHERE seq % 7 <> 0 AND NOT (seq % 5 = 0 AND event_type IN ('click', 'view'))""".replace(
+    "SELECT count(*) AS received", "SELECT (SELECT count(*) FROM raw) AS received", 1)))
 def b11(spark, sf):
+    """Counters of a feed with events that no rule takes or that name no device, and what a dry run of the tables sees."""
+    made = routing.route(with_faults(feed(spark, sf)), keep_unmatched=True)
     target = F.col("target_table")
-    return routed(spark, sf).agg(
+    keeps = (target == STATE) | F.col("device_id").isNotNull()
+    kept = made.where(target.isNotNull() & keeps)
+    seen = writers.dry_run(kept)["rows"]
+    return made.agg(
         F.count("*").alias("received"),
-        *[F.count_if(target == t).alias(t) for t in (EMPATICA, BLUEIOT, STATE)],
-        F.count_if(target.isNull()).alias("skipped"),
-    )
+        *[F.count_if((target == t) & keeps).alias(t) for t in (EMPATICA, BLUEIOT, STATE)],
+        F.count_if(target.isNull()).alias("unrouted"),
+        F.count_if(target.isNotNull() & ~keeps).alias("skipped"),
+    ).withColumn("dry_run_rows", F.lit(seen).cast("bigint"))

@@ -185,12 +185,18 @@ def p5(spark, sf):
 
 @query("e12_load_check", sql("""
 SELECT count(DISTINCT device_id) AS unique_devices, count(*) AS total_rows, min(event_timestamp) AS earliest,
-  max(event_timestamp) AS latest, string_agg(DISTINCT zone, ',' ORDER BY zone) AS zones,
+  max(event_timestamp) AS latest, count(DISTINCT zone) AS zones,
   round(avg(heart_rate), 6) AS avg_heart_rate FROM ve WHERE device_id LIKE 'E3%'"""))
 def e12(spark, sf):
     return rounded(profile.load_check(visits(spark, sf), "E3"), "avg_heart_rate")
 
 
+@query("e12_load_check_zones", sql("""
+SELECT zone, count(*) AS zone_rows FROM ve WHERE device_id LIKE 'E3%' AND zone IS NOT NULL GROUP BY zone"""))
+def e12_zones(spark, sf):
+    return profile.load_check_zones(visits(spark, sf), "E3")
+
+
 @query("e13_state_check", sql("""
 SELECT count(DISTINCT state_key) AS unique_keys, count(*) AS total_rows FROM global_state_events
 WHERE state_key LIKE '%DeviceID%'"""))
@@ -263,9 +269,9 @@ FROM (SELECT category, key, row_number() OVER (PARTITION BY category ORDER BY ke
   UNION ALL SELECT DISTINCT 'rooms', key FROM raw WHERE key LIKE 'Rooms:%'
   UNION ALL SELECT DISTINCT 'statuses', key FROM raw WHERE key LIKE 'Visitors:%:Status'
   UNION ALL SELECT DISTINCT 'visitors', key FROM raw WHERE key LIKE 'Visitors:%'))
-GROUP BY category"""))
+GROUP BY category UNION ALL SELECT 'lifts', 0, NULL"""))
 def e20(spark, sf):
-    return profile.key_categories(feed(spark, sf), CATEGORIES)
+    return profile.key_categories(feed(spark, sf), {**CATEGORIES, "lifts": "Lifts:*"})
 
 
 @query("e21_channel_discovery", sql("""
@@ -310,9 +316,9 @@ def e23(spark, sf):
 @query("e25_prefix_counts", sql("""
 SELECT prefix, count(*) AS row_count, count(DISTINCT device_id) AS unique_values
 FROM (SELECT device_id, unnest(['E30000', 'E300001']) AS prefix FROM ve)
-WHERE starts_with(device_id, prefix) GROUP BY prefix"""))
+WHERE starts_with(device_id, prefix) GROUP BY prefix UNION ALL SELECT 'X', 0, 0"""))
 def e25(spark, sf):
-    return profile.prefix_counts(visits(spark, sf), "device_id", ["E30000", "E300001"])
+    return profile.prefix_counts(visits(spark, sf), "device_id", ["E30000", "E300001", "X"])
 
 
 @query("f8_resample_mean", sql("""

@@ -11,7 +11,7 @@ from footfall.operators import assignment, changes, projection, routing
 from footfall.operators import export as ex
 from footfall.operators import profile, replay
 from footfall.plans.registry import query
-from footfall.plans.views import feed, intervals, routed, routed_and_held, sql, table, tables, visits
+from footfall.plans.views import feed, intervals, routed, routed_and_held, sql, table, tables, visits, with_faults
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, rules_frame
 from footfall.session import work_path
 from footfall.sinks import writers
@@ -119,23 +119,6 @@ def a9(spark, sf):
     return feeds.replay_head(feeds.read_replay(spark, log), 10)
 
 
-@query("a10_a11_ticket_list_export", sql("""
-SELECT seq, device_id, ticket_id, heart_rate FROM empatica
-WHERE ticket_id IN (SELECT ticket_id FROM global_state_events WHERE state_value = 'Inactive')"""))
-def a11(spark, sf):
-    """Tickets that went inactive, listed in a text file with comments, exported together."""
-    listed = work_path(spark, "tickets")
-    gone = table(spark, sf, STATE).where("state_value = 'Inactive'").select("ticket_id").distinct()
-    lines = F.explode(F.array(F.concat(F.lit(" "), "ticket_id"), F.lit("# a comment"), F.lit("")))
-    gone.select(lines.alias("value")).write.text(listed)
-    out = work_path(spark, "ticket-export")
-    writers.export_tickets(
-        {EMPATICA: table(spark, sf, EMPATICA)}, feeds.read_list(spark, listed), out
-    )
-    schema = "seq bigint, device_id string, heart_rate double, ticket_id string"
-    return spark.read.schema(schema).parquet(f"{out}/{EMPATICA}")
-
-
 # ---- C: routing -----------------------------------------------------------------------
 
 GLOBS = ["Rooms:[1-3]:*", "Visitors:T[!12]*", "Wearables:*:E30000?1:*", "*:Status", "Rooms:1:Lighting:Brightness"]
@@ -274,11 +257,13 @@ def c17(spark, sf):
 
 
 @query("c20_e24_assembly_counts", sql("""
-SELECT target_table, count(*) AS events, count(*) AS processed, 0 AS skipped, CAST(0 AS DOUBLE) AS skip_rate
-FROM (SELECT CASE rule WHEN 'BioSensors' THEN 'empatica' WHEN 'Position' THEN 'blueiot'
-  ELSE 'global_state_events' END AS target_table FROM routed) GROUP BY target_table"""))
+SELECT target_table, count(*) AS events, count(*) FILTER (WHERE ok) AS processed,
+  count(*) FILTER (WHERE NOT ok) AS skipped, 100.0 * count(*) FILTER (WHERE NOT ok) / count(*) AS skip_rate
+FROM (SELECT CASE WHEN seq % 7 = 0 THEN NULL WHEN event_type = 'click' THEN 'empatica' WHEN event_type = 'view' THEN 'blueiot'
+    ELSE 'global_state_events' END AS target_table,
+  seq % 7 <> 0 AND NOT (seq % 5 = 0 AND event_type IN ('click', 'view')) AS ok FROM raw) GROUP BY target_table"""))
 def c20(spark, sf):
-    return projection.assembly_counts(routed(spark, sf))
+    return projection.assembly_counts(routing.route(with_faults(feed(spark, sf)), keep_unmatched=True))
 
 
 @query("c21_source_time", sql("""
@@ -437,15 +422,29 @@ def i9(spark, sf):
     )
 
 
-@query("i10_value_hash", sql("""
-SELECT seq, sha256(CASE WHEN event_type = 'click' AND k <> 99
-    THEN '{"Heart_Rate_Value":"' || k || '","Steps":"' || (seq % 50) || '"}'
-  WHEN event_type = 'view' THEN '{"BlueIoT_Position":"[' || k || ',' || (seq % 100) || ']","Room_ID":"' || (k % 8) || '"}'
-  ELSE value END) AS value_hash FROM raw"""))
+@query("i10_value_hash", sql("SELECT seq, sha256(value) AS value_hash FROM raw"))
 def i10(spark, sf):
     return feed(spark, sf).select("seq", text.hash_text(F.col("value")).alias("value_hash"))
 
 
+@query("i10_hash_of_built_values", sql("""
+SELECT seq, sha256(CASE seq % 4 WHEN 0 THEN '{"a":"' || k || '","b":' || k || '}' WHEN 1 THEN '{"a":' || k || '}'
+  WHEN 2 THEN '[1,' || k || ']' ELSE '{bad ' || k END) AS value_hash FROM raw"""))
+def i10_built(spark, sf):
+    """Members out of order, numbers beside texts, a name that comes twice, spaced lists, and no JSON."""
+    made = (
+        spark.read.schema("event_id bigint, props string").parquet(f"{sf}/events.parquet")
+        .select(F.col("event_id").alias("seq"), F.get_json_object("props", "$.k").alias("k"))
+    )
+    value = (
+        F.when(F.col("seq") % 4 == 0, F.format_string('{"b":%s, "a": "%s"}', "k", "k"))
+        .when(F.col("seq") % 4 == 1, F.format_string('{"a":"x","a" : %s}', "k"))
+        .when(F.col("seq") % 4 == 2, F.format_string("[1, %s]", "k"))
+        .otherwise(F.format_string("{bad %s", "k"))
+    )
+    return made.select("seq", text.hash_text(value).alias("value_hash"))
+
+
 @query("i23_epoch_millis", sql("""
 SELECT seq, epoch_us(event_timestamp) // 1000 AS millis, date_trunc('millisecond', event_timestamp) AS back FROM raw"""))
 def i23(spark, sf):
@@ -488,12 +487,10 @@ def d1(spark, sf):
     return _found(projection.enriched_events(*routed_and_held(spark, sf)))
 
 
-@query("d1_asof_enrichment_checked", sql(ENRICHED))
-def d1_checked(spark, sf):
-    """As for big input: the intervals are written and counted, then joined or merged."""
-    made, held = routed_and_held(spark, sf)
-    plan, held = assignment.choose_plan(made, held, small_input=0)
-    return _found(projection.enriched_events(made, held, plan=plan))
+@query("d1_asof_enrichment_sliced", sql(ENRICHED))
+def d1_sliced(spark, sf):
+    """As for big input: heavy devices are cut into slices."""
+    return _found(projection.enriched_events(*routed_and_held(spark, sf), slice_rows=200))
 
 
 @query("d2_open_assignments", sql(

@@ -9,27 +9,58 @@ from pyspark.sql import functions as F
 
 from footfall.plans.library import ASSEMBLY, ASSEMBLY_SQL
 from footfall.plans.registry import query
-from footfall.plans.views import rounded, sql, visits
+from footfall.plans.views import rounded, sql, visits, with_faults
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.session import work_path
 from footfall.sources.events_view import events_stream, raw_events, visitor_events
 from footfall.sources.feeds import key_events
-from footfall.streaming.bridge import Bridge, read_output, start_bridge
-from footfall.streaming.changes import changed_keys_stream
+from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
+from footfall.streaming.changes import start_changes
 from footfall.streaming.windows import assemble_sessions, assemble_stream, run_available
 
 
+def _live(spark, sf, change=lambda raw: raw, before=None):
+    """The live pipeline over what the data set holds."""
+    home = work_path(spark, "live")
+    bridge = Bridge(spark, f"{home}/tables", f"{home}/state")
+    if before:
+        before(bridge)
+    start_bridge(
+        change(raw_events(events_stream(spark, sf))), bridge, f"{home}/checkpoint", interval=None
+    ).awaitTermination()
+    return bridge
+
+
+@query("b11_j1_live_counters", sql("""
+SELECT count(*) AS received, count(*) FILTER (WHERE seq % 7 = 0) AS unrouted,
+  count(*) FILTER (WHERE seq % 7 <> 0 AND seq % 5 = 0 AND event_type IN ('click', 'view')) AS skipped,
+  count(*) FILTER (WHERE seq % 7 <> 0 AND seq % 5 <> 0 AND event_type = 'click') AS empatica,
+  count(*) FILTER (WHERE seq % 7 <> 0 AND seq % 5 <> 0 AND event_type = 'view') AS blueiot,
+  (SELECT count(*) FROM kept) AS global_state_events,
+  count(*) FILTER (WHERE seq % 7 <> 0 AND event_type NOT IN ('click', 'view')) - (SELECT count(*) FROM kept) AS unchanged FROM raw""",
+    kept="""SELECT * FROM (SELECT *, lag(value) OVER (PARTITION BY key ORDER BY seq) AS before FROM raw
+  WHERE source_type = 'key' AND seq % 7 <> 0) WHERE before IS DISTINCT FROM value"""))
+def b11_live(spark, sf):
+    """What the live pipeline counts of a feed with events that no rule takes and that name no device."""
+    names = ["received", "unrouted", "skipped", EMPATICA, BLUEIOT, STATE, "unchanged"]
+    return read_stats(_live(spark, sf, with_faults)).agg(*[F.sum(n).alias(n) for n in names])
+
+
+@query("b8_compacted_output", sql("""
+SELECT event_timestamp, state_key, ticket_id, state_value FROM live_state"""))
+def b8(spark, sf):
+    bridge = _live(spark, sf)
+    done = read_output(bridge, STATE).agg(F.max("batch_id")).first()[0] + 1
+    return compact_output(bridge, STATE, done).select("event_timestamp", "state_key", "ticket_id", "state_value")
+
+
 @query("j1_j2_j5_live_pipeline", sql("""
 SELECT 'empatica' AS table_name, event_timestamp, device_id AS id, ticket_id, CAST(CAST(heart_rate AS BIGINT) AS VARCHAR) AS reading
 FROM live_empatica
 UNION ALL SELECT 'blueiot', event_timestamp, device_id, ticket_id, CAST(room AS VARCHAR) FROM live_blueiot
 UNION ALL SELECT 'global_state_events', event_timestamp, state_key, ticket_id, state_value FROM live_state"""))
 def j1(spark, sf):
-    home = work_path(spark, "live")
-    bridge = Bridge(spark, f"{home}/tables", f"{home}/state")
-    start_bridge(
-        raw_events(events_stream(spark, sf)), bridge, f"{home}/checkpoint", interval=None
-    ).awaitTermination()
+    bridge = _live(spark, sf)
     shapes = [
         (EMPATICA, "device_id", F.col("heart_rate").cast("bigint").cast("string")),
         (BLUEIOT, "device_id", F.col("room").cast("string")),
@@ -67,10 +98,26 @@ def j3_sessions(spark, sf):
     return rounded(assemble_sessions(visits(spark, sf), "heart_rate", "1 hour"), "heart_rate")
 
 
+@query("j3_session_stream", sql("""
+SELECT session_start, session_end, device_id, heart_rate, source_rows FROM (
+  SELECT min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL 1 HOUR AS session_end, device_id,
+    round(avg(heart_rate), 6) AS heart_rate, count(*) AS source_rows
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY device_id ORDER BY event_timestamp, event_id) AS part FROM (
+    SELECT *, CASE WHEN event_timestamp < lag(event_timestamp) OVER (PARTITION BY device_id
+      ORDER BY event_timestamp, event_id) + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS fresh FROM ve))
+  GROUP BY device_id, part)
+WHERE session_end <= (SELECT max(event_timestamp) FROM ve) - INTERVAL 10 MINUTE"""))
+def j3_session_stream(spark, sf):
+    """Sessions that the watermark (ten minutes behind the newest event) has closed."""
+    home = work_path(spark, "sessions")
+    stream = assemble_sessions(visitor_events(events_stream(spark, sf)), "heart_rate", "1 hour", "10 minutes")
+    return rounded(run_available(stream, f"{home}/out", f"{home}/checkpoint"), "heart_rate")
+
+
 @query("j4_stream_changed_keys", sql("SELECT seq, source_type, key, value FROM changed"))
 def j4(spark, sf):
     home = work_path(spark, "changes")
-    stream = changed_keys_stream(key_events(raw_events(events_stream(spark, sf))))
-    return run_available(
-        stream.select("seq", "source_type", "key", "value"), f"{home}/out", f"{home}/checkpoint"
-    )
+    columns = ["seq", "source_type", "key", "value"]
+    stream = key_events(raw_events(events_stream(spark, sf)))
+    start_changes(stream, f"{home}/out", f"{home}/state", f"{home}/checkpoint", columns).awaitTermination()
+    return spark.read.schema(stream.select(*columns).schema).parquet(f"{home}/out").select(*columns)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,49 +190,72 @@ def table_schema(table: str, tables: dict[str, Table] = TABLES) -> T.StructType:
     return struct_of(tables[table].columns)
 
 
+def _compiles(regex: str | None) -> bool:
+    try:
+        return re.compile(regex or "") is not None
+    except re.error:
+        return False
+
+
+# What must hold of a rule and of a table: the field it is about, the test, and what to say.
+RULE_CHECKS = (
+    ("source_type", lambda r: r.source_type in (KEY, CHANNEL), f"is neither {KEY} nor {CHANNEL}"),
+    ("target_table", lambda r: r.target_table in TABLE_NAMES, f"is none of {', '.join(TABLE_NAMES)}"),
+    ("id_regex", lambda r: r.id_regex or r.target_table not in (EMPATICA, BLUEIOT), "is needed to find the device"),
+    ("id_regex", lambda r: _compiles(r.id_regex), "is no regular expression"),
+)
+TABLE_CHECKS = (
+    ("columns", lambda t: len({c.name for c in t.columns}) == len(t.columns), "name a column twice"),
+    ("clustering", lambda t: set(t.clustering) <= {c.name for c in t.columns}, "names no column of the table"),
+    ("partition_field", lambda t: t.partition_field in {c.name for c in t.columns}, "is no column of the table"),
+)
+
+
+def _faults(thing, checks) -> list[str]:
+    return [f"{name} {said}" for name, holds, said in checks if not holds(thing)]
+
+
+def _absent(raw: dict, needed) -> list[str]:
+    return [f"{name} is missing" for name in needed if raw.get(name) is None]
+
+
+def rule_faults(raw: dict) -> list[str]:
+    """Everything that is wrong with a described rule."""
+    return _absent(raw, ("name", "source_type", "pattern", "target_table")) or _faults(_rule(raw), RULE_CHECKS)
+
+
+def _rule(raw: dict) -> Rule:
+    known = {f.name: raw[f.name] for f in fields(Rule) if raw.get(f.name) is not None}
+    return Rule(**known | {"value_is_object": bool(raw.get("value_is_object"))})
+
+
 def check_rule(raw: dict) -> Rule:
-    """Turns a described rule into a ``Rule`` or says what is wrong with it."""
-    for name in ("name", "source_type", "pattern", "target_table"):
-        if name not in raw:
-            raise ConfigError(f"routing rule lacks {name}")
-    if raw["source_type"] not in (KEY, CHANNEL):
-        raise ConfigError(f"source type must be key or channel, not {raw['source_type']}")
-    if raw["target_table"] not in TABLE_NAMES:
-        raise ConfigError(f"target table must be one of {TABLE_NAMES}, not {raw['target_table']}")
-    regex = raw.get("id_regex")
-    if raw["target_table"] in (EMPATICA, BLUEIOT) and not regex:
-        raise ConfigError(f"a rule for {raw['target_table']} needs an id regex")
-    if regex:
-        try:
-            re.compile(regex)
-        except re.error as error:
-            raise ConfigError(f"bad id regex: {error}") from error
-    return Rule(raw["name"], raw["source_type"], raw["pattern"], raw["target_table"], regex,
-                bool(raw.get("value_is_object", False)))
+    """Turns a described rule into a ``Rule``, or reports all its faults."""
+    return check_rules([raw])[0]
 
 
 def check_rules(raw_rules) -> tuple[Rule, ...]:
-    rules = []
-    for position, raw in enumerate(raw_rules):
-        try:
-            rules.append(check_rule(raw))
-        except ConfigError as error:
-            raise ConfigError(f"routing rule {position}: {error}") from error
-    return tuple(rules)
+    """Turns described rules into ``Rule``s, or reports the faults of all of them together."""
+    found = {at: faults for at, raw in enumerate(raw_rules) if (faults := rule_faults(raw))}
+    if found:
+        raise ConfigError("; ".join(f"rule {at}: {', '.join(faults)}" for at, faults in found.items()))
+    return tuple(map(_rule, raw_rules))
 
 
 def check_table(name: str, raw: dict) -> Table:
-    """Turns a described table into a ``Table``; mappings and types are optional."""
-    for needed in ("partition_field", "partition_type", "clustering", "columns"):
-        if needed not in raw:
-            raise ConfigError(f"table {name} lacks {needed}")
-    columns = tuple(
-        Column(c["name"], c["type"], c.get("mode", "NULLABLE") == "REQUIRED",
-               repeated=c.get("mode") == "REPEATED")
-        for c in raw["columns"]
-    )
-    return Table(name, columns, tuple(raw["clustering"]), dict(raw.get("field_mappings", {})),
-                 dict(raw.get("field_types", {})), raw["partition_field"], raw["partition_type"])
+    """Turns a described table into a ``Table``, or reports its faults; mappings and types are optional."""
+    faults = _absent(raw, ("partition_field", "partition_type", "clustering", "columns"))
+    if not faults:
+        columns = [Column(c["name"], c["type"], c.get("mode") == "REQUIRED", repeated=c.get("mode") == "REPEATED") for c in raw["columns"]]
+        optional = {f: dict(raw[f]) for f in ("field_mappings", "field_types") if f in raw}
+        table = Table(
+            name, tuple(columns), tuple(raw["clustering"]), **optional,
+            partition_field=raw["partition_field"], partition_type=raw["partition_type"],
+        )
+        faults = _faults(table, TABLE_CHECKS)
+    if faults:
+        raise ConfigError(f"table {name}: {', '.join(faults)}")
+    return table
 
 
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -51,14 +52,14 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A local session without the setting gets a new temporary folder; a cluster
+    A session in one process without the setting gets a new temporary folder; a cluster
     without it is an error, because a machine-local folder would be lost with
     the machine.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="footfall-")
     spark.conf.set(CHECKPOINT_SETTING, folder)
@@ -81,6 +82,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's size estimate of a frame, huge when it knows nothing.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,8 +13,10 @@ from footfall.operators.export import (
     FORMATS,
     RangeSpec,
     TicketSpec,
+    partition_start,
     rows_of_tickets,
     state_context,
+    state_in_lifetimes,
     ticket_rows,
     ticket_timeframes,
     time_range,
@@ -22,8 +25,6 @@ from footfall.operators.replay import as_log, combined_replay, in_replay_order,
 from footfall.rules import STATE, TABLES, Table, table_schema
 
 CODECS = ("snappy", "gzip", "zstd", "none")
-PARTITION_UNITS = ("HOUR", "DAY", "MONTH", "YEAR")
-
 
 def write_parquet(
     df: DataFrame, path: str, codec: str = "snappy", row_group_rows: int = 100_000
@@ -78,11 +79,8 @@ def write_metadata(spark: SparkSession, spec: TicketSpec, files: dict[str, str],
 
 
 def partition_value(table: Table) -> Column:
-    """Start of the partition a row belongs to; an unknown unit means days."""
-    unit = table.partition_type if table.partition_type in PARTITION_UNITS else "DAY"
-    if unit == "HOUR":
-        return F.date_format(F.date_trunc("HOUR", table.partition_field), "yyyy-MM-dd-HH")
-    return F.to_date(F.date_trunc(unit, table.partition_field))
+    """The partition a row belongs to."""
+    return partition_start(F.col(table.partition_field), table.partition_type)
 
 
 def write_partitioned(
@@ -90,21 +88,19 @@ def write_partitioned(
     table: str,
     path: str,
     batch_id: int | None = None,
-    small: bool = False,
     tables: dict[str, Table] = TABLES,
 ) -> None:
     """Writes rows below ``event_date=…``, clustered inside the files.
 
     Rows are spread by range over (day, clustering, time), which splits a day or device of
-    any size over tasks, keeps files few, and makes min/max statistics selective. A
-    ``small`` input, one that fits a task, gets one file per day instead. With ``batch_id`` the rows go below ``batch_id=…`` too and replace what an
-    earlier attempt of the same batch wrote, so a retry leaves no duplicates.
+    any size over tasks, keeps files few, and makes min/max statistics selective. With
+    ``batch_id`` the rows go below ``batch_id=…`` too and replace what an earlier attempt of
+    the same batch wrote, so a retry leaves no duplicates.
     """
     spec = tables[table]
     rows = rows.withColumn("event_date", partition_value(spec))
     parts, layout = ["event_date"], ["event_date", *spec.clustering, spec.partition_field]
-    rows = rows.repartition("event_date") if small else rows.repartitionByRange(*layout)
-    rows = rows.sortWithinPartitions(*layout)
+    rows = rows.repartitionByRange(*layout).sortWithinPartitions(*layout)
     writer = rows.write
     if batch_id is None:
         writer = writer.mode("append")
@@ -144,19 +140,16 @@ def verify_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, bool]
             report[table] = False
             continue
         partitioned = any(c.isPartition for c in spark.catalog.listColumns(name))
-        properties = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").take(100)}
-        report[table] = partitioned and "clustering" in properties
+        declared = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'clustering'")
+        report[table] = partitioned and not declared.isEmpty()
     return report
 
 
 def table_info(spark: SparkSession, name: str) -> dict:
     """Rows, bytes, number of columns and partition columns of a catalog table."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-    # DESCRIBE gives one row per column and property
-    described = {
-        r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").take(10_000)
-    }
-    statistics = described.get("Statistics", "")
+    found = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'").first()
+    statistics = found["data_type"] if found else ""
     numbers = [int(p) for p in statistics.replace(",", "").split() if p.isdigit()]
     columns = spark.catalog.listColumns(name)
     return {
@@ -224,21 +217,52 @@ def export_ticket(tables: dict[str, DataFrame], spec: TicketSpec, out_dir: str)
     return files
 
 
-def export_tickets(tables: dict[str, DataFrame], tickets: DataFrame, out_dir: str) -> None:
-    """Exports the rows of many tickets in one job per table, one folder per ticket.
+def export_tickets(
+    tables: dict[str, DataFrame],
+    tickets: DataFrame,
+    out_dir: str,
+    fmt: str = "parquet",
+    inclusive_end: bool = False,
+) -> None:
+    """Exports many tickets in one job per table: as ``export_ticket`` does each, one folder per ticket.
 
-    Rows are spread by range over (ticket, time), so a big ticket spans several tasks and
-    a small one lands in one file.
+    A ticket gets its sensor rows and every state event, of any ticket, in its lifetime; the
+    folders are named ``for_ticket=…``. ``metadata`` has one row per ticket and table: rows
+    and times. Rows are spread by range over (ticket, time), so a big ticket spans several
+    tasks and a small one lands in one file.
     """
+    if fmt not in ("parquet", "jsonl"):
+        raise ValueError("many tickets are exported as parquet or jsonl")
+    wanted = tickets.select(F.col("entry").alias("ticket_id")).distinct()
+    lifetimes = ticket_timeframes(tables).join(wanted, "ticket_id", "left_semi")
+    counts = []
     for table, df in tables.items():
-        (
-            rows_of_tickets(df, tickets)
-            .repartitionByRange("ticket_id", "event_timestamp")
-            .sortWithinPartitions("ticket_id", "event_timestamp")
+        if table == STATE:
+            rows = state_in_lifetimes(df, lifetimes, inclusive_end=inclusive_end)
+        else:
+            rows = rows_of_tickets(df, tickets).withColumn("for_ticket", F.col("ticket_id"))
+        path = os.path.join(out_dir, table)
+        writer = (
+            rows.repartitionByRange("for_ticket", "event_timestamp")
+            .sortWithinPartitions("for_ticket", "event_timestamp")
             .write.mode("overwrite")
-            .partitionBy("ticket_id")
-            .parquet(os.path.join(out_dir, table))
+            .partitionBy("for_ticket")
         )
+        if fmt == "parquet":
+            writer.parquet(path)
+        else:
+            writer.option("ignoreNullFields", "false").json(path)
+        seen = read_exported(rows, path, fmt).groupBy("for_ticket").agg(
+            F.count("*").alias("rows"), F.min("event_timestamp").alias("earliest"), F.max("event_timestamp").alias("latest")
+        )
+        counts.append(seen.select(F.lit(table).alias("table_name"), "*", F.lit(fmt).alias("format"), F.lit(path).alias("path")))
+    reduce(DataFrame.unionByName, counts).write.mode("overwrite").parquet(os.path.join(out_dir, "metadata"))
+
+
+def read_exported(rows: DataFrame, path: str, fmt: str) -> DataFrame:
+    """What ``export_tickets`` wrote for a table whose rows look like ``rows``."""
+    reader = rows.sparkSession.read.schema(rows.schema)
+    return reader.parquet(path) if fmt == "parquet" else reader.json(path)
 
 
 def write_single_replay(df: DataFrame, path: str, fmt: str = "parquet") -> None:

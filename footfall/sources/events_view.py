@@ -69,8 +69,8 @@ def visitor_events(events: DataFrame) -> DataFrame:
     )
 
 
-def raw_events(events: DataFrame, uuid_tickets: bool = False) -> DataFrame:
-    """The key/channel feed; ``uuid_tickets`` gives tickets the UUID shape."""
+def raw_events(events: DataFrame, uuid_tickets: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The key/channel feed; ``uuid_tickets`` gives tickets the UUID shape, ``keep`` columns of ``events`` stay."""
     k, kind, eid = F.col("k"), F.col("event_type"), F.col("event_id")
     ticket = _text("T", (F.col("user_id") * 7 + k) % 40)
     if uuid_tickets:
@@ -117,6 +117,7 @@ def raw_events(events: DataFrame, uuid_tickets: bool = False) -> DataFrame:
             F.when(kind.isin("click", "view"), "channel").otherwise("key").alias("source_type"),
             "_m.key",
             "_m.value",
+            *keep,
             F.when(kind == "error", F.lit(-1).cast("bigint")).when(kind == "purchase", k).alias("ttl"),
         )
     )

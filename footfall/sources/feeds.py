@@ -12,6 +12,10 @@ from footfall.rules import CHANNEL, KEY, RAW_SCHEMA, table_schema
 REPLAY_SCHEMA = "timestamp bigint, type string, key string, value binary, ttl bigint"
 
 
+# Files that a micro-batch takes in unless told otherwise: after a stop, a backlog is worked off in steps.
+MAX_FILES = 64
+
+
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(RAW_SCHEMA).load(path)
 
@@ -20,12 +24,12 @@ def stream_raw(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     max_bytes: str | None = None,
 ) -> DataFrame:
-    """The raw feed as a stream; the limits bound what one micro-batch takes in."""
+    """The raw feed as a stream; the limits bound what one micro-batch takes in (``max_bytes`` instead of ``max_files`` where given)."""
     reader = spark.readStream.format(fmt).schema(RAW_SCHEMA)
-    if max_files:
+    if max_files and not max_bytes:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,12 +18,10 @@ from footfall.operators.ordered import PLAIN, SLICE_ROWS
 from footfall.operators.projection import conform, enriched_events, sensor_table, state_rows
 from footfall.operators.routing import route
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLE_NAMES, table_schema
+from footfall.session import remove_path, written
 from footfall.sinks.writers import write_partitioned
-from footfall.streaming.changes import suppress_unchanged_stream
+from footfall.streaming.changes import KEPT, changes_in_batch
 
-# Versions of the open assignments that are kept. A batch reads the one before its own,
-# and only the newest batch is ever run again.
-SLOTS = 4
 OPEN_SCHEMA = "seq bigint, ticket_id string, device_id string"
 
 
@@ -31,10 +29,11 @@ OPEN_SCHEMA = "seq bigint, ticket_id string, device_id string"
 class Bridge:
     """One pass of the pipeline over a micro-batch, repeatable by batch id.
 
-    The only state kept here is the table of open assignments, at most one row per device,
-    written once per batch below ``state_dir``. A batch reads the version before its own,
-    so running it again gives the same rows, and its output replaces what an earlier
-    attempt left: at-least-once delivery with exactly-once effect.
+    State is kept by batch below ``state_dir``: the open assignments, at most one row per
+    device, and the last value hash per key. A batch reads the versions before its own, so
+    running it again, or setting the stream back by up to ``KEPT`` batches, gives the same
+    rows, and its output replaces what an earlier attempt left: at-least-once delivery with
+    exactly-once effect. Counters of each batch are written to ``state_dir/stats``.
     """
 
     spark: SparkSession
@@ -46,7 +45,7 @@ class Bridge:
     stats: list[dict] = field(default_factory=list)
 
     def _version(self, batch_id: int) -> str:
-        return os.path.join(self.state_dir, "open_assignments", f"slot={batch_id % SLOTS}")
+        return os.path.join(self.state_dir, "open_assignments", f"version={batch_id}")
 
     def _open_before(self, batch_id: int) -> DataFrame:
         if batch_id > 0:
@@ -56,39 +55,51 @@ class Bridge:
         return self.spark.createDataFrame([], OPEN_SCHEMA)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Routes, assigns, enriches and appends one micro-batch of changed events."""
-        seen = Observation()
-        routed = route(batch, self.rules, keep_unmatched=True).observe(
-            seen,
-            F.count("*").alias("received"),
-            F.count_if(F.col("target_table").isNull()).alias("unrouted"),
-            *[F.count_if(F.col("target_table") == t).alias(t) for t in TABLE_NAMES],
-        ).persist()
+        """Routes, drops unchanged values, assigns, enriches and writes one micro-batch."""
+        all_routed = route(batch, self.rules, keep_unmatched=True).persist()
+        held = [all_routed]
         try:
-            # The batch has no size estimate, but the source's limits keep it countable.
-            slices = PLAIN if routed.count() <= SLICE_ROWS else SLICE_ROWS
+            # before routing and suppression: what came, and what no rule takes
+            found = all_routed.agg(F.count("*").alias("received"), F.count_if(F.col("target_table").isNull()).alias("unrouted")).first()
+            # A batch of fewer rows than a slice holds no heavy key, so there is nothing to look for.
+            slices = PLAIN if found["received"] <= SLICE_ROWS else SLICE_ROWS
+            routed = all_routed.where("target_table is not null")
+            changed = changes_in_batch(routed, os.path.join(self.state_dir, "hashes"), batch_id, slices).persist()
+            held.append(changed)
             # The batch's own events come after everything that is already open.
-            log = self._open_before(batch_id).unionByName(assignment_log(routed))
+            log = self._open_before(batch_id).unionByName(assignment_log(changed))
             intervals = assignment_intervals(log, slices).persist()
-            still_open = open_assignments(intervals).select(
-                F.col("start_seq").alias("seq"), "ticket_id", "device_id"
-            )
+            held.append(intervals)
+            still_open = open_assignments(intervals).select(F.col("start_seq").alias("seq"), "ticket_id", "device_id")
             still_open.write.mode("overwrite").parquet(self._version(batch_id))
-            sensors = enriched_events(routed, intervals, "marks", slices).persist()
+            sensors = enriched_events(changed, intervals, slices).persist()
+            held.append(sensors)
             rows = {t: sensor_table(sensors, t) for t in (EMPATICA, BLUEIOT)}
-            rows[STATE] = state_rows(routed)
+            rows[STATE] = state_rows(changed)
             for table, df in rows.items():
                 ready = conform(df, table)
                 if self.dry_run:
                     ready.write.format("noop").mode("overwrite").save()
                 else:
-                    path = os.path.join(self.out_dir, table)
-                    write_partitioned(ready, table, path, batch_id, small=slices == PLAIN)
-            for used in (intervals, sensors):
-                used.unpersist()
-            self.stats.append({"batch_id": batch_id, **seen.get})
+                    write_partitioned(ready, table, os.path.join(self.out_dir, table), batch_id)
+            self._report(batch_id, found, changed)
+            remove_path(self.spark, self._version(batch_id - KEPT))
         finally:
-            routed.unpersist()
+            for used in held:
+                used.unpersist()
+
+    def _report(self, batch_id: int, source: Row, changed: DataFrame) -> None:
+        """Counts what each table got and what was skipped for want of a device: one row per table."""
+        kept = F.count_if((F.col("target_table") == STATE) | F.col("device_id").isNotNull()).alias("kept")
+        parts = {r["target_table"]: r for r in changed.groupBy("target_table").agg(kept, F.count("*").alias("n")).collect()}
+        found = {"batch_id": batch_id, **source.asDict()}
+        found["skipped"] = sum(r["n"] - r["kept"] for r in parts.values())
+        found |= {t: parts[t]["kept"] if t in parts else 0 for t in TABLE_NAMES}
+        found["unchanged"] = found["received"] - found["unrouted"] - sum(r["n"] for r in parts.values())
+        self.stats.append(found)
+        del self.stats[:-KEPT]  # the whole history is in the table
+        row = self.spark.createDataFrame([found], ", ".join(f"{name} bigint" for name in found))
+        row.write.mode("overwrite").parquet(os.path.join(self.state_dir, "stats", f"version={batch_id}"))
 
 
 def start_bridge(
@@ -100,13 +111,10 @@ def start_bridge(
 ) -> StreamingQuery:
     """Starts the pipeline on a raw stream; ``interval=None`` takes what is there and ends.
 
-    Unrouted events leave before change detection. How much one batch takes in is set on
-    the source (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
+    How much one batch takes in is set on the source (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
     """
-    routed = route(raw, bridge.rules)
-    changed = suppress_unchanged_stream(routed).select(*raw.columns)
     writer = (
-        changed.writeStream.queryName(name)
+        raw.writeStream.queryName(name)
         .foreachBatch(bridge.process)
         .option("checkpointLocation", checkpoint)
     )
@@ -114,8 +122,35 @@ def start_bridge(
     return writer.trigger(**trigger).start()
 
 
+def table_columns(table: str) -> str:
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(table).fields]
+    return ", ".join([*fields, "event_date date", "batch_id bigint"])
+
+
 def read_output(bridge: Bridge, table: str) -> DataFrame:
     """What the pipeline has written to a table so far."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in table_schema(table).fields]
-    schema = ", ".join([*fields, "event_date date", "batch_id bigint"])
-    return bridge.spark.read.schema(schema).parquet(os.path.join(bridge.out_dir, table))
+    return bridge.spark.read.schema(table_columns(table)).parquet(os.path.join(bridge.out_dir, table))
+
+
+def read_stats(bridge: Bridge) -> DataFrame:
+    """The counters of every batch: received, unrouted, unchanged, skipped for want of a device, rows by table."""
+    names = ["batch_id", "received", "unrouted", "skipped", *TABLE_NAMES, "unchanged"]
+    schema = ", ".join(f"{n} bigint" for n in names)
+    return bridge.spark.read.schema(schema).parquet(os.path.join(bridge.state_dir, "stats"))
+
+
+def compact_output(bridge: Bridge, table: str, below: int) -> DataFrame:
+    """Rewrites what the batches before ``below`` wrote as the rows of one batch, ``below - 1``.
+
+    Run it beside the stream for batches that are done: every small file of theirs goes into a
+    few large ones. The rows are written to a new place first, and swapped in day by day.
+    """
+    spark, path = bridge.spark, os.path.join(bridge.out_dir, table)
+    old = spark.read.schema(table_columns(table)).parquet(path).where(F.col("batch_id") < below)
+    whole = written(old.drop("event_date", "batch_id"), f"compact-{table}")
+    parts = written(old.select("event_date", "batch_id").distinct(), "compact-parts")
+    write_partitioned(whole, table, path, below - 1)
+    # one row for each day and batch that was merged
+    for row in parts.where(F.col("batch_id") < below - 1).toLocalIterator():
+        remove_path(spark, os.path.join(path, f"event_date={row.event_date}", f"batch_id={row.batch_id}"))
+    return read_output(bridge, table)

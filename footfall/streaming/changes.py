@@ -1,70 +1,77 @@
-"""Change detection on a stream: the last value hash per key as state."""
+"""Change detection on a stream: the last value hash per key as a table of versions.
+
+A micro-batch reads the hashes as they were before it, compares each of its events with the
+one before, and writes the hashes of its own keys as a new version. So a batch that runs again
+finds what it found the first time, and a write is as large as the batch, not as the state.
+Every ``COMPACT`` batches a version holds the whole state, and older ones are no longer read.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions.text import hash_text
-from footfall.rules import KEY, RAW_SCHEMA
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from footfall.operators.ordered import neighbours
+from footfall.rules import KEY
+from footfall.session import remove_path
 
+COMPACT = 50
+# Versions that stay behind the newest whole state, so that a stream can be set back as far.
+KEPT = 2 * COMPACT
+HASHES = "key string, value_hash string, version bigint"
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed state on disk: the number of keys is not bounded by executor memory."""
-    spark.conf.set(STATE_STORE, ROCKSDB)
 
+def _version(folder: str, batch_id: int) -> str:
+    return os.path.join(folder, f"version={batch_id}")
 
-WHOLE_NUMBERS = [f.name for f in RAW_SCHEMA.fields if isinstance(f.dataType, T.LongType)]
 
+def hashes_before(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    """(key, value_hash): the last hash of every key before a batch."""
+    first = max(0, (batch_id - 1) // COMPACT * COMPACT)
+    paths = [_version(folder, i) for i in range(first, batch_id)]
+    if not paths:
+        return spark.createDataFrame([], "key string, value_hash string")
+    read = spark.read.schema(HASHES).parquet(*paths)
+    return read.groupBy("key").agg(F.max_by("value_hash", "version").alias("value_hash"))
 
-class LastValue(StatefulProcessor):
-    """Lets a key's event through when its hash differs from the one before."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "hash string")
+def changed_in_batch(key_events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None) -> DataFrame:
+    """The key events of a micro-batch whose value differs from the one before; writes the batch's version."""
+    spark = key_events.sparkSession
+    as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
+    hashed = key_events.withColumn("value_hash", hash_text(F.col("value"), as_object))
+    before = hashes_before(spark, folder, batch_id)
+    seen = neighbours(
+        hashed, ["key"], ["seq"], F.col("seq"), prev={"_before": "value_hash", "_seq_before": "seq"}, slice_rows=slice_rows
+    )
+    known = seen.join(before.withColumnRenamed("value_hash", "_known"), "key", "left")
+    last = F.when(F.col("_seq_before").isNull(), F.col("_known")).otherwise(F.col("_before"))
+    newest = hashed.groupBy("key").agg(F.max_by("value_hash", "seq").alias("value_hash"))
+    if batch_id and batch_id % COMPACT == 0:
+        newest = before.join(newest, "key", "left_anti").unionByName(newest)
+    newest.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(_version(folder, batch_id))
+    if batch_id % COMPACT == 0:
+        for old in range(max(0, batch_id - KEPT - COMPACT), batch_id - KEPT):
+            remove_path(spark, _version(folder, old))
+    return known.where(last.isNull() | (last != F.col("value_hash"))).select(*key_events.columns)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One key's rows of one micro-batch, whose size the trigger limits bound.
-        batch = pd.concat(list(rows)).sort_values("seq")
-        # pandas turns a whole-number column with gaps into floats
-        batch = batch.astype({c: "Int64" for c in WHOLE_NUMBERS if c in batch.columns})
-        before = batch["value_hash"].shift(1)
-        if self._last.exists():
-            before.iloc[0] = self._last.get()[0]
-        self._last.update((batch["value_hash"].iloc[-1],))
-        yield batch[batch["value_hash"] != before]
 
-    def close(self) -> None:
-        pass
+def changes_in_batch(events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None) -> DataFrame:
+    """Channel events as they are, key events only where the value changed."""
+    keys = changed_in_batch(events.where(F.col("source_type") == KEY), folder, batch_id, slice_rows)
+    return keys.unionByName(events.where(F.col("source_type") != KEY))
 
 
-def changed_keys_stream(key_events: DataFrame) -> DataFrame:
-    """Streaming form of ``changed_keys`` (give it key events only)."""
-    use_rocksdb(key_events.sparkSession)
-    as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
-    hashed = key_events.withColumn("value_hash", hash_text(F.col("value"), as_object))
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in hashed.schema.fields])
-    return (
-        hashed.groupBy("key")
-        .transformWithStateInPandas(
-            statefulProcessor=LastValue(),
-            outputStructType=nullable,
-            outputMode="Append",
-            timeMode="None",
-        )
-        .drop("value_hash")
-    )
+def start_changes(events: DataFrame, out: str, state: str, checkpoint: str, columns: list[str] | None = None) -> StreamingQuery:
+    """Writes the changed events of a stream below ``out`` and ends when all that is there has been read."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = changes_in_batch(batch, state, batch_id).select(*(columns or events.columns))
+        rows.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
-def suppress_unchanged_stream(events: DataFrame) -> DataFrame:
-    """Channel events pass untouched and unshuffled; key events only when changed."""
-    changed = changed_keys_stream(events.where(F.col("source_type") == KEY))
-    return changed.unionByName(events.where(F.col("source_type") != KEY))
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

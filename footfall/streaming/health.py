@@ -13,6 +13,10 @@ FEED_BACKLOG = 8_000
 ROW_BACKLOG = 4_000
 
 
+# Alerts that the listener holds; the log has all.
+KEPT_ALERTS = 1_000
+
+
 class HealthListener(StreamingQueryListener):
     """Collects an alert for every trigger that takes in or writes more than its limit, or
     that reads faster than it can process."""
@@ -43,3 +47,4 @@ class HealthListener(StreamingQueryListener):
     def _alert(self, text: str) -> None:
         log.warning(text)
         self.alerts.append(text)
+        del self.alerts[:-KEPT_ALERTS]

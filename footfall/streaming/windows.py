@@ -32,7 +32,7 @@ def assemble_sessions(
     )
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str, timeout: int = 3600) -> DataFrame:
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Runs an append-mode stream over what is there now and returns the written table."""
     query = (
         stream.writeStream.format("parquet")
@@ -42,7 +42,5 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, timeout: int = 3
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"the stream did not end within {timeout} seconds")
+    query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(out)

@@ -55,12 +55,12 @@ def case(request, raw_of):
     return raw_of(events).persist(), *replay(events)
 
 
-@pytest.mark.parametrize("plan,slice_rows", [("marks", 0), ("marks", 40), ("broadcast", 0), ("auto", None)])
-def test_enrichment_equals_replay(case, plan, slice_rows):
+@pytest.mark.parametrize("slice_rows", [0, 40, None])
+def test_enrichment_equals_replay(case, slice_rows):
     raw, seen, _ = case
     intervals = assignment.assignment_intervals(assignment.assignment_log(raw), slice_rows)
     sensor = projection.sensor_rows(routing.route(raw), EMPATICA)
-    got = assignment.ticket_at(sensor, intervals, plan, slice_rows).collect()
+    got = assignment.ticket_at(sensor, intervals, slice_rows).collect()
     assert {r["seq"]: r["ticket_id"] for r in got} == seen
 
 
@@ -71,15 +71,6 @@ def test_open_assignments_equal_replay(case):
     assert got == ticket_of
 
 
-def test_big_input_counts_the_intervals(case, spark):
-    raw, _, _ = case
-    intervals = assignment.assignment_intervals(assignment.assignment_log(raw))
-    plan, kept = assignment.choose_plan(raw, intervals, small_input=0)
-    widest = intervals.groupBy("device_id").count().agg(F.max("count")).first()[0]
-    assert plan == ("broadcast" if widest <= assignment.BROADCAST_PER_DEVICE else "marks")
-    assert kept.count() == intervals.count()
-
-
 def test_reverse_lookup(raw_of):
     raw = raw_of([
         ("key", "Visitors:T1:EmpaticaDeviceID", "D1"), ("key", "Visitors:T1:Status", "Active"),

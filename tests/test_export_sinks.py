@@ -129,9 +129,34 @@ def test_empty_tables_write_nothing(made, folder):
 def test_many_tickets_in_one_job(spark, made, folder):
     with open(f"{folder}/list.txt", "w") as f:
         f.write("# tickets\n\n T7 \nT8\n")
-    writers.export_tickets({STATE: made[STATE]}, feeds.read_list(spark, f"{folder}/list.txt"), f"{folder}/out")
-    assert sorted(os.path.basename(p) for p in glob.glob(f"{folder}/out/{STATE}/ticket_id=*")) == ["ticket_id=T7", "ticket_id=T8"]
-    assert spark.read.parquet(f"{folder}/out/{STATE}").count() == made[STATE].where("ticket_id in ('T7', 'T8')").count()
+    writers.export_tickets(made, feeds.read_list(spark, f"{folder}/list.txt"), f"{folder}/out")
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{folder}/out/{STATE}/for_ticket=*")) == ["for_ticket=T7", "for_ticket=T8"]
+    meta = {(r["table_name"], r["for_ticket"]): r["rows"] for r in spark.read.parquet(f"{folder}/out/metadata").collect()}
+    for ticket in ("T7", "T8"):
+        alone = writers.export_ticket(made, ex.TicketSpec(ticket), folder)
+        for table, path in alone.items():
+            rows = spark.read.parquet(f"{folder}/out/{table}/for_ticket={ticket}")
+            assert rows.count() == spark.read.parquet(path).count() == meta[table, ticket]
+
+
+def test_bounds_with_a_zone(made):
+    first, last = datetime.datetime(2024, 1, 5, 8, tzinfo=datetime.timezone.utc), DAY(2024, 1, 9)
+    got = ex.state_context(made[STATE], DAY(2024, 1, 1), last, start=first)
+    assert got.count() == made[STATE].where("event_timestamp >= '2024-01-05 08:00:00' and event_timestamp < '2024-01-09'").count()
+    assert ex.state_context(made[STATE], "2024-01-05 08:00:00", "2024-01-09").count() == got.count()
+
+
+def test_lifetime_counts_equal_brute_force(spark, made):
+    spans = ex.ticket_timeframes(made)
+    times = sorted(r[0] for r in made[STATE].select("event_timestamp").collect())
+    want = {}
+    for s in spans.collect():
+        inside = [t for t in times if s["first_seen"] <= t < s["last_seen"]]
+        if inside:
+            want[s["ticket_id"]] = (len(inside), inside[0], inside[-1])
+    for bucket in (60, 3600, 10_000_000):
+        rows = ex.lifetime_counts(made[STATE], spans, bucket).collect()
+        assert {r["for_ticket"]: (r["context_events"], r["from_ts"], r["to_ts"]) for r in rows} == want
 
 
 def test_partitioned_table_prunes_and_repeats_safely(spark, made, folder):
@@ -173,6 +198,12 @@ def test_describe_is_exact(spark):
         assert got == pytest.approx(list(want)), row["metric"]
 
 
+def test_describe_of_nothing(spark):
+    df = spark.createDataFrame([(1.0, None)], "x double, y double")
+    rows = {r["metric"]: r for r in profile.describe(df, ["x", "y"]).collect()}
+    assert rows["y"]["count"] == 0 and rows["y"]["p50"] is None and rows["x"]["p50"] == 1.0
+
+
 def test_describe_of_a_constant(spark):
     row = profile.describe(spark.range(10).select(F.lit(4.0).alias("x")), ["x"]).first()
     assert (row["p25"], row["p50"], row["p75"], row["std"]) == (4.0, 4.0, 4.0, 0.0)

@@ -58,9 +58,21 @@ def test_canonical_text(spark):
     assert evaluate(spark, text.canonical_text(F.col("v"), F.lit(False)), values[0]) == [values[0]]
 
 
-def test_hash_ignores_member_order_and_quotes(spark):
-    one, two, other = evaluate(spark, text.hash_text(F.col("v")), '{"a":1,"b":2}', '{"b":2, "a":1}', '{"a":2,"b":1}')
-    assert one == two != other
+def test_hash_tells_values_apart_and_never_fails(spark):
+    same = [('{"a":1,"b":2}', '{"b":2, "a":1}'), ("[1,2]", "[1, 2]"), ('{"a":1,"a":2}', '{"a":2}'), ('{"a": "x, y", "b":1, "a" : "z"}', '{"a":"z","b":1}')]
+    other = [('{"a":1}', '{"a":"1"}'), ('{"a":2,"b":1}', '{"a":1,"b":2}'), ("[1,2]", "[2,1]"), ("{bad", "{worse"), ("x", None), ('{"a":{"b":1},"c":{"b":2}}', '{"a":{"b":3},"c":{"b":2}}')]
+    got = evaluate(spark, text.hash_text(F.col("v")), *[v for pair in same + other for v in pair])
+    assert all(got[2 * i] == got[2 * i + 1] for i in range(len(same)))
+    assert all(got[2 * i] != got[2 * i + 1] for i in range(len(same), len(same + other)))
+    assert None not in got
+    plain = evaluate(spark, text.hash_text(F.col("v"), F.lit(False)), "[1,2]", "[1, 2]")
+    assert plain[0] != plain[1]
+
+
+def test_parse_time_with_zone_names(spark):
+    values = ["2025-01-09T10:30:00[Mars/Base]", "2025-01-09T10:30:00+02:00[America/New_York]", "2025-01-09T10:30:00Z[Europe/Paris]"]
+    got = evaluate(spark, F.date_format(text.parse_time(F.col("v")), "yyyy-MM-dd HH:mm"), *values)
+    assert got == [None, "2025-01-09 15:30", "2025-01-09 09:30"]
 
 
 def test_coerce(spark):

@@ -45,6 +45,7 @@ def test_carry_forward(skewed, slice_rows):
 def test_slices_are_small_and_only_for_heavy_keys(skewed):
     heavy = ordered.heavy_keys(skewed, ["key"], F.col("seq"), 300)
     assert [r["key"] for r in heavy.collect()] == ["hot"]
+    assert None in [r["key"] for r in ordered.heavy_keys(skewed, ["key"], F.col("seq"), 100).collect()]
     sliced = ordered.with_slices(skewed, ["key"], F.col("seq"), heavy)
     sizes = {(r["key"], r["_slice"]): r["count"] for r in sliced.groupBy("key", "_slice").count().collect()}
     hot = [n for (key, number), n in sizes.items() if key == "hot"]
@@ -52,6 +53,15 @@ def test_slices_are_small_and_only_for_heavy_keys(skewed):
     assert all(number is None for key, number in sizes if key != "hot")
 
 
+def test_a_burst_is_cut_by_rows_not_by_time(spark):
+    """Nearly all rows of a key, and of the null key, come within a moment of a long time."""
+    rows = [(i * 1_000_000_000 if i % 100 == 0 else i, "k" if i % 2 else None) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "seq bigint, key string").persist()
+    heavy = ordered.heavy_keys(df, ["key"], F.col("seq"), 1000)
+    sizes = ordered.with_slices(df, ["key"], F.col("seq"), heavy).groupBy("key", "_slice").count().collect()
+    assert len(sizes) >= 18 and max(r["count"] for r in sizes) <= 2000 and all(r["_slice"] is not None for r in sizes)
+
+
 def test_equal_positions_stay_in_one_slice(spark):
     rows = [(i // 50, i, "k") for i in range(1000)]
     df = spark.createDataFrame(rows, "t bigint, id bigint, key string")

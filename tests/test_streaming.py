@@ -1,5 +1,7 @@
 """Streams give what the batch operators give on the same input."""
 
+import glob
+import os
 import tempfile
 
 import pytest
@@ -10,8 +12,8 @@ from footfall.operators import assignment, changes, projection, routing
 from footfall.plans.views import feed
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.sources import feeds
-from footfall.streaming.bridge import Bridge, read_output, start_bridge
-from footfall.streaming.changes import suppress_unchanged_stream
+from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
+from footfall.streaming.changes import start_changes
 from footfall.streaming.health import HealthListener
 from footfall.streaming.windows import run_available
 
@@ -53,6 +55,13 @@ def test_pipeline_over_batches_equals_batch(spark, split_feed):
     for table, df in wanted.items():
         got = read_output(bridge, table)
         assert bag(got.collect(), df.columns) == bag(df.collect(), df.columns), table
+    # setting the stream back by two batches and running them again changes nothing
+    everything = {t: bag(read_output(bridge, t).collect(), df.columns) for t, df in wanted.items()}
+    parts = sorted(glob.glob(f"{path}/*.parquet"), key=os.path.getmtime)
+    for number in (1, 2):
+        bridge.process(feeds.read_raw(spark, parts[number]), number)
+    for table, rows in everything.items():
+        assert bag(read_output(bridge, table).collect(), wanted[table].columns) == rows, table
     # a batch that is run again replaces its own rows
     again = routing.route(changes.suppress_unchanged(feeds.read_raw(spark, path)).select(*raw.columns))
     last = bridge.stats[-1]
@@ -79,23 +88,44 @@ def test_batch_is_repeatable_and_seeded(spark, raw_of):
         bridge.process(batch, 0)
     rows = {r["steps"]: r["ticket_id"] for r in read_output(bridge, EMPATICA).collect()}
     assert rows == {1: "T9", 2: None} and read_output(bridge, EMPATICA).count() == 2
-    assert bridge.stats[0] == {"batch_id": 0, "received": 4, "unrouted": 1, "empatica": 2, "blueiot": 0, "global_state_events": 1}
+    assert bridge.stats[0] == {
+        "batch_id": 0, "received": 4, "unrouted": 1, "skipped": 0, "empatica": 2, "blueiot": 0, "global_state_events": 1, "unchanged": 0,
+    }
+    assert read_stats(bridge).count() == 1
+
+
+def test_bad_payloads_pass_and_are_counted(spark, raw_of):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    bridge = Bridge(spark, f"{home}/t", f"{home}/s")
+    values = ['{"a":1,"a":2}', '{"a":2}', '{"a":"2"}', "{bad", "[1, 2]", "[1,2]", None]
+    bridge.process(raw_of([("key", "IO:x", v) for v in values] + [("channel", "Wearables:WatchDevices::BioSensors", "{}")]), 0)
+    got = [r["state_value"] for r in read_output(bridge, STATE).orderBy("event_timestamp").collect()]
+    assert len(got) == 5 and bridge.stats[0]["unchanged"] == 2 and bridge.stats[0]["skipped"] == 1
+
+
+def test_compaction_keeps_the_rows(spark, raw_of):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    bridge = Bridge(spark, f"{home}/t", f"{home}/s")
+    for number in range(4):
+        bridge.process(raw_of([("key", "IO:x", str(number)), ("key", "IO:y", str(number))]), number)
+    before = bag(read_output(bridge, STATE).collect(), ["state_key", "state_value"])
+    merged = compact_output(bridge, STATE, 3)
+    assert bag(merged.collect(), ["state_key", "state_value"]) == before
+    assert {r["batch_id"] for r in merged.select("batch_id").distinct().collect()} == {2, 3}
 
 
 def test_dry_run_writes_no_tables(spark, raw_of):
     home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     bridge = Bridge(spark, f"{home}/t", f"{home}/s", dry_run=True)
     bridge.process(raw_of([("key", "Visitors:T9:Status", "Active")]), 0)
-    import os
-
     assert bridge.stats[0]["received"] == 1 and not os.path.exists(f"{home}/t")
 
 
 def test_change_state_survives_a_restart(spark, split_feed):
     raw, path, home = split_feed
-    out = None
     for _ in range(2):
-        stream = suppress_unchanged_stream(feeds.stream_raw(spark, path, max_files=1))
-        out = run_available(stream, f"{home}/changes", f"{home}/changes-checkpoint")
+        stream = feeds.stream_raw(spark, path, max_files=1)
+        start_changes(stream, f"{home}/changes", f"{home}/changes-state", f"{home}/changes-checkpoint").awaitTermination()
+    out = spark.read.schema(raw.schema).parquet(f"{home}/changes")
     wanted = changes.suppress_unchanged(raw)
     assert bag(out.collect(), raw.columns) == bag(wanted.collect(), raw.columns)
