@@ -135,7 +135,9 @@ def symbol_table(docs: DataFrame, places: dict[bytes, int]) -> DataFrame:
             stream = symbol_stream(shared.value, [words(t or b"") for t in batch.column(0).to_pylist()])
             yield pa.record_batch([pa.array([stream.tobytes()], pa.binary())], names=["symbols"])
 
-    return written(docs.select("text").mapInArrow(number, "symbols binary"), "symbols")
+    table = written(docs.select("text").mapInArrow(number, "symbols binary"), "symbols")
+    shared.unpersist()
+    return table
 
 
 def count_level(symbols: DataFrame, tried: np.ndarray, depth: int) -> DataFrame:
@@ -243,10 +245,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     frequent = np.append(np.flatnonzero(of_hot[:near] >= max(2, SHARE * total)) + 1, [END] if ends else [])
     symbols = symbol_table(learnt, places)
     tree = grow(SuffixTree(root), symbols, max(1, total), frequent)
-    shared = texts.sparkSession.sparkContext.broadcast((tree, places, further))
+    shared = texts.sparkSession.sparkContext.broadcast((tree, further))
 
-    def scorer():
-        model, at, rest = shared.value
+    def scorer(at: dict[bytes, int]):
+        model, rest = shared.value
         none = len(rest) - 1
 
         def of(cuts: list[list[bytes]]) -> np.ndarray:

@@ -39,6 +39,8 @@ from footfall.session import work_path
 MAGIC = b"FFTOKEN1"
 #: A file is closed once it has this many ids; a reading task holds one file at a time.
 VALUES_PER_FILE = 8_000_000
+#: Values that are coded at a time, a multiple of four.
+STEP = 1 << 20
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
@@ -65,16 +67,16 @@ def decode_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
 
 
 def file_bytes(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    flat = np.concatenate(ids).astype(np.int64)
-    counts = np.bincount(flat)
+    flat = np.concatenate(ids)
+    counts = sum(np.bincount(flat[i : i + STEP], minlength=int(flat.max()) + 1) for i in range(0, len(flat), STEP))
     ranked = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
     rank = np.zeros(len(counts), np.uint32)
     rank[ranked] = np.arange(len(ranked), dtype=np.uint32)
-    control, data = encode_values(rank[flat])
+    coded = [encode_values(rank[flat[i : i + STEP]]) for i in range(0, len(flat), STEP)]
     return b"".join([
         MAGIC, np.array([len(ids), len(flat), len(ranked)], "<u4").tobytes(), ranked.astype("<u4").tobytes(),
         bytes(i is not None for i in doc_ids), np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
-        np.array([len(x) for x in ids], "<u4").tobytes(), control, data,
+        np.array([len(x) for x in ids], "<u4").tobytes(), *(c for c, _ in coded), *(d for _, d in coded),
     ])
 
 
