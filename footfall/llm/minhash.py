@@ -9,9 +9,10 @@ are verified on the full shingle sets.
 
 Only the components are wanted, so a bucket does not list all its pairs. Each round pairs the
 members of a bucket with one of them, and members that are already in the same component are
-done. In the last round a bucket's members outside its largest component meet all others that are still in
-other components, so every pair that shares a bucket is either verified or within one
-component. Large buckets are spread over tasks by salting.
+done. In the last round the members of buckets that still hold several components meet over
+their rarest shingles: pairs of different components that may reach the similarity are
+verified too. So no pair that shares a bucket is left unless it lies within one component or
+cannot be similar enough. Large groups are spread over tasks by salting.
 
 * Null and empty texts, and texts without words, have 0 shingles and stay alone.
 * Rows that repeat an id are one document, linked to whatever one of its texts is linked to;
@@ -27,7 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import id_text, pieces_of, written
@@ -156,29 +157,63 @@ class Search:
         self.links = self.links.union(links)
         self.labels = written(components(self.links), "labels")
         known = self.labels.select(F.col("node").alias("doc"), "component")
-        self.labelled = written(
-            self.members.join(known, "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("comp")), "members"
-        )
+        comp = F.coalesce("component", "doc").alias("comp")
+        self.labelled = written(self.members.join(known, "doc", "left").select("bucket", "doc", "company", comp), "members")
 
     def star_pairs(self, number: int) -> DataFrame:
-        """Each member of a bucket with one of them, which differs from round to round."""
-        order = F.xxhash64("doc", "bucket", F.lit(number))
+        """Each member of a bucket with one of them: first the one with most company in all its buckets, later any."""
+        order = -F.col("company") if number == 0 else F.xxhash64("doc", "bucket", F.lit(number))
         centre = self.labelled.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "doc", "comp")).alias("c"))
         centre = centre.select("bucket", F.col("c.doc").alias("b"), F.col("c.comp").alias("comp_b"))
         return self.labelled.join(centre, "bucket").filter("comp <> comp_b").select(F.col("doc").alias("a"), "b")
 
     def rest_pairs(self) -> DataFrame:
-        """The pairs of different components that share a bucket."""
-        sizes = self.labelled.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        open_ = sizes.groupBy("bucket").agg(
-            F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("n"), F.count("*").alias("comps")
-        ).filter("comps > 1").select("bucket", "main", F.ceil(F.col("n") / MEMBERS_PER_SALT).cast("int").alias("salts"))
-        mine = written(self.labelled.join(open_, "bucket"), "open-members")
+        """The pairs of different components, of those that share buckets, that may still be similar enough.
+
+        Shingles are ordered from rare to frequent. The first shingle that two similar sets share
+        stands early in both, early enough to leave room for their common part; so only pairs
+        that share such a shingle are left. Copies with many edits have many shingles that no
+        other text has, and pair with nobody.
+        """
+        comps = self.labelled.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        docs = self.labelled.join(comps, "bucket", "left_semi").select("doc", "comp").distinct()
+        rows = written(shingle_rows(self.texts.join(docs, "doc")), "open-shingles")
+        often = rows.groupBy("h").agg(F.count("*").alias("f")).filter("f > 1")
+        order = Window.partitionBy("doc", "set").orderBy("f", "h")
+        shared = F.count("*").over(Window.partitionBy("doc", "set"))
+        early = rows.join(often, "h").withColumn("place", F.col("n") - shared + F.row_number().over(order))
+        early = early.filter(100 * (F.col("n") - F.col("place") + 1) >= self.percent * F.col("n"))
+        early = written(early.select("h", "doc", "comp", "n", (F.col("n") - F.col("place") + 1).alias("left")), "early-shingles")
+
+        sizes = early.groupBy("h", "comp").agg(F.count("*").alias("k"))
+        open_ = sizes.groupBy("h").agg(
+            F.max(F.struct("k", "comp"))["comp"].alias("main"), F.sum("k").alias("k"), F.count("*").alias("comps")
+        ).filter("comps > 1").select("h", "main", F.ceil(F.col("k") / MEMBERS_PER_SALT).cast("int").alias("salts"))
+        mine = written(early.join(open_, "h"), "open-members")
         minor = mine.filter("comp <> main").select(
-            "bucket", F.col("doc").alias("a"), F.col("comp").alias("comp_a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-        )
-        others = mine.select("bucket", F.col("doc").alias("b"), "comp", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int").alias("salt"))
-        return minor.join(others, ["bucket", "salt"]).filter("comp_a <> comp").select("a", "b")
+            "h", F.col("doc").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), F.col("left").alias("left_a"),
+            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+        )
+        salt = F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int").alias("salt")
+        others = mine.select("h", F.col("doc").alias("b"), "comp", "n", "left", salt)
+        room = (100 + self.percent) * F.least("left_a", "left") >= self.percent * (F.col("n_a") + F.col("n"))
+        return minor.join(others, ["h", "salt"]).filter((F.col("comp_a") != F.col("comp")) & room).select("a", "b")
+
+
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """A row for each shingle (``h``) of each text of ``texts`` (doc, comp, text), with the set's size and a name for it."""
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chain.from_iterable(pieces_of(b, 64) for b in batches):
+            sets = shingle_sets([t.lower() for t in batch.column(2).to_pylist()], WORDS)
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            name = np.array([np.add.reduce(mix(s)) for s in sets], np.uint64).view(np.int64)
+            owner = pa.array(np.repeat(np.arange(len(sets)), n))
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+            columns = [batch.column(0), batch.column(1), pa.array(name), pa.array(n)]
+            yield pa.record_batch([*(c.take(owner) for c in columns), pa.array(flat)], names=["doc", "comp", "set", "n", "h"])
+
+    return texts.select("doc", "comp", "text").mapInArrow(shingle, "doc long, comp long, set long, n long, h long")
 
 
 def near_duplicates(
@@ -196,6 +231,9 @@ def near_duplicates(
     keys = reps.select("doc", F.posexplode("bands").alias("band", "key")).select(F.xxhash64("band", "key").alias("bucket"), "doc")
     shared = keys.groupBy("bucket").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("bucket")
     members = written(keys.join(shared, "bucket").distinct(), "bucket-members")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    company = members.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("company"))
+    members = written(members.join(company, "doc"), "bucket-members")
     involved = written(members.select("doc").distinct(), "involved")
     sigs = written(filled.join(involved, "doc", "left_semi").select("doc", "sig"), "involved-signatures")
     texts = id_text(docs, id_col, text_col).select(F.col("doc_id").alias("doc"), "text")
