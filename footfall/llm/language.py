@@ -2,15 +2,15 @@
 
 A dictionary is text of that language: short pieces of training documents. A text is compressed
 with every language's dictionary (zstandard) and gets the language with the smallest result.
-When the runner-up's result is hardly larger, the dictionaries' words decide: very short texts
-are often stored as they are, in equal sizes. If no language has more of the text's words than
-all others, it is rejected.
+When the runner-up's result is hardly larger, the dictionaries' letter triples decide: very
+short texts are often stored as they are, in equal sizes. If no language's dictionary holds the
+text's triples more often than all others, it is rejected.
 
 Letters only, in lower case, are compressed, in blocks, so that long texts are judged by the
 dictionary and not by themselves. Whole texts are used.
 
 * Null texts and texts without a letter are ``und`` with score 0, and rejected.
-* Equal in sizes and words: the alphabetically first language, rejected. One learned language wins always;
+* Equal in sizes and triples: the alphabetically first language, rejected. One learned language wins always;
   with none, all are ``und``.
 * Training rows without text or language are not learnt from; rows that repeat an id count each.
 * A dictionary comes from at most ``TRAINING_TEXTS`` documents and ``DICTIONARY`` bytes per language.
@@ -18,7 +18,9 @@ dictionary and not by themselves. Whole texts are used.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -48,6 +50,11 @@ def letters(text: str) -> bytes:
     return _other(b" ", text.lower().encode())
 
 
+def triples(raw: bytes) -> list[bytes]:
+    padded = b" " + raw.strip() + b" "
+    return [padded[i : i + 3] for i in range(len(padded) - 2)]
+
+
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> dict[str, bytes]:
     """A dictionary for each language of the rows that ``learn`` (over ``doc_id``) names."""
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
@@ -72,7 +79,7 @@ class Classifier:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.langs = sorted(dictionaries)
         self.compressors = []
-        self.words = [set(dictionaries[lang].split()) for lang in self.langs]
+        self.triples = [Counter(triples(dictionaries[lang])) for lang in self.langs]
         for lang in self.langs:
             data = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             how = zstandard.ZstdCompressionParameters(write_content_size=False, **MATCHING)
@@ -96,8 +103,7 @@ class Classifier:
         margin = float((second - sizes[best]) / second)
         if margin >= MARGIN:
             return self.langs[best], float(score), margin, False
-        words = letters(text).split()
-        known = np.array([sum(len(w) for w in words if w in own) for own in self.words])
+        known = np.array([sum(math.log1p(own[t]) for t in triples(letters(text))) for own in self.triples])
         if (known == known.max()).sum() == 1:
             return self.langs[int(known.argmax())], float(score), margin, False
         return self.langs[best], float(score), margin, True
