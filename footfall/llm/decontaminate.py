@@ -36,7 +36,7 @@ GRAM = 3
 RARE, FEW = 2e-4, 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The least alignment score as a share of the item's score with itself.
-SHARE = 0.5
+SHARE = 0.4
 GRAMS_PER_BLOCK = 1_000_000
 FILTER_BITS = 22
 HITS = "doc_id long, item_id long, score double, first_word int, last_word int, first_byte int, end_byte int"

@@ -62,7 +62,7 @@ def test_finds_copies_and_leaves_others(planted):
     assert {(r.doc_id, r.item_id) for r in rows} == want and len(rows) == len(want)
     for r in rows[:50]:
         part = texts[r.doc_id].lower().encode()[r.first_byte : r.end_byte].decode()
-        assert 0.5 <= r.score <= 1 and 15 <= r.last_word - r.first_word <= 60 and not part.startswith(" ")
+        assert d.SHARE <= r.score <= 1 and 15 <= r.last_word - r.first_word <= 60 and not part.startswith(" ")
     exact = [r for r in rows if r.item_id == 25]
     assert {r.score for r in exact} == {1.0}
     words = texts[exact[0].doc_id].split()
