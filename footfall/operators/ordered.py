@@ -33,6 +33,9 @@ HEAVY_KEYS = 50_000
 # Quantiles that cut points are chosen from; a key has at most so many slices.
 STEPS = 1024
 
+# Up to this n Spark cuts each group before the shuffle; tasks per key beyond it.
+GROUP_LIMIT, PARTS = 1_000, 64
+
 PLAIN = 0
 
 
@@ -180,8 +183,16 @@ def latest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each key; all but n per task are dropped before the shuffle."""
+    """The first ``n`` rows of each key.
+
+    Up to ``GROUP_LIMIT`` Spark drops all but n per task before the shuffle. For larger ``n``
+    each key is first dealt to ``PARTS`` tasks, which keep n rows each.
+    """
     w = W.partitionBy(*keys).orderBy(*order)
+    if n > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind]), F.lit(PARTS))
+        by_part = W.partitionBy(*keys, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_rn", F.row_number().over(by_part)).where(F.col("_rn") <= n).drop("_part", "_rn")
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 

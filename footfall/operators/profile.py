@@ -14,6 +14,8 @@ from footfall.operators.ordered import first_n
 TS = "event_timestamp"
 # Value buckets of the exact quantile search, per metric.
 QUANTILE_BUCKETS = 100_000
+# Past every finite double on the bent scale.
+BEYOND = 1_500.0
 
 
 def load_check(df: DataFrame, prefix: str = "", since=None) -> DataFrame:
@@ -90,8 +92,10 @@ def heart_rate_span(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles (linear) of each metric.
 
-    Values are counted, put into equal-width buckets, and only the buckets that hold a
-    wanted rank are looked at value by value, so no metric is sorted in one task.
+    Rows are counted in buckets, and only the buckets that hold a wanted rank are looked at
+    value by value, so no metric is sorted in one task. Buckets are of equal width on a scale
+    that is straight about the typical size of a value and logarithmic beyond, so an outlier
+    or an infinity does not squeeze all others into one. A metric without values has count 0.
     """
     long = df.select(
         F.explode(
@@ -104,22 +108,23 @@ def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+        F.percentile_approx(F.abs("value"), F.lit(0.5), F.lit(100)).alias("scale"),
     )
     # base has one row per metric, and metrics are an argument: a bounded broadcast
-    limits = F.broadcast(base.select("metric", "count", "min", "max"))
-    share = (F.col("value") - F.col("min")) / (F.col("max") - F.col("min"))
+    limits = F.broadcast(base.select("metric", "min", "max", "scale"))
+
+    def bent(value: str) -> Column:
+        unit = F.when(F.col("scale").between(1e-300, 1e300), F.col("scale")).otherwise(1.0)
+        return F.greatest(F.lit(-BEYOND), F.least(F.lit(BEYOND), F.asinh(F.col(value) / unit)))
+
+    share = (bent("value") - bent("min")) / (bent("max") - bent("min"))
     bucket = F.when(
-        F.col("max") > F.col("min"),
+        bent("max") > bent("min"),
         F.least(F.floor(share * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1)),
     ).otherwise(F.lit(0)).cast("bigint")
-    valued = (
-        long.groupBy("metric", "value")
-        .agg(F.count("*").alias("n"))
-        .join(limits, "metric")
-        .select("metric", "value", "n", bucket.alias("bucket"))
-    )
+    placed = long.join(limits, "metric").select("metric", "value", bucket.alias("bucket"))
     by_bucket = W.partitionBy("metric").orderBy("bucket")
-    sums = valued.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
+    sums = placed.groupBy("metric", "bucket").agg(F.count("*").alias("n"))
     sums = sums.withColumn("before", F.sum("n").over(by_bucket) - F.col("n"))
 
     marks = [(q, side) for q in (0.25, 0.5, 0.75) for side in ("low", "high")]
@@ -149,7 +154,7 @@ def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
     # wanted has six rows per metric
     chosen = F.broadcast(wanted.select("metric", "bucket", F.col("before").alias("base")).distinct())
     by_value = W.partitionBy("metric", "bucket").orderBy("value")
-    inside = valued.join(chosen, ["metric", "bucket"])
+    inside = placed.join(chosen, ["metric", "bucket"]).groupBy("metric", "bucket", "base", "value").agg(F.count("*").alias("n"))
     inside = inside.withColumn("before", F.col("base") + F.sum("n").over(by_value) - F.col("n"))
     picked = (
         inside.select("metric", "bucket", "value", "n", F.col("before"))

@@ -198,6 +198,16 @@ def test_describe_is_exact(spark):
         assert got == pytest.approx(list(want)), row["metric"]
 
 
+def test_describe_with_outliers(spark):
+    values = [float(i % 97) / 7 - 5 for i in range(3000)] + [1e300, -1e250, float("inf"), float("-inf"), 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = profile.describe(df, ["x"]).first()
+    want = sorted(values)
+    at = [(len(want) - 1) * q for q in (0.25, 0.5, 0.75)]
+    assert [row["p25"], row["p50"], row["p75"]] == pytest.approx([want[int(a)] + (want[int(a) + 1] - want[int(a)]) * (a % 1) for a in at])
+    assert (row["min"], row["max"]) == (float("-inf"), float("inf"))
+
+
 def test_describe_of_nothing(spark):
     df = spark.createDataFrame([(1.0, None)], "x double, y double")
     rows = {r["metric"]: r for r in profile.describe(df, ["x", "y"]).collect()}

@@ -78,6 +78,12 @@ def test_size_decides(spark, skewed):
     assert ordered.choose_slicing(spark.range(10), 5) == 5
 
 
+def test_first_n_beyond_sparks_own_limit(spark):
+    df = spark.range(9000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    got = ordered.first_n(df, ["k"], [F.desc("v")], 1500)
+    assert sorted(r["v"] for r in got.collect()) == list(range(4500, 9000))
+
+
 def test_latest_rows_keep_ties_and_are_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("a", 2, 3), ("b", 5, 4)], "k string, t int, id int")
     latest = ordered.latest_rows(df, ["k"], "t")
