@@ -148,9 +148,12 @@ def activity_level(df, device_id=None) -> DataFrame:
     )
 
 
-def events_of_devices(df, device_ids: Sequence[str] | None = None) -> DataFrame:
-    """Events of several devices, by device and newest first."""
-    hits = df if device_ids is None else df.where(F.col("device_id").isin(list(device_ids)))
+def events_of_devices(df, devices: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """Events of several devices, by device and newest first; a frame of ``device_id`` may name very many."""
+    if isinstance(devices, DataFrame):
+        hits = df.join(devices, "device_id", "left_semi")
+    else:
+        hits = df if devices is None else df.where(F.col("device_id").isin(list(devices)))
     return hits.select(*NARROW).orderBy("device_id", F.desc(TS))
 
 

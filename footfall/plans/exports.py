@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from footfall.functions.pseudonym import pseudonymise
 from footfall.operators import export as ex
 from footfall.operators import replay, routing
+from footfall.plans.library import busiest_sql
 from footfall.plans.pipeline import ALLOWED, ALLOWED_SQL
 from footfall.plans.registry import query
 from footfall.plans.views import feed, sql, table, tables, with_faults
@@ -172,15 +173,21 @@ for _unit, _part in PARTS.items():
 
 
 @query("b14_range_export", sql("""
-SELECT state_key, state_value, ttl_seconds FROM global_state_events
+SELECT t AS table_name, date_trunc('millisecond', event_timestamp) AS event_timestamp, id FROM (
+  SELECT 'global_state_events' AS t, event_timestamp, state_key AS id FROM global_state_events
+  UNION ALL SELECT 'empatica', event_timestamp, device_id FROM empatica UNION ALL SELECT 'blueiot', event_timestamp, device_id FROM blueiot)
 WHERE event_timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND event_timestamp < TIMESTAMP '2024-01-20 00:00:00'"""))
 def b14(spark, sf):
-    spec = ex.RangeSpec(
-        datetime.datetime(2024, 1, 5), datetime.datetime(2024, 1, 20), (STATE,), "jsonl"
-    )
+    spec = ex.RangeSpec(datetime.datetime(2024, 1, 5), datetime.datetime(2024, 1, 20), format="jsonl")
     files = writers.export_range(tables(spark, sf), spec, work_path(spark, "range-export"))
-    schema = "state_key string, state_value string, ttl_seconds bigint"
-    return spark.read.schema(schema).json(files[STATE])
+    schema = "event_timestamp timestamp, device_id string, state_key string"
+    parts = [
+        spark.read.schema(schema).json(path).select(
+            F.lit(t).alias("table_name"), "event_timestamp", F.coalesce("state_key", "device_id").alias("id")
+        )
+        for t, path in files.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("b6_ticket_export", sql("""
@@ -202,6 +209,23 @@ def b6(spark, sf):
     return log.groupBy("type", "key").agg(F.count("*").alias("records"))
 
 
+@query("b5_b6_export_side_files", sql(f"""
+SELECT ticket_id, 'replay' AS format, 3 AS tables, 'timestamp,type,key,value,ttl' AS log_columns, count(*) AS own_rows
+FROM all_rows WHERE ticket_id = {busiest_sql('ticket_id', 'all_rows')} GROUP BY ticket_id""", all_rows=ALL_ROWS))
+def b5(spark, sf):
+    """The metadata and the schema file of a ticket's export, read back."""
+    made, out = tables(spark, sf), work_path(spark, "ticket-side-files")
+    rows = ex.ticket_table_counts(made).groupBy("ticket_id").agg(F.sum("row_count").alias("own_rows"))
+    first = rows.orderBy(F.desc("own_rows"), F.desc("ticket_id")).first()
+    spec = ex.TicketSpec(first["ticket_id"], format="replay")
+    files = writers.export_ticket(made, spec, out)
+    fields = F.from_json("value", "fields array<struct<name:string>>")["fields"]["name"]
+    names = spark.read.text(f"{files['combined']}.schema").select(F.array_join(fields, ",").alias("log_columns"))
+    meta = spark.read.schema("ticket_id string, format string, tables array<string>").json(f"{out}/{spec.name}/metadata")
+    found = meta.select("ticket_id", "format", F.size("tables").alias("tables")).join(names, F.lit(True))
+    return found.withColumn("own_rows", F.lit(first["own_rows"]).cast("bigint"))
+
+
 # ---- I11 to I17, F9, D7, E22: the replay log ------------------------------------------
 
 

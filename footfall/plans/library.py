@@ -20,9 +20,20 @@ SUMMARY = """device_id, ticket_id, count(*) AS total_events, min(event_timestamp
 MEANS = ["avg_heart_rate", "avg_skin_conductivity", "avg_skin_temperature"]
 
 
-@query("q1_g1_device_events", sql(f"SELECT {WIDE} FROM ve"))
+def busiest(df, column):
+    """The value of a column with the most rows, as a scalar."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    return counts.agg(F.max_by(column, F.struct("n", column))).scalar()
+
+
+def busiest_sql(column, source="ve"):
+    return f"(SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, {column} DESC LIMIT 1)"
+
+
+@query("q1_g1_device_events", sql(f"SELECT {WIDE} FROM ve WHERE device_id = {busiest_sql('device_id')}"))
 def q1(spark, sf):
-    return vq.device_events(visits(spark, sf))
+    ve = visits(spark, sf)
+    return vq.device_events(ve, busiest(ve, "device_id"))
 
 
 @query("q2_recent_events", sql(
@@ -72,14 +83,18 @@ def q7(spark, sf):
     return rounded(vq.activity_level(visits(spark, sf)), "activity_magnitude")
 
 
-@query("q8_g3_events_of_devices", sql(f"SELECT {NARROW} FROM ve"))
+@query("q8_g3_events_of_devices", sql(f"""
+SELECT {NARROW} FROM ve WHERE device_id IN (SELECT device_id FROM ve WHERE zone = 'Zone_3' AND heart_rate > 135)"""))
 def q8(spark, sf):
-    return vq.events_of_devices(visits(spark, sf))
+    ve = visits(spark, sf)
+    listed = ve.where("zone = 'Zone_3' and heart_rate > 135").select("device_id")
+    return vq.events_of_devices(ve, listed)
 
 
-@query("q9_ticket_events", sql(f"SELECT {NARROW} FROM ve"))
+@query("q9_ticket_events", sql(f"SELECT {NARROW} FROM ve WHERE ticket_id = {busiest_sql('ticket_id')}"))
 def q9(spark, sf):
-    return vq.ticket_events(visits(spark, sf))
+    ve = visits(spark, sf)
+    return vq.ticket_events(ve, busiest(ve, "ticket_id"))
 
 
 @query("q10_i2_health_alerts", sql("""

@@ -10,6 +10,7 @@ from footfall.functions import biometrics, decode, patterns, text
 from footfall.operators import assignment, changes, projection, routing
 from footfall.operators import export as ex
 from footfall.operators import profile, replay
+from footfall.plans.library import busiest, busiest_sql
 from footfall.plans.registry import query
 from footfall.plans.views import feed, intervals, routed, routed_and_held, sql, table, tables, visits, with_faults
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, rules_frame
@@ -159,6 +160,18 @@ def c3(spark, sf):
     return routing.rule_hits(feed(spark, sf))
 
 
+@query("c6_patterns_in_use", sql("""
+SELECT pattern, coalesce(n, 0) AS events FROM (SELECT unnest(['Wearables:WatchDevices:*:BioSensors',
+  'Wearables:WatchDevices:*:BlueIoTSensors', 'Visitors:Register', 'Visitors:*:Status', 'Visitors:*:AssignDevice']) AS pattern)
+LEFT JOIN (SELECT CASE rule WHEN 'BioSensors' THEN 'Wearables:WatchDevices:*:BioSensors'
+  WHEN 'Position' THEN 'Wearables:WatchDevices:*:BlueIoTSensors' END AS pattern, count(*) AS n
+  FROM routed WHERE source_type = 'channel' GROUP BY 1) USING (pattern)"""))
+def c6(spark, sf):
+    """Every channel pattern with the events that it takes."""
+    hits = routing.rule_hits(feed(spark, sf)).where("source_type = 'channel'").select("pattern", "events")
+    return routing.patterns_of(rules_frame(spark), "channel").join(hits, "pattern", "left").na.fill(0)
+
+
 @query("c4_first_match_route", sql("""
 SELECT seq, key, rule, CASE rule WHEN 'BioSensors' THEN 'empatica' WHEN 'Position' THEN 'blueiot'
   ELSE 'global_state_events' END AS target_table, rule IN ('Rooms', 'BioSensors', 'Position') AS value_is_object
@@ -376,9 +389,10 @@ def c30_state(spark, sf):
     return ex.time_range(table(spark, sf, STATE), STATE, START, END)
 
 
-@query("c31_ticket_rows", sql("SELECT * FROM blueiot WHERE ticket_id IS NOT NULL"))
+@query("c31_ticket_rows", sql(f"SELECT * FROM blueiot WHERE ticket_id = {busiest_sql('ticket_id', 'blueiot')}"))
 def c31(spark, sf):
-    return ex.ticket_rows(table(spark, sf, BLUEIOT), BLUEIOT)
+    rows = table(spark, sf, BLUEIOT)
+    return ex.ticket_rows(rows, BLUEIOT, busiest(rows, "ticket_id"))
 
 
 @query("c35_channel_filters", sql(

@@ -68,7 +68,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return os.path.join(shared_dir(spark), "footfall", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_own_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "footfall", spark.sparkContext.applicationId)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what this application has written for its own use; call it when its results are no longer read."""
+    remove_path(spark, _own_folder(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
