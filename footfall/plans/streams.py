@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from footfall.plans.library import ASSEMBLY, ASSEMBLY_SQL
 from footfall.plans.registry import query
-from footfall.plans.views import rounded, sql, visits, with_faults
+from footfall.plans.views import feed, rounded, sql, visits, with_faults
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.session import work_path
 from footfall.sources.events_view import events_stream, raw_events, visitor_events
-from footfall.sources.feeds import key_events
+from footfall.sources.feeds import key_events, stream_raw
 from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
 from footfall.streaming.changes import start_changes
 from footfall.streaming.windows import assemble_sessions, assemble_stream, run_available
@@ -60,7 +60,10 @@ FROM live_empatica
 UNION ALL SELECT 'blueiot', event_timestamp, device_id, ticket_id, CAST(room AS VARCHAR) FROM live_blueiot
 UNION ALL SELECT 'global_state_events', event_timestamp, state_key, ticket_id, state_value FROM live_state"""))
 def j1(spark, sf):
-    bridge = _live(spark, sf)
+    return _readings(_live(spark, sf))
+
+
+def _readings(bridge):
     shapes = [
         (EMPATICA, "device_id", F.col("heart_rate").cast("bigint").cast("string")),
         (BLUEIOT, "device_id", F.col("room").cast("string")),
@@ -76,6 +79,29 @@ def j1(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+BATCHES = 12
+
+
+@query("j1_live_many_batches", sql("""
+SELECT 'empatica' AS table_name, event_timestamp, device_id AS id, ticket_id, CAST(CAST(heart_rate AS BIGINT) AS VARCHAR) AS reading
+FROM live_empatica
+UNION ALL SELECT 'blueiot', event_timestamp, device_id, ticket_id, CAST(room AS VARCHAR) FROM live_blueiot
+UNION ALL SELECT 'global_state_events', event_timestamp, state_key, ticket_id, state_value FROM live_state"""))
+def j1_many(spark, sf):
+    """The live pipeline over the feed in twelve files, a micro-batch each."""
+    home = work_path(spark, "live-many")
+    raw = feed(spark, sf)
+    ends = raw.agg(F.min("seq").alias("a"), F.max("seq").alias("b")).first()
+    for i in range(BATCHES):
+        low, high = (ends.a + (ends.b + 1 - ends.a) * n // BATCHES for n in (i, i + 1))
+        part = raw.where((F.col("seq") >= low) & (F.col("seq") < high)).coalesce(1)
+        part.write.mode("append").parquet(f"{home}/feed")  # one after the other: files are taken in order of age
+    bridge = Bridge(spark, f"{home}/tables", f"{home}/state")
+    stream = stream_raw(spark, f"{home}/feed", max_files=1)
+    start_bridge(stream, bridge, f"{home}/checkpoint", interval=None).awaitTermination()
+    return _readings(bridge)
+
+
 @query("j3_j9_e23_stream_windows", sql(
     "SELECT * FROM assembled WHERE window_end <= (SELECT max(event_timestamp) FROM ve) - INTERVAL 10 MINUTE",
     assembled=ASSEMBLY_SQL.format(width="5 SECOND")))
