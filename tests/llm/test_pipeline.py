@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 import corpus_pipeline as cp
 import public_tokenizers
 from footfall.llm import queries
-from test_near_duplicates import brute
+from .test_near_duplicates import brute
 
 SF = "/root/testdata/sf0.001"
 
