@@ -90,14 +90,15 @@ def assign(
     at = [slot for slot, _ in nodes]
     # one row for each slot of the ring: a table of fixed size
     arcs = spark.createDataFrame([(p, bisect_left(at, p) % len(nodes)) for p in range(SLOTS)], "place int, arc int")
-    total = keyed.count()
-    cells = max(1, math.ceil(total / len(nodes) / ROWS_PER_CELL)) * len(nodes)
-    placed = keyed.join(F.broadcast(arcs), "place").withColumn("cell", F.pmod("turn", F.lit(cells)).cast("int"))
-    sizes = written(placed.groupBy("arc", "cell").agg(F.count("*").alias("n")), "ring-cells")
     loads = [0] * len(nodes)
-    for r in sizes.groupBy("arc").agg(F.sum("n").alias("n")).collect():
+    for r in keyed.join(F.broadcast(arcs), "place").groupBy("arc").agg(F.count("*").alias("n")).collect():
         loads[r.arc] = r.n
-    runs, filled, table = allot(loads, [s for _, s in nodes], bounds(total, shards, load_factor)), [0] * shards, []
+    # one row for each virtual node
+    cells = spark.createDataFrame([(a, max(1, math.ceil(n / ROWS_PER_CELL))) for a, n in enumerate(loads)], "arc int, cells int")
+    placed = keyed.join(F.broadcast(arcs.join(F.broadcast(cells), "arc")), "place")
+    placed = placed.withColumn("cell", F.pmod("turn", F.col("cells")).cast("int"))
+    sizes = written(placed.groupBy("arc", "cell").agg(F.count("*").alias("n")), "ring-cells")
+    runs, filled, table = allot(loads, [s for _, s in nodes], bounds(sum(loads), shards, load_factor)), [0] * shards, []
     for arc, parts in enumerate(runs):
         for first, end, shard in parts:
             table.append((arc, first, end, shard, filled[shard]))
