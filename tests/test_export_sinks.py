@@ -15,7 +15,7 @@ from footfall.operators import export as ex
 from footfall.operators import profile
 from footfall.plans.views import tables, visits
 from footfall.rules import EMPATICA, STATE
-from footfall.session import shared_dir, work_path
+from footfall.session import remove_path, shared_dir, work_path
 from footfall.sinks import writers
 from footfall.sources import feeds
 
@@ -88,6 +88,14 @@ def test_shared_dir_is_the_sessions(spark):
     assert work_path(spark, "x") != work_path(spark, "x")
 
 
+def test_clear_work_takes_what_was_written(spark):
+    kept = work_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    assert os.path.isdir(kept) and spark.sparkContext.applicationId in kept
+    remove_path(spark, kept)
+    assert not os.path.exists(kept)
+
+
 def test_parquet_codec_and_row_groups(spark, folder):
     writers.write_parquet(spark.range(0, 1000, 1, 1), f"{folder}/p", "zstd", 300)
     meta = pq.ParquetFile(glob.glob(f"{folder}/p/*.parquet")[0]).metadata

@@ -15,7 +15,6 @@ from footfall.sources import feeds
 from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
 from footfall.streaming.changes import start_changes
 from footfall.streaming.health import HealthListener
-from footfall.streaming.windows import run_available
 
 SF = "/root/testdata/sf0.001"
 
