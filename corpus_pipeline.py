@@ -8,7 +8,6 @@ repeated rows and empty tables as its operator says.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, language, minhash, packing, quality
 from footfall.llm.common import fold, table
