@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,7 +33,3 @@ def pieces_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text as UTF-8 bytes); whatever else the frame holds stays behind."""
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("binary").alias("text"))
-
-
-def partitions_for(rows: int, per_partition: int, least: int = 1) -> int:
-    return max(least, math.ceil(rows / per_partition))

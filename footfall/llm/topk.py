@@ -80,11 +80,6 @@ class Block:
                 yield ids, products(self.vectors, matrix(part.column(1), self.vectors.shape[1])), ids[None, :] != self.ids[:, None]
 
 
-def _best(held: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    both = np.concatenate([held, scores], axis=1)
-    return -np.partition(-both, k - 1, axis=1)[:, :k] if both.shape[1] > k else both
-
-
 def _passes(vectors: DataFrame, block: Block, k: int) -> DataFrame:
     spark, n = vectors.sparkSession, len(block.ids)
     shared = spark.sparkContext.broadcast(block)
