@@ -65,7 +65,7 @@ def piece_counts(words: DataFrame, name: str) -> DataFrame:
         """A single blank: the model gives none for an empty text, so it is taken from two texts' difference."""
         return len(encode("a ", num_threads=1)) - len(encode("a", num_threads=1))
 
-    return words.select("word", "n").mapInArrow(count, "word binary, n long, x double, k long")
+    return words.mapInArrow(count, "word binary, n long, x double, k long")
 
 
 def token_counts(docs: DataFrame, name: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,5 +75,6 @@ def token_counts(docs: DataFrame, name: str = "piece_bpe_32k.model", id_col: str
     frequent = wordsums.word_counts(some, pre_tokens).filter("n > 1")
     hot = wordsums.hot_words(wordsums.written(piece_counts(frequent, name), "frequent-pieces"))
     split = wordsums.frequencies(texts, pre_tokens, hot)
-    rest = split.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("f").alias("n"))
+    # the row's number is asked for so that this and the join read one exchange
+    rest = wordsums.cold_rows(split).groupBy("word").agg(F.sum("f").alias("n"), F.max("row").alias("row"))
     return wordsums.sum_words(split, piece_counts(rest, name)).select("doc_id", "n_bytes", F.col("k").alias("n_tokens"))

@@ -82,11 +82,11 @@ def frequencies(
     docs: DataFrame,
     cut: Cut,
     hot: tuple[dict[bytes, int], np.ndarray, np.ndarray],
-    extra: Callable[[], Callable[[list[list[bytes]]], np.ndarray]] | None = None,
+    extra: Callable[[dict[bytes, int]], Callable[[list[list[bytes]]], np.ndarray]] | None = None,
 ) -> DataFrame:
     """One head row per row of ``docs`` with the sums over its hot words, and a row for each other distinct word.
 
-    ``extra`` makes, once a task, a function that gives one more number for each text's words. The result is
+    ``extra`` makes of the hot words' places, once a task, a function that gives one more number for each text's words. The result is
     a written table, so that the rows' numbers stay as they are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(hot)
@@ -94,7 +94,7 @@ def frequencies(
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, xs, ks = shared.value
         none, place = len(xs) - 1, places.get
-        more = extra() if extra else None
+        more = extra(places) if extra else None
         row = TaskContext.get().partitionId() << 33
         for batch in chain.from_iterable(pieces_of(b, 512) for b in batches):
             texts = [t or b"" for t in batch.column(1).to_pylist()]
@@ -127,6 +127,11 @@ def frequencies(
     return written(docs.select("doc_id", "text").mapInArrow(split, FREQUENCY), "word-frequencies")
 
 
+def cold_rows(split: DataFrame) -> DataFrame:
+    """(row, word, f) of the words that are not hot, dealt out by word: uses that take all columns share the exchange."""
+    return split.filter("word is not null and row is not null").select("row", "word", "f").repartition("word")
+
+
 NAMES = [c.split()[0] for c in FREQUENCY.split(", ")]
 
 
@@ -136,7 +141,7 @@ def sum_words(split: DataFrame, valued: DataFrame, x_else: float = 0.0, y_else:
     A word that ``valued`` lacks counts ``x_else`` and 0. The other words' ``y`` of ``valued``,
     where it has one (``y_else`` if it lacks the word), is added to ``extra``.
     """
-    cold = split.filter(F.col("word").isNotNull()).select("row", "word", "f")
+    cold = cold_rows(split)
     y = F.col("y") if "y" in valued.columns else F.lit(0.0)
     sums = (
         cold.join(valued.select("word", F.col("x").alias("wx"), y.alias("wy"), F.col("k").alias("wk")), "word", "left")
