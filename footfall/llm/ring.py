@@ -30,7 +30,7 @@ from footfall.llm.common import written
 
 SLOTS = 1 << 16
 VIRTUAL_NODES = 64
-ROWS_PER_CELL = 4096
+ROWS_PER_CELL = 1024
 
 
 def ring(shards: int, virtual_nodes: int = VIRTUAL_NODES) -> list[tuple[int, int]]:

@@ -75,7 +75,7 @@ def test_allot_keeps_bounds():
         assert [filled[s] for s in range(5)] == bounds
 
 
-@pytest.mark.parametrize("cell", [4096, 3])
+@pytest.mark.parametrize("cell", [1024, 3])
 def test_shards_are_even_and_whole(docs_of, monkeypatch, cell):
     monkeypatch.setattr(ring, "ROWS_PER_CELL", cell)
     texts = ["hot text"] * 150 + [f"text {i}" for i in range(240)] + [None, "", ""]
