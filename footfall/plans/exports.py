@@ -95,12 +95,34 @@ def _some_tickets(spark, sf):
     return gone.select(F.col("ticket_id").alias("entry")).distinct()
 
 
+#: All visitors that became inactive.
+GONE_TICKETS = """SELECT ticket_id, min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows
+  WHERE ticket_id IN (SELECT ticket_id FROM global_state_events WHERE state_value = 'Inactive') GROUP BY ticket_id"""
+
+
+def _gone_tickets(spark, sf):
+    """A list drawn from the data: every visitor that became inactive."""
+    gone = table(spark, sf, STATE).where("state_value = 'Inactive' and ticket_id is not null")
+    return gone.select(F.col("ticket_id").alias("entry")).distinct()
+
+
 @query("d5_state_in_lifetimes", sql("""
 SELECT f.ticket_id AS for_ticket, g.event_timestamp, g.event_source_type, g.ticket_id, g.state_key, g.state_value, g.ttl_seconds
 FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b""", all_rows=ALL_ROWS, f=SOME_TICKETS))
 def d5_rows(spark, sf):
+    return _state_in_lifetimes(spark, sf, _some_tickets(spark, sf))
+
+
+@query("d5_state_in_all_lifetimes", sql("""
+SELECT f.ticket_id AS for_ticket, g.event_timestamp, g.event_source_type, g.ticket_id, g.state_key, g.state_value, g.ttl_seconds
+FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b""", all_rows=ALL_ROWS, f=GONE_TICKETS))
+def d5_all_rows(spark, sf):
+    return _state_in_lifetimes(spark, sf, _gone_tickets(spark, sf))
+
+
+def _state_in_lifetimes(spark, sf, listed):
     made = tables(spark, sf)
-    wanted = _some_tickets(spark, sf).withColumnRenamed("entry", "ticket_id")
+    wanted = listed.withColumnRenamed("entry", "ticket_id")
     lifetimes = ex.ticket_timeframes(made).join(wanted, "ticket_id", "left_semi")
     return ex.state_in_lifetimes(made[STATE], lifetimes, bucket_seconds=86_400)
 
@@ -265,10 +287,25 @@ SELECT table_name, for_ticket, count(*) AS rows, min(t) AS earliest, max(t) AS l
   UNION ALL SELECT 'blueiot', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM blueiot e JOIN f ON e.ticket_id = f.ticket_id)
 GROUP BY table_name, for_ticket""", all_rows=ALL_ROWS, f=SOME_TICKETS))
 def a11(spark, sf):
+    return _export_listed(spark, sf, _some_tickets(spark, sf))
+
+
+@query("a10_a11_all_tickets_export", sql("""
+SELECT table_name, for_ticket, count(*) AS rows, min(t) AS earliest, max(t) AS latest, 'jsonl' AS format, count(*) AS read_back FROM (
+  SELECT 'global_state_events' AS table_name, f.ticket_id AS for_ticket, date_trunc('millisecond', g.event_timestamp) AS t
+  FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b
+  UNION ALL SELECT 'empatica', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM empatica e JOIN f ON e.ticket_id = f.ticket_id
+  UNION ALL SELECT 'blueiot', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM blueiot e JOIN f ON e.ticket_id = f.ticket_id)
+GROUP BY table_name, for_ticket""", all_rows=ALL_ROWS, f=GONE_TICKETS))
+def a11_all(spark, sf):
+    return _export_listed(spark, sf, _gone_tickets(spark, sf))
+
+
+def _export_listed(spark, sf, entries):
     """Three tables of the listed tickets with the state of their lifetimes, and the metadata read back beside the rows."""
     made, out, listed = tables(spark, sf), work_path(spark, "ticket-list-export"), work_path(spark, "tickets")
     lines = F.explode(F.array(F.concat(F.lit(" "), "entry"), F.lit("# a comment"), F.lit("")))
-    _some_tickets(spark, sf).select(lines.alias("value")).write.text(listed)
+    entries.select(lines.alias("value")).write.text(listed)
     writers.export_tickets(made, feeds.read_list(spark, listed), out, "jsonl")
     kept = [
         spark.read.schema("for_ticket string").json(f"{out}/{t}").select(F.lit(t).alias("table_name"), "for_ticket") for t in made
