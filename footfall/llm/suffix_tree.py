@@ -4,15 +4,19 @@ The symbols are the words of a text in lower case (A-Z), then one end. The model
 training texts; all others are one symbol, the unknown word, as in the base score.
 
 A context is the run of up to ``DEPTH`` symbols before a symbol, the beginning of the text
-included. Contexts are tried level by level: those seen often enough, whose suffix is one of
-the level before. A next symbol's departure from what the suffix predicts is tested by its gain
-in code length; a context is retained if it has symbols that pass. For them it keeps a
-discounted frequency; what is left of its probability is spread as its suffix spreads it. The
-root discounts every word's count, which leaves the unknown word its share. Each level's
-distribution sums to one. A symbol is scored by the longest retained suffix of what comes before.
-
-Contexts and the symbols in them are of the ``HOT`` most frequent words, which every task may
-hold. All other words count, and are scored, by their own root probability, which a join brings.
+included. Every run that is followed at least ``OFTEN`` times is tried, level by level. A next symbol's
+departure from what the suffix predicts is tested by its gain in code length, at least ``BITS``;
+a context is retained if it has symbols that pass. For them it keeps a discounted frequency; what
+is left of its probability is spread as its suffix spreads it. The root discounts every word's
+count, which leaves the unknown word its share. Each level's distribution sums to one. A symbol
+is scored by the longest retained suffix of what comes before.
+
+Both bounds are absolute, so what is learnt grows with the corpus, and all words take part. Levels
+are written tables keyed by 64-bit hashes of runs. A symbol's log probability is its root value plus,
+for each run before it, that context's spreading factor, plus, where the run and the symbol
+passed, what the passing changes; so a text's score is a sum of values of its runs, which a
+join brings. Bit filters of fixed size keep most runs without a value out of the shuffles; what
+they let through by chance the joins drop. The most frequent runs' values every task holds.
 
 * Null and empty texts are the end alone. Rows without an id belong to no fold and are learnt
   from; rows that repeat an id count, and are scored, each on its own.
@@ -22,32 +26,34 @@ hold. All other words count, and are scored, by their own root probability, whic
 
 from __future__ import annotations
 
+import gc
+import posixpath
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm import wordsums
 from footfall.llm.common import ROWS_PER_BATCH, id_text, pieces_of, written
+from footfall.llm.textops import mix, word_hashes
+from footfall.session import remove_path
 
 DEPTH = 3
-#: Symbols are 16-bit numbers: 0 any word that is not hot, then the hot words, and the end.
+#: Symbols of ``contexts`` and of the view of small models: 0 any word that has no number, then words, and the end.
 OTHER, END = 0, 0xFFFF
-HOT = END - 1
-#: The least share of all symbols that follow a context which is tried: at most 1 / SHARE contexts on a level.
-SHARE = 1e-5
-#: The least gain in bits of a symbol in a context, and as a share of all symbols: at most about 20 / GAIN entries.
-BITS, GAIN = 20.0, 1e-6
+#: A context is tried where so many symbols follow it; a symbol passes with so many bits of gain.
+OFTEN, BITS = 2, 20.0
 DISCOUNT = 0.5
 KEYS_PER_TASK = 2_000_000
-
-
-def words(text: bytes) -> list[bytes]:
-    """Lower-cased in A-Z, cut at ASCII white space."""
-    return text.lower().split()
+#: Runs whose values every task holds.
+HOT = 262_144
+FILTER_BITS, BITMAP_BITS = 27, 15
+END_HASH, STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
+END_KEY = int(END_HASH.view(np.int64))
 
 
 def contexts(stream: np.ndarray, depth: int) -> np.ndarray:
@@ -67,150 +73,283 @@ def contexts(stream: np.ndarray, depth: int) -> np.ndarray:
     return np.where(whole, key, 0)
 
 
-class SuffixTree:
-    """Retained contexts by level; probabilities as log10."""
-
-    def __init__(self, root: np.ndarray):
-        self.root = root  # by symbol; 0 for other words, whose own probability is added later
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-
-    @staticmethod
-    def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(table, keys)
-        at[at == len(table)] = 0
-        return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
-
-    def log10(self, full: np.ndarray, symbol: np.ndarray, depth: int) -> np.ndarray:
-        """Of each symbol after its context ``full``, whose first ``depth`` symbols at most are looked at."""
-        out = self.root[symbol]
-        for d, (names, left, entries, kept) in enumerate(self.levels[:depth], 1):
-            if not len(names):
-                continue
-            key = full[d - 1]
-            at, known = self._find(names, key)
-            known &= key != 0
-            where = np.flatnonzero(known)
-            entry, own = self._find(entries, at[where].astype(np.uint64) << np.uint64(16) | symbol[where].astype(np.uint64))
-            out[where] = np.where(own, kept[entry] if len(kept) else 0.0, out[where] + left[at[where]])
-        return out
-
-    def add_level(self, key: np.ndarray, symbol: np.ndarray, n: np.ndarray, m: np.ndarray) -> None:
-        """The level of the contexts ``key`` from the symbols that passed, with their counts and the contexts' own."""
-        full = suffixes(key, len(self.levels) + 1)
-        parent = 10 ** self.log10(full, symbol, len(self.levels))
-        names, at = np.unique(key, return_inverse=True)
-        own = (n - DISCOUNT) / m
-        rest = np.maximum(1 - np.bincount(at, own, len(names)), 1e-9)
-        rest /= np.maximum(1 - np.bincount(at, parent, len(names)), 1e-9)
-        entries = at.astype(np.uint64) << np.uint64(16) | symbol.astype(np.uint64)
-        order = np.argsort(entries)
-        self.levels.append((names, np.log10(rest), entries[order], np.log10(own)[order]))
-
-    def score(self, stream: np.ndarray) -> np.ndarray:
-        """log10 of each symbol of a stream but the first."""
-        return self.log10([contexts(stream, d) for d in range(1, len(self.levels) + 1)], stream[1:], len(self.levels))
-
-
-def suffixes(key: np.ndarray, depth: int) -> list[np.ndarray]:
-    return [key & np.uint64((1 << (16 * d)) - 1) for d in range(1, depth + 1)]
-
-
-def symbol_stream(places: dict[bytes, int], texts: list[list[bytes]]) -> np.ndarray:
-    """An end, then each text's symbols and an end."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    get = places.get
-    found = np.fromiter((get(w, HOT) for w in chain.from_iterable(texts)), np.int64, int(sizes.sum()))
-    out = np.full(len(found) + len(texts) + 1, END, np.uint16)
-    at = np.arange(len(found)) + np.repeat(np.arange(len(texts)), sizes) + 1
-    out[at] = np.where(found < HOT, found + 1, OTHER)
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An end, then each text's word hashes and an end; how far back each symbol's last end is; the sizes of the texts, ends included."""
+    flat, first, _, _ = word_hashes([t.lower() for t in texts])
+    sizes = np.diff(first[: len(texts)], append=len(flat)) + 1
+    stream = np.full(len(flat) + len(texts) + 1, END_HASH, np.uint64)
+    stream[np.arange(len(flat)) + np.repeat(np.arange(len(texts)), sizes - 1) + 1] = flat
+    since = np.arange(len(stream))
+    since[1:] -= np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return stream, since, sizes
+
+
+def run_keys(stream: np.ndarray, order: int) -> list[np.ndarray]:
+    """The keys of the runs of 1 to ``order`` symbols that end at each place."""
+    out = [stream]
+    for _ in range(1, order):
+        key = np.zeros(len(stream), np.uint64)
+        key[1:] = mix(out[-1][:-1] * STEP + stream[1:])
+        out.append(key)
     return out
 
 
-def symbol_table(docs: DataFrame, places: dict[bytes, int]) -> DataFrame:
-    """Written table of the training texts' symbols, many texts to a row."""
-    shared = docs.sparkSession.sparkContext.broadcast({w: i for w, i in places.items() if i < HOT})
+class Filter:
+    """A bit filter over keys: says yes to all of them, and to others by chance."""
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
-            stream = symbol_stream(shared.value, [words(t or b"") for t in batch.column(0).to_pylist()])
-            yield pa.record_batch([pa.array([stream.tobytes()], pa.binary())], names=["symbols"])
+    def __init__(self, keys: DataFrame):
+        masked = lambda c: c.bitwiseAND((1 << FILTER_BITS) - 1)
+        places = F.explode(F.array(masked(F.col("key")), masked(F.shiftrightunsigned("key", 32)))).alias("p")
+        bits = keys.select(places).groupBy(F.shiftright("p", BITMAP_BITS).cast("int").alias("at"))
+        rows = bits.agg(F.bitmap_construct_agg(F.col("p").bitwiseAND((1 << BITMAP_BITS) - 1)).alias("b")).toArrow()
+        size = 1 << (BITMAP_BITS - 3)
+        self.bits = np.zeros((1 << (FILTER_BITS - BITMAP_BITS), size), np.uint8)
+        for at, raw in zip(rows.column("at").to_pylist(), rows.column("b")):
+            self.bits[at] = np.frombuffer(raw.as_py(), np.uint8)
+        self.bits = self.bits.ravel()
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        yes = np.ones(len(keys), bool)
+        for place in (keys, keys >> np.uint64(32)):
+            place = place & np.uint64((1 << FILTER_BITS) - 1)
+            yes &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 != 0
+        return yes
+
+
+def signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.view(np.int64))
 
-    table = written(docs.select("text").mapInArrow(number, "symbols binary"), "symbols")
-    shared.unpersist()
-    return table
 
+def count_runs(texts: DataFrame, order: int, shorter: Filter | None) -> DataFrame:
+    """(key, n): how often each run of ``order`` symbols is there, of those whose two shorter runs are in ``shorter``."""
+    shared = texts.sparkSession.sparkContext.broadcast(shorter)
 
-def count_level(symbols: DataFrame, tried: np.ndarray, depth: int) -> DataFrame:
-    """Written table (entry, n): how often each symbol follows each context of the sorted ``tried``; entry: place << 16 | symbol."""
-    shared = symbols.sparkSession.sparkContext.broadcast(tried)
+    def out(keys: list, counts: list) -> Iterator[pa.RecordBatch]:
+        k, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)
+        for i in range(0, len(k), ROWS_PER_BATCH):
+            part = slice(i, i + ROWS_PER_BATCH)
+            yield pa.record_batch([signed(k[part]), pa.array(n[part])], names=["key", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, counts, kept = [], [], 0
+        keys, counts, held, known = [], [], 0, shared.value
+        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+            stream, since, _ = streams([t or b"" for t in batch.column(0).to_pylist()])
+            runs = run_keys(stream, order)
+            at = 1 + np.flatnonzero(since[1:] >= order - 1)
+            if known is not None:
+                at = at[known(runs[-2][at])]
+                at = at[known(runs[-2][at - 1])]
+            k, n = np.unique(runs[-1][at], return_counts=True)
+            keys.append(k)
+            counts.append(n)
+            held += len(k)
+            if held > KEYS_PER_TASK:
+                yield from out(keys, counts)
+                keys, counts, held = [], [], 0
+        if keys:
+            yield from out(keys, counts)
+
+    return texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def parts_of_runs(texts: DataFrame, order: int, wanted: Filter) -> DataFrame:
+    """(key, ctx, suf): the runs without their last and without their first symbol, of runs in ``wanted``."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held = [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
-            if entries:
-                k, at = np.unique(np.concatenate(entries), return_inverse=True)
-                n = np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)
-                for i in range(0, len(k), ROWS_PER_BATCH):
-                    part = slice(i, i + ROWS_PER_BATCH)
-                    yield pa.record_batch([pa.array(k[part]), pa.array(n[part])], names=["entry", "n"])
-                entries.clear()
-                counts.clear()
-
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                stream = np.frombuffer(raw, np.uint16)
-                key = contexts(stream, depth)
-                at, known = SuffixTree._find(shared.value, key)
-                known &= key != 0
-                k, n = np.unique(at[known] << 16 | stream[1:][known].astype(np.int64), return_counts=True)
-                entries.append(k)
-                counts.append(n)
-                kept += len(k)
-                if kept > KEYS_PER_TASK:
-                    yield from out()
-                    kept = 0
-        yield from out()
-
-    counted = symbols.mapInArrow(count, "entry long, n long").groupBy("entry").agg(F.sum("n").alias("n"))
-    return written(counted, "context-counts")
-
-
-def grow(tree: SuffixTree, symbols: DataFrame, total: int, first: np.ndarray) -> SuffixTree:
-    """Adds the retained contexts of each level; ``first`` are the symbols that are frequent enough to be tried."""
-    context = symbols.sparkSession.sparkContext
-    tried, often, least = np.sort(first.astype(np.uint64)), max(2, SHARE * total), max(BITS, GAIN * total)
-    for depth in range(1, DEPTH + 1):
-        if not len(tried):
+            columns = [np.concatenate(c) for c in zip(*kept)]
+            _, one = np.unique(columns[0], return_index=True)
+            for i in range(0, len(one), ROWS_PER_BATCH):
+                part = one[i : i + ROWS_PER_BATCH]
+                yield pa.record_batch([signed(c[part]) for c in columns], names=["key", "ctx", "suf"])
+
+        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+            stream, since, _ = streams([t or b"" for t in batch.column(0).to_pylist()])
+            runs = run_keys(stream, order)
+            at = 1 + np.flatnonzero(since[1:] >= order - 1)
+            at = at[shared.value(runs[-1][at])]
+            _, one = np.unique(runs[-1][at], return_index=True)
+            kept.append((runs[-1][at[one]], runs[-2][at[one] - 1], runs[-2][at[one]]))
+            held += len(one)
+            if held > KEYS_PER_TASK:
+                yield from out()
+                kept, held = [], 0
+        if kept:
+            yield from out()
+
+    rows = texts.select("text").mapInArrow(find, "key long, ctx long, suf long")
+    return rows.groupBy("key").agg(F.min("ctx").alias("ctx"), F.min("suf").alias("suf"))
+
+
+class SuffixTree:
+    """Retained contexts by level: written tables (ctx, m, spread) and (key, n, own, change); logarithms to base 10."""
+
+    def __init__(self, words: DataFrame):
+        self.words = words  # (key, n, lp)
+        self.tables: list[tuple[DataFrame, DataFrame]] = []
+
+    def values(self) -> DataFrame:
+        """(key, n, y) of all retained contexts and of all runs whose last symbol passed."""
+        out = self.words.select("key", "n", F.lit(0.0).alias("y")).limit(0)
+        for contexts_, passed in self.tables:
+            out = out.union(contexts_.select("ctx", "m", "spread")).union(passed.select("key", "n", "change"))
+        return out
+
+    # ---- a view of small models, all of them on the driver ----
+
+    @cached_property
+    def _numbered(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.words.orderBy(F.desc("n"), "key").limit(END).toArrow()
+        hashes, root = np.zeros(END + 1, np.uint64), np.zeros(END + 1)
+        keys = rows.column("key").to_numpy().view(np.uint64)
+        end = keys == END_HASH
+        n = int((~end).sum())
+        hashes[1 : n + 1], root[1 : n + 1] = keys[~end], rows.column("lp").to_numpy()[~end]
+        hashes[END], root[END] = END_HASH, rows.column("lp").to_numpy()[end].sum()
+        return hashes, root
+
+    @property
+    def root(self) -> np.ndarray:
+        return self._numbered[1]
+
+    @cached_property
+    def levels(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Contexts, their spread, the runs that passed, and what these keep; sorted by key."""
+        out = []
+        for pair in self.tables:
+            for df, (name, value) in zip(pair, (("ctx", "spread"), ("key", "own"))):
+                rows = df.select(name, value).toArrow()
+                keys, values = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+                order = np.argsort(keys)
+                out += [keys[order], values[order]]
+        return list(zip(out[0::4], out[1::4], out[2::4], out[3::4]))
+
+    def log10(self, full: list[np.ndarray], symbol: np.ndarray, depth: int) -> np.ndarray:
+        """Of each numbered symbol after the contexts ``full``, the nearest ``depth`` levels."""
+        hashes, root = self._numbered
+        out = root[symbol]
+        for (names, spread, entries, kept), key in zip(self.levels[:depth], full):
+            at, known = found(names, key)
+            out = np.where(known, out + (spread[at] if len(spread) else 0.0), out)
+            at, own = found(entries, mix(key * STEP + hashes[symbol]))
+            out = np.where(own, kept[at] if len(kept) else 0.0, out)
+        return out
+
+
+def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in a sorted table each key is, and whether it is there."""
+    at = np.searchsorted(table, keys)
+    at[at == len(table)] = 0
+    return at, (table[at] == keys) if len(table) else np.zeros(len(keys), bool)
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads again, and lets Spark drop the exchanges of plans that are done."""
+    for df in tables:
+        for folder in {posixpath.dirname(f) for f in df.inputFiles()}:
+            remove_path(df.sparkSession, folder)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
+def grow(learnt: DataFrame, words: DataFrame) -> SuffixTree:
+    """The tree of the texts ``learnt`` over the table ``words`` (key, n, lp)."""
+    tree, shorter = SuffixTree(words), words.filter(F.col("n") >= OFTEN)
+    known = Filter(shorter)
+    for order in range(2, DEPTH + 2):
+        counts = written(count_runs(learnt, order, known).filter(F.col("n") >= OFTEN), "run-counts")
+        if counts.isEmpty():
             break
-        counts = count_level(symbols, tried, depth)
-        # one row for each context that was tried
-        sums = counts.groupBy(F.shiftright("entry", 16).alias("at")).agg(F.sum("n").alias("m")).toArrow()
-        m = np.ones(len(tried))
-        m[sums.column("at").to_numpy()] = sums.column("m").to_numpy()
-        state = context.broadcast((tree, tried, m))
-
-        def test(batches: Iterator[pa.RecordBatch], depth=depth, state=state) -> Iterator[pa.RecordBatch]:
-            own, names, total_of = state.value
-            for batch in batches:
-                entry, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                at, symbol = entry >> 16, (entry & 0xFFFF).astype(np.uint16)
-                expected = total_of[at] * 10 ** own.log10(suffixes(names[at], depth), symbol, depth - 1)
-                bits = n * np.log2(n / expected) - (n - expected) / np.log(2)
-                yield batch.take(pa.array(np.flatnonzero((symbol != OTHER) & (n > expected) & (bits >= least))))
-
-        passed = counts.filter("n > 1").mapInArrow(test, "entry long, n long").toArrow().sort_by("entry")
-        entry, n = passed.column("entry").to_numpy(), passed.column("n").to_numpy()
-        at, symbol = entry >> 16, (entry & 0xFFFF).astype(np.uint16)
-        longer = counts.filter((F.col("n") >= often) & ~(F.col("entry").bitwiseAND(0xFFFF)).isin(OTHER, END)).select("entry").toArrow()
-        more = longer.column("entry").to_numpy()
-        # the new nearest symbol is the one that followed; the context before it moves up
-        further = np.sort(tried[more >> 16] << np.uint64(16) | (more & 0xFFFF).astype(np.uint64))
-        tree.add_level(tried[at], symbol, n, m[at])
-        tried = further
+        known = Filter(counts)
+        runs = counts.join(parts_of_runs(learnt, order, known), "key")
+        runs = runs.join(shorter.select(F.col("key").alias("ctx"), F.col("n").alias("m")), "ctx")
+        runs = runs.join(shorter.select(F.col("key").alias("suf"), "lp"), "suf")
+        expected = F.col("m") * F.pow(F.lit(10.0), "lp")
+        bits = F.col("n") * F.log2(F.col("n") / expected) - (F.col("n") - expected) / float(np.log(2))
+        runs = written(runs.select("key", "ctx", "n", "m", "lp", ((F.col("n") > expected) & (bits >= BITS)).alias("passed")), "runs")
+        own = (F.col("n") - DISCOUNT) / F.col("m")
+        left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-9))
+        spread = F.log10(left(own) / left(F.pow(F.lit(10.0), "lp")))
+        contexts_ = written(runs.filter("passed").groupBy("ctx").agg(F.max("m").alias("m"), spread.alias("spread")), "contexts")
+        by_suffix = F.col("lp") + F.coalesce("spread", F.lit(0.0))
+        lp = F.when(F.col("passed"), F.log10(own)).otherwise(by_suffix)
+        change = F.when(F.col("passed"), F.log10(own) - by_suffix)
+        graded = runs.join(contexts_.select("ctx", "spread"), "ctx", "left").select("key", "n", lp.alias("lp"), change.alias("change"))
+        # of the longest runs only those that passed are looked at again
+        shorter = written(graded if order <= DEPTH else graded.filter("change is not null"), "graded-runs")
+        passed = shorter.filter("change is not null")
+        tree.tables.append((contexts_, passed.select("key", "n", F.col("lp").alias("own"), "change")))
+        release(counts, runs)
     return tree
 
 
+def most_frequent(values: DataFrame, limit: int) -> pa.Table:
+    """At most ``limit`` rows of ``values`` (key, n, x, y, k) of the highest n, sorted by key."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    lowest, total = None, 0
+    for s, rows in sorted(((r.s, r["count"]) for r in values.groupBy(step.alias("s")).count().collect()), reverse=True):
+        total += rows
+        if total > limit:
+            break
+        lowest = s
+    return values.filter(step >= lowest if lowest is not None else F.lit(False)).select("key", "x", "y", "k").toArrow()
+
+
+ROWS = "row long, doc_id long, n_words long, x double, y double, k long, key long, word boolean, f long"
+NAMES = [c.split()[0] for c in ROWS.split(", ")]
+
+
+def split_texts(texts: DataFrame, hot: pa.Table, known: Filter) -> DataFrame:
+    """Written table: a head row for each text with the sums of what tasks hold, and a row for each other run that may have values."""
+    keys = hot.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    held = (keys[order], *(hot.column(c).to_numpy()[order] for c in "xyk"))
+    shared = texts.sparkSession.sparkContext.broadcast((held, known))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (names, *values), may = shared.value
+        row = TaskContext.get().partitionId() << 33
+        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+            stream, since, sizes = streams([t or b"" for t in batch.column(1).to_pylist()])
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            last = np.zeros(len(stream) - 1, bool)
+            last[np.cumsum(sizes) - 1] = True
+            sums, cold = [np.zeros(len(sizes)) for _ in values], []
+            for order_, run in enumerate(run_keys(stream, DEPTH + 1), 1):
+                # the end as a run of one symbol is the same for all texts
+                at = np.flatnonzero(~last if order_ == 1 else since[1:] >= order_ - 1)
+                key, own = run[1:][at], owner[at]
+                place, here = found(names, key)
+                for total, v in zip(sums, values):
+                    total += np.bincount(own[here], v[place[here]], len(sizes))
+                rest = ~here if order_ == 1 else ~here & may(key)
+                key, own = key[rest], own[rest]
+                by = np.lexsort((key, own))
+                key, own = key[by], own[by]
+                new = np.flatnonzero((np.diff(key, prepend=~key[:1]) != 0) | (np.diff(own, prepend=-1) != 0))
+                cold.append((own[new], key[new], np.full(len(new), order_ == 1), np.diff(new, append=len(key))))
+            n = len(sizes)
+            yield pa.record_batch([
+                pa.array(np.arange(row, row + n)), batch.column(0), pa.array(sizes - 1), pa.array(sums[0]), pa.array(sums[1]),
+                pa.array(sums[2].astype(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
+            ], names=NAMES)
+            own, key, word, f = (np.concatenate(c) for c in zip(*cold))
+            for i in range(0, len(key), ROWS_PER_BATCH):
+                part = slice(i, i + ROWS_PER_BATCH)
+                n = len(key[part])
+                yield pa.record_batch([
+                    pa.array(own[part] + row), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
+                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), signed(key[part]), pa.array(word[part]), pa.array(f[part]),
+                ], names=NAMES)
+            row += len(sizes)
+
+    return written(texts.select("doc_id", "text").mapInArrow(split, ROWS), "text-runs")
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each row of ``docs``.
 
@@ -218,57 +357,41 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """
     texts = id_text(docs, id_col, text_col)
     learnt = texts.filter(~F.coalesce(held_out, F.lit(False)))
-    counts = written(wordsums.word_counts(learnt, words), "word-counts")
-    ends = learnt.count()
+    counts = written(count_runs(learnt, 1, None), "word-counts")
     row = counts.agg(
-        F.count("*").alias("v"), F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")
-    ).first()
-    total, distinct = (row.n or 0) + ends, row.v + (1 if ends else 0)
+        F.count("*").alias("v"), F.sum("n").alias("n"), F.sum(F.when(F.col("key") == END_KEY, F.col("n"))).alias("ends"),
+        F.count_if((F.col("n") == 1) & (F.col("key") != END_KEY)).alias("n1"), F.count_if((F.col("n") == 2) & (F.col("key") != END_KEY)).alias("n2"),
+    ).first()
+    total, distinct, ends = row.n or 0, row.v, row.ends or 0
     below = float(np.log10(total + 0.5 * (distinct + 1)))
     off = (row.n1 + 1) / (row.n1 + 2 * row.n2 + 2)  # the discount of every count, between 0 and 1
     n = F.col("n")
-    valued = counts.select(
-        "word", "n", (F.log10(n + 0.5) - below).alias("x"), F.log10((n - off) / max(1, total)).alias("y"), F.lit(1).cast("long").alias("k")
-    )
+    words = counts.withColumn("lp", F.log10((n - off) / max(1, total)))
     unknown = float(np.log10(off * distinct / total)) if total else float(np.log10(0.5))
 
-    hot = wordsums.hot_words(valued)
-    places, xs, _ = hot
-    of_hot = np.rint(10 ** (xs[:-1] + below) - 0.5)  # their counts
-    root = np.zeros(END + 1)
-    near = min(HOT, len(of_hot))
-    root[1 : near + 1] = np.log10((of_hot[:near] - off) / max(1, total))
-    root[END] = np.log10((ends - off) / total) if ends else unknown
-    # hot words beyond the symbols of the tree are other words with a probability that tasks hold
-    further = np.append(np.log10((of_hot - off) / max(1, total)), 0.0)
-    further[:near] = 0.0
-    frequent = np.append(np.flatnonzero(of_hot[:near] >= max(2, SHARE * total)) + 1, [END] if ends else [])
-    symbols = symbol_table(learnt, places)
-    tree = grow(SuffixTree(root), symbols, max(1, total), frequent)
-    shared = texts.sparkSession.sparkContext.broadcast((tree, further))
-
-    def scorer(at: dict[bytes, int]):
-        model, rest = shared.value
-        none = len(rest) - 1
-
-        def of(cuts: list[list[bytes]]) -> np.ndarray:
-            each = model.score(symbol_stream(at, cuts))
-            ends_ = np.cumsum([len(c) + 1 for c in cuts])
-            own = np.add.reduceat(each, ends_ - [len(c) + 1 for c in cuts]) if len(cuts) else np.zeros(0)
-            owner = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
-            flat = np.fromiter((at.get(w, none) for w in chain.from_iterable(cuts)), np.int64, len(owner))
-            return own + np.bincount(owner, rest[flat], len(cuts))
-
-        return of
-
-    split = wordsums.frequencies(texts, words, hot, scorer)
-    sums = wordsums.sum_words(split, valued, float(np.log10(0.5)) - below, unknown)
-    return sums.select(
+    tree = grow(learnt, words)
+    runs = written(tree.values(), "run-values")
+    of_end = runs.filter(F.col("key") == END_KEY).agg(F.sum("y")).first()[0] or 0.0
+    root_end = float(np.log10((ends - off) / total)) if ends else unknown
+    valued = words.select("key", "n", (F.log10(n + 0.5) - below).alias("x"), F.col("lp").alias("y"), F.lit(1).cast("long").alias("k"))
+    valued = valued.union(runs.select("key", "n", F.lit(0.0), "y", F.lit(0).cast("long"))).filter(F.col("key") != END_KEY)
+    valued = valued.groupBy("key").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in "xyk"))
+    valued = written(valued, "values")
+
+    split = split_texts(texts, most_frequent(valued, HOT), Filter(runs))
+    cold = split.filter("key is not null").join(valued.select("key", F.col("x").alias("vx"), F.col("y").alias("vy"), F.col("k").alias("vk")), "key", "left")
+    of = lambda c, other: F.sum(F.col("f") * F.coalesce(c, F.when(F.col("word"), F.lit(other)).otherwise(F.lit(0.0))))
+    sums = cold.groupBy("row").agg(
+        of("vx", float(np.log10(0.5)) - below).alias("cx"), of("vy", unknown).alias("cy"), F.sum(F.col("f") * F.coalesce("vk", F.lit(0))).alias("ck")
+    )
+    heads = split.filter("key is null").drop("key", "word", "f").join(sums, "row", "left")
+    none = F.lit(0.0)
+    return heads.select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         (F.col("n_words") + 1).alias("n_tokens"),
-        (F.col("k") + (1 if ends else 0)).alias("n_known"),
+        (F.col("k") + F.coalesce("ck", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("x") + float(np.log10(ends + 0.5)) - below).alias("base_score"),
-        F.col("extra").alias("score"),
+        (F.col("x") + F.coalesce("cx", none) + float(np.log10(ends + 0.5)) - below).alias("base_score"),
+        (F.col("y") + F.coalesce("cy", none) + root_end + of_end).alias("score"),
     )

@@ -165,3 +165,54 @@ def test_contexts_by_definition():
             before = [int(stream[i - d]) if i >= d else 0 for d in range(1, depth + 1)]
             whole = 0 not in before and suffix_tree.END not in before[:-1]
             assert key == (sum(s << (16 * d) for d, s in enumerate(before)) if whole else 0)
+
+
+def test_what_is_learnt_does_not_shrink_in_a_larger_corpus(spark, docs_of, monkeypatch):
+    """A context seen a few times, over words that are rare, is kept whatever else the corpus holds."""
+    rng = random.Random(4)
+    pairs = [f"rare{i} word{i} then{i} last{i}" for i in range(30)]
+    other = [" ".join(f"w{rng.randrange(70_000)}" for _ in range(1000)) for _ in range(400)]
+    texts = [f"{p} {rng.random()}" for p in pairs for _ in range(12)]
+    small, large = (tree_of(spark, docs_of(t, range(len(t))), monkeypatch) for t in (texts, texts + other))
+    key = suffix_tree.word_hashes([f"rare{i}".encode() for i in range(30)])[0]
+    for tree in (small, large):
+        assert np.isin(key, tree.levels[0][0]).all()
+
+
+def test_scores_of_a_plain_tree(docs_of):
+    """Scores equal those of the same model in plain Python."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(("a b c d", "a b x", "k l", "m", f"q{rng.randrange(40)}", "c d e f")) for _ in range(30)) for _ in range(150)] + ["", None, "a b"]
+    rows = list(enumerate(texts))
+    runs, words = [Counter() for _ in range(5)], lambda t: ["$", *(t or "").split(), "$"]
+    for i, t in rows:
+        w = words(t)
+        if not held(i):
+            for k in range(1, 5):
+                runs[k].update(tuple(w[j - k + 1 : j + 1]) for j in range(max(1, k - 1), len(w)))
+    total = sum(runs[1].values())
+    n1, n2 = (sum(n == v and g != ("$",) for g, n in runs[1].items()) for v in (1, 2))
+    off = (n1 + 1) / (n1 + 2 * n2 + 2)
+    kept, left = {}, {}
+
+    def lp(g):
+        if g in kept:
+            return kept[g]
+        if len(g) == 1:
+            return np.log10((runs[1][g] - off) / total) if g in runs[1] else np.log10(off * len(runs[1]) / total)
+        return lp(g[1:]) + left.get(g[:-1], 0)
+
+    for k in (2, 3, 4):
+        new, own, parent = {}, Counter(), Counter()
+        for g, n in runs[k].items():
+            m, p = runs[k - 1][g[:-1]], 10 ** lp(g[1:])
+            if n > 1 and n > m * p and n * np.log2(n / (m * p)) - (n - m * p) / np.log(2) >= 20:
+                new[g] = np.log10((n - 0.5) / m)
+                own[g[:-1]] += (n - 0.5) / m
+                parent[g[:-1]] += p
+        left |= {c: np.log10(max(1 - own[c], 1e-9) / max(1 - parent[c], 1e-9)) for c in own}
+        kept |= new
+    assert kept and max(map(len, kept)) >= 3
+    want = {i: sum(lp(tuple(w[max(0, j - 3) : j + 1])) for j in range(1, len(w))) for i, t in rows for w in [words(t)]}
+    for r in suffix_tree.score(docs_of(texts), fold("doc_id", 5) == 1).collect():
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-6)
