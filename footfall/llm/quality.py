@@ -180,7 +180,9 @@ def train(
         return pd.Series(list(matrix(text)), dtype=object)
 
     # at most SAMPLE pairs of numbers are sent to the tasks, and as many rows of numbers come back
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", feature_row("text").alias("x")).toPandas()
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", F.xxhash64("text").alias("h"), feature_row("text").alias("x"))
+    # of rows that repeat an id, one
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("h", "y", "x")).alias("r")).select("doc_id", "r.y", "r.x").toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.array(rows.x.tolist()).reshape(-1, len(FEATURES))
     return AdditiveModel(x, (rows.y.to_numpy() != 0).astype(float))

@@ -216,3 +216,12 @@ def test_scores_of_a_plain_tree(docs_of):
     want = {i: sum(lp(tuple(w[max(0, j - 3) : j + 1])) for j in range(1, len(w))) for i, t in rows for w in [words(t)]}
     for r in suffix_tree.score(docs_of(texts), fold("doc_id", 5) == 1).collect():
         assert r.score == pytest.approx(want[r.doc_id], rel=1e-6)
+
+
+def test_quality_takes_one_row_of_each_id(spark, docs_of, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "AdditiveModel", lambda x, y: seen.setdefault("shape", (x.shape[0], len(y))))
+    docs = docs_of(["one text here"] * 300 + ["other words", "one more"], [1] * 300 + [2, 1])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality.train(docs, labels, F.lit(True))
+    assert seen["shape"] == (2, 2)
