@@ -32,8 +32,8 @@ def ids(df):
 
 def test_registered():
     names = set(entry_points.queries())
-    assert {"pipeline", *queries.RUNS} <= names and len([n for n in names if n.startswith("op")]) == 10
-    assert set(queries.ORACLES) == {"op1_topk_search", "op6_near_duplicates"} and "pipeline" not in entry_points.oracle_sql()
+    assert {"pipeline", *queries.RUNS} <= names and len([n for n in names if n.startswith("op")]) == 13
+    assert set(queries.ORACLES) == {"op1_topk_search", "op6_near_duplicates", "op12_fill_in_middle", "op13_resampling"} and "pipeline" not in entry_points.oracle_sql()
 
 
 def test_columns_stay(steps):
