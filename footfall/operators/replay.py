@@ -207,25 +207,63 @@ def with_allowed(
 def allowed_by_list(log: DataFrame, entries: DataFrame) -> DataFrame:
     """Adds ``allowed`` by a list table (``entry``) of exact keys and globs.
 
-    Both may be many. The log's distinct keys are joined to the exact entries, and to the
-    globs by their first segment where that is plain text; the other globs form one test.
+    Both may be many. The log's distinct keys are joined to the exact entries, and to the globs
+    that ``glob_candidates`` names for them, which are then tested. A null key is not allowed.
     """
     is_glob = F.col("entry").contains("*") | F.col("entry").contains("?")
-    head = F.split_part("entry", F.lit(":"), F.lit(1))
-    led = F.col("entry").contains(":") & ~head.contains("*") & ~head.contains("?")
-    globs = entries.where(is_glob).distinct().select(
-        allow_regex("entry").alias("_regex"), F.when(led, head).alias("_head")
-    )
-    keys = log.select("key").distinct().withColumn("_head", F.split_part("key", F.lit(":"), F.lit(1)))
-    exact = keys.select("key").join(entries.where(~is_glob).select(F.col("entry").alias("key")), "key", "left_semi")
-    by_head = keys.join(globs.where("_head is not null"), "_head").where("key rlike _regex").select("key")
-    rest = globs.where("_head is null").agg(F.array_join(F.collect_list("_regex"), "|").alias("r"))
-    by_rest = keys.where(F.rlike("key", rest.select(F.nullif("r", F.lit(""))).scalar())).select("key")
-    allowed = exact.union(by_head).union(by_rest).distinct().withColumn("_listed", F.lit(True))
+    keys = log.select("key").where("key is not null").distinct()
+    exact = keys.join(entries.where(~is_glob).select(F.col("entry").alias("key")), "key", "left_semi")
+    tried = glob_candidates(keys, entries.where(is_glob).select("entry").distinct())
+    by_glob = tried.where(F.rlike("key", allow_regex("entry"))).select("key")
+    allowed = exact.union(by_glob).distinct().withColumn("_listed", F.lit(True))
     marked = log.join(allowed, "key", "left")
     return marked.withColumn("allowed", F.coalesce("_listed", F.lit(False))).select(*log.columns, "allowed")
 
 
+def glob_candidates(keys: DataFrame, globs: DataFrame) -> DataFrame:
+    """(key, entry): the globs of ``globs`` that a key of ``keys`` has to be tested against.
+
+    A glob is dealt by its literal ends, the text before its first and after its last wildcard. A key
+    looks up its prefixes of the lengths that occur; each prefix that is some glob's names the lengths of
+    those globs' ends, and the key looks up prefix and end together. So a pair comes out only where
+    both ends fit. Globs with a longer text between wildcards than at their ends are dealt by that text, which a
+    key looks up among its parts of the lengths that occur; those without any text by the number of characters they ask for.
+    """
+    # a glob's end may stand before a key's last line break, as its pattern's does
+    bare = F.regexp_replace("key", r"(\r\n|[\n\r\x{85}\x{2028}\x{2029}])\z", "")
+    probes = keys.select("key", F.explode(F.array_distinct(F.array("key", bare))).alias("_text"))
+    lead, tail = F.regexp_extract("entry", r"\A[^*?]*", 0), F.regexp_extract("entry", r"[^*?]*\z", 0)
+    between = F.regexp_extract_all(F.expr("substring(entry, length(_lead) + 1, length(entry) - length(_lead) - length(_tail))"), F.lit("[^*?]+"), 0)
+    ends = globs.withColumns({"_lead": lead, "_tail": tail}).withColumn("_runs", between)
+    inner = F.coalesce(F.array_max(F.transform("_runs", lambda r: F.struct(F.length(r).alias("n"), r.alias("text"))))["text"], F.lit(""))
+    ends = ends.select("entry", "_lead", "_tail", inner.alias("_inner"))
+    at_ends = F.length("_lead") + F.length("_tail")
+    ended = ends.where((at_ends > 0) & (at_ends >= F.length("_inner")))
+    # lengths are few: none is longer than the longest entry
+    lengths = ended.agg(F.coalesce(F.collect_set(F.length("_lead")), F.array().cast("array<int>"))).scalar()
+    heads = ended.groupBy("_lead").agg(F.collect_set(F.length("_tail")).alias("_tails"))
+    size = F.length("_text")
+    fitting = F.filter("_sizes", lambda n: n <= size)
+    by_lead = probes.withColumn("_sizes", lengths).select("key", "_text", F.explode(fitting).alias("_n")).withColumn("_lead", F.left("_text", F.col("_n")))
+    by_lead = by_lead.join(heads, "_lead")
+    room = F.filter("_tails", lambda n: n + F.col("_n") <= size)
+    by_ends = by_lead.select("key", "_text", "_lead", F.explode(room).alias("_m")).withColumn("_tail", F.right("_text", F.col("_m")))
+    by_ends = by_ends.select("key", "_lead", "_tail").join(ended, ["_lead", "_tail"]).select("key", "entry")
+
+    inner = ends.where(at_ends < F.length("_inner"))
+    sizes = inner.agg(F.coalesce(F.collect_set(F.length("_inner")), F.array().cast("array<int>"))).scalar()
+    parts = F.flatten(F.transform(F.filter("_sizes", lambda n: n <= size), lambda n: F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring("_text", i, n))))
+    by_inner = probes.withColumn("_sizes", sizes).select("key", F.explode(F.array_distinct(parts)).alias("_inner")).join(inner, "_inner").select("key", "entry")
+
+    bare_wild = ends.where((at_ends == 0) & (F.col("_inner") == "")).withColumn("_n", F.length(F.replace("entry", F.lit("*"))))
+    open_ended = F.col("entry").contains("*")
+    # of the open ones, the one that asks for the fewest characters takes what any other takes
+    least = bare_wild.where(open_ended).agg(F.min_by("entry", "_n").alias("entry"), F.min("_n").alias("_n")).where("entry is not null")
+    by_least = probes.join(F.broadcast(least), size >= F.col("_n")).select("key", "entry")
+    by_size = probes.withColumn("_n", size).join(bare_wild.where(~open_ended), "_n").select("key", "entry")
+    return reduce(DataFrame.union, [by_ends, by_inner, by_least, by_size])
+
+
 def allow_regex(glob: str) -> Column:
     """The regex of an allow-list glob, as a column: ``*`` and ``?`` are wild, all else is literal."""
     literal = F.regexp_replace(glob, r"([^A-Za-z0-9*?])", r"\\$1")

@@ -1,11 +1,13 @@
 """Replay typing, commands, schedules, allow-lists and pseudonyms."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions import pseudonym
+from footfall.functions.patterns import allow_glob_to_regex
 from footfall.operators import replay
 
 UUID = "0f1e2d3c-4b5a-4968-8776-655443322110"
@@ -96,6 +98,31 @@ def test_allow_lists(spark):
     assert got == {"c:1": False, "k:1": False, "x": False, "k:x4999y": True}
 
 
+def test_random_globs_equal_plain_matching(spark):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("ab:") for _ in range(rng.randrange(n)))
+    glob = lambda: "".join(rng.choice(["*", "?", word(4), word(4)]) for _ in range(rng.randrange(1, 5)))
+    keys = sorted({word(9) for _ in range(400)} | {"a.b[c]", "ab\n", "a\nb", "(", "é:日"})
+    for globs in ([glob() for _ in range(60)], ["??"], ["*"], ["*?", "???", "a*"], ["*.b[*", "?[?]", "*日"], ["*a:b*", "*bbb:a*", "**:a?*"], []):
+        entries = spark.createDataFrame([(g,) for g in globs] + [(None,)], "entry string")
+        log = log_of(spark, [(i, "key", k, "", None) for i, k in enumerate(keys)] + [(999, "key", None, "", None)])
+        got = {r["key"]: r["allowed"] for r in replay.allowed_by_list(log, entries).collect()}
+        wanted = {k: k in globs or any(re.match(allow_glob_to_regex(g), k) for g in globs if set(g) & set("*?")) for k in keys}
+        assert got == wanted | {None: False}, globs
+
+
+def test_tried_globs_grow_with_keys_and_globs(spark):
+    """A glob for each of a thousand visitors is tried on that visitor's keys alone, whichever end names it."""
+    keys = spark.range(1000).select(F.explode(F.array(*[F.format_string(f"Visitors:T%04d:{k}", "id") for k in ("Status", "Room", "Device", "Scent")])).alias("key"))
+    globs = spark.range(1000).select(F.explode(F.array(
+        F.format_string("Visitors:T%04d:St*", "id"), F.format_string("*T%04d:Room", "id"), F.format_string("Vis*:T%04d:Sc?nt", "id"), F.format_string("*s:T%04d:De*", "id"),
+    )).alias("entry"))
+    tried = replay.glob_candidates(keys, globs)
+    assert tried.count() == 4000
+    plan = replay.allowed_by_list(keys.select(F.lit(1).alias("seq"), "key"), globs)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "collect_list" not in plan
+
+
 def fake(spark, key, text, kind="string", salt="s"):
     df = spark.createDataFrame([(key, text, kind)], "key string, text string, value_type string")
     row = pseudonym.pseudonymise(df, salt).first()
