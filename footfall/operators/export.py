@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.operators.ordered import PLAIN, choose_slicing, first_n
+from footfall.operators.ordered import PLAIN, SLICE_ROWS, choose_slicing, even_slices, first_n, settled
 from footfall.rules import BLUEIOT, EMPATICA, STATE, TABLE_NAMES, TABLES
 
 TS = "event_timestamp"
@@ -161,39 +161,38 @@ def state_context(
 def state_in_lifetimes(
     state: DataFrame,
     lifetimes: DataFrame,
-    bucket_seconds: int = 3600,
+    bucket_seconds: int | None = None,
     inclusive_end: bool = False,
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Every state event inside every ticket's lifetime (``for_ticket``).
 
-    An equi-join on time buckets with the exact bounds as the residual. A lifetime is
-    copied into the buckets it covers; in large input a bucket with more than
-    ``slice_rows`` events is split over several tasks.
+    An equi-join on slices of time with the exact bounds as the residual. The slices hold equal
+    numbers of events (``even_slices``; ``bucket_seconds`` asks for equal lengths instead), so a
+    lifetime's copies cost little beside its result: each copy but the first and the last stands for a whole
+    slice of rows. In large input a slice that still has more than ``slice_rows`` events, as those of one
+    moment stay together, is split over several tasks.
     """
     slice_rows = choose_slicing(state, slice_rows)
-
-    def bucket(ts: str) -> Column:
-        return F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).cast("bigint")
-
+    number = _slices(state, TS, bucket_seconds, slice_rows)
     spans = lifetimes.select(
         F.col("ticket_id").alias("for_ticket"),
         "first_seen",
         "last_seen",
-        F.explode(F.sequence(bucket("first_seen"), bucket("last_seen"))).alias("_bucket"),
+        F.explode(F.sequence(number("first_seen"), number("last_seen"))).alias("_bucket"),
     )
-    events = state.withColumn("_bucket", bucket(TS))
+    events = state.withColumn("_bucket", number(TS))
     on = ["_bucket"]
     if slice_rows != PLAIN:
-        # One row per bucket that has more events than one task should take.
-        crowded = (
+        # One row per slice that has more events than one task should take: rows / slice_rows at most.
+        crowded = F.broadcast(
             events.groupBy("_bucket")
             .agg(F.count("*").alias("_n"))
             .where(F.col("_n") > slice_rows)
             .select("_bucket", F.ceil(F.col("_n") / slice_rows).cast("bigint").alias("_parts"))
         )
         parts = F.coalesce("_parts", F.lit(1).cast("bigint"))
-        spread = F.pmod(F.xxhash64("state_key", "state_value", TS), parts)
+        spread = F.pmod(F.xxhash64("state_key", "state_value", TS, F.monotonically_increasing_id()), parts)
         events = events.join(crowded, "_bucket", "left").withColumn("_part", spread).drop("_parts")
         spans = spans.join(crowded, "_bucket", "left").withColumn(
             "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
@@ -204,34 +203,44 @@ def state_in_lifetimes(
     return hits.select("for_ticket", *STATE_COLUMNS)
 
 
-def lifetime_counts(state: DataFrame, lifetimes: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """Number, first and last of the state events in every ticket's lifetime, without listing them.
+def _slices(times: DataFrame, column: str, bucket_seconds: int | None, slice_rows: int):
+    """A function from a time column's name to its slice: of equal length, or of equally many rows of ``times``."""
+    if bucket_seconds is None:
+        return even_slices(times, column, SLICE_ROWS if slice_rows == PLAIN else slice_rows)
+    return lambda ts: F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).cast("bigint")
 
-    An event count up to a moment is the count of all earlier time buckets, plus the events
-    before it in its own bucket. So each lifetime adds two marks to the events, and the work
-    grows with their sum. Tickets without events give no row.
-    """
 
-    def bucket(ts: str) -> Column:
-        return F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).cast("bigint").alias("bucket")
+def lifetime_counts(
+    state: DataFrame, lifetimes: DataFrame, bucket_seconds: int | None = None, slice_rows: int | None = None
+) -> DataFrame:
+    """Number, first and last of the state events in every ticket's lifetime, without listing them.
 
+    Events of one moment are counted together first. An event count up to a moment is the count of all
+    earlier slices of time, plus the events before it in its own slice. So each lifetime adds two marks
+    to the moments, and the work grows with their sum. Slices hold equal numbers of moments, however
+    crowded an hour is (``bucket_seconds`` asks for equal lengths instead). Tickets without events give no row.
+    """
+    slice_rows = choose_slicing(state, slice_rows)
+    moments = state.where(F.col(TS).isNotNull()).groupBy(F.col(TS).alias("at")).agg(F.count("*").alias("n"))
+    moments = settled(moments, slice_rows, "moments")
+    number = _slices(moments, "at", bucket_seconds, slice_rows)
     ends = F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("at")) for c in ("first_seen", "last_seen")])
-    marks = lifetimes.select("ticket_id", F.explode(ends).alias("e")).select("ticket_id", "e.side", "e.at")
+    marks = lifetimes.select("ticket_id", F.explode(ends).alias("e")).select("ticket_id", "e.side", "e.at", F.lit(0).cast("bigint").alias("n"))
     nobody = F.lit(None).cast("string")
-    rows = marks.unionByName(state.select(nobody.alias("ticket_id"), nobody.alias("side"), F.col(TS).alias("at")))
+    rows = marks.unionByName(moments.select(nobody.alias("ticket_id"), nobody.alias("side"), "at", "n"))
     event = F.when(F.col("side").isNull(), F.col("at"))
-    rows = rows.select("*", bucket("at"), event.alias("event"))
+    rows = rows.select("*", number("at").alias("bucket"), event.alias("event"))
     # a mark stands before the events of its own moment
     inside = W.partitionBy("bucket").orderBy("at", F.col("side").isNull())
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = rows.select(
         "ticket_id", "side", "bucket",
-        F.count("event").over(so_far).alias("inner"),
+        F.sum("n").over(so_far).alias("inner"),
         F.max("event").over(so_far).alias("latest"),
         F.min("event").over(inside.rowsBetween(W.currentRow, W.unboundedFollowing)).alias("next"),
     ).where(F.col("side").isNotNull())
-    # one row for each bucket of the time line
-    sums = rows.groupBy("bucket").agg(F.count("event").alias("n"), F.min("event").alias("lo"), F.max("event").alias("hi"))
+    # one row for each slice of the time line
+    sums = rows.groupBy("bucket").agg(F.sum("n").alias("n"), F.min("event").alias("lo"), F.max("event").alias("hi"))
     line = W.orderBy("bucket")
     earlier, later = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
     sums = sums.select(

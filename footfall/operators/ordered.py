@@ -16,6 +16,9 @@ The result equals the plain window. Light keys have one slice and no edges.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -172,6 +175,43 @@ def carry_forward(
     return joined.withColumn(out, F.coalesce(F.col(out), F.col("_in"))).select(*df.columns, out)
 
 
+# Cut points that are compared at a time, so that a row looks at few of them.
+BLOCK = 32
+
+
+def even_slices(times: DataFrame, column: str, slice_rows: int) -> Callable[[str], Column]:
+    """A function from a timestamp column's name to its slice number, which never falls with time.
+
+    Up to ``STEPS`` cut points part the rows of ``times`` evenly, however bursty they come; where a slice would
+    have more than ``slice_rows`` rows it is parted further into equal stretches of time. Equal times
+    share a slice. Cut points are looked up when this is called: at most ``STEPS`` + 1 numbers.
+    """
+    fractions = F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+    found = times.agg(F.count(column).alias("n"), F.percentile_approx(F.unix_micros(column), fractions, F.lit(10 * STEPS)).alias("q")).first()
+    cuts = sorted(set(found["q"] or []))
+    more = max(1, -(-found["n"] // (STEPS * slice_rows)))
+
+    def numbers(values: list, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(values)), kind)
+
+    heads = numbers(cuts[::BLOCK], "array<bigint>")
+    blocks = numbers([cuts[i : i + BLOCK] for i in range(0, len(cuts), BLOCK)], "array<array<bigint>>")
+    flat = numbers(cuts, "array<bigint>")
+
+    def number(name: str) -> Column:
+        at = F.unix_micros(name)
+        block = F.size(F.filter(heads, lambda c: c <= at))
+        inside = F.size(F.filter(F.get(blocks, block - 1), lambda c: c <= at))
+        passed = F.when(block > 0, (block - 1) * BLOCK + inside).otherwise(0)
+        slice_no = passed.cast("bigint") * more
+        if more == 1:
+            return slice_no
+        low, high = F.get(flat, passed - 1), F.get(flat, passed)
+        return slice_no + F.coalesce(F.floor((at - low) * more / (high - low)).cast("bigint"), F.lit(0).cast("bigint"))
+
+    return number
+
+
 def latest_rows(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """All rows at the newest ``ts`` of their key (ties are kept).
 

@@ -110,17 +110,22 @@ def state_rows(routed: DataFrame) -> DataFrame:
     )
 
 
+def as_declared(rows: DataFrame, table: str) -> list[Column]:
+    """Exactly the declared columns of a table, in order, from rows that may lack some."""
+    have = set(rows.columns)
+    return [
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in table_schema(table).fields
+    ]
+
+
+def required(table: str) -> list[str]:
+    return [f.name for f in table_schema(table).fields if not f.nullable]
+
+
 def conform(rows: DataFrame, table: str) -> DataFrame:
     """Exactly the declared columns, in order; rows without a required value are dropped."""
-    schema = table_schema(table)
-    have = set(rows.columns)
-    out = rows.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
-    return out.dropna(subset=[f.name for f in schema.fields if not f.nullable])
+    return rows.select(*as_declared(rows, table)).dropna(subset=required(table))
 
 
 def nested_record(text: Column, schema) -> Column:

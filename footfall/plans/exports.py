@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 from dataclasses import replace
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from footfall.functions.pseudonym import pseudonymise
 from footfall.operators import export as ex
 from footfall.operators import replay, routing
+from footfall.operators.projection import conform
 from footfall.plans.library import busiest_sql
 from footfall.plans.pipeline import ALLOWED, ALLOWED_SQL
 from footfall.plans.registry import query
@@ -84,17 +86,6 @@ def d5(spark, sf):
     return ex.lifetime_counts(made[STATE], ex.ticket_timeframes(made))
 
 
-SOME_TICKETS = """SELECT ticket_id, min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows
-  WHERE ticket_id IN (SELECT ticket_id FROM global_state_events WHERE state_value = 'Inactive' AND ticket_id LIKE '%3')
-  GROUP BY ticket_id"""
-
-
-def _some_tickets(spark, sf):
-    """A list drawn from the data: visitors that became inactive and whose id ends in 3."""
-    gone = table(spark, sf, STATE).where("state_value = 'Inactive' and ticket_id like '%3'")
-    return gone.select(F.col("ticket_id").alias("entry")).distinct()
-
-
 #: All visitors that became inactive.
 GONE_TICKETS = """SELECT ticket_id, min(event_timestamp) AS a, max(event_timestamp) AS b FROM all_rows
   WHERE ticket_id IN (SELECT ticket_id FROM global_state_events WHERE state_value = 'Inactive') GROUP BY ticket_id"""
@@ -106,13 +97,6 @@ def _gone_tickets(spark, sf):
     return gone.select(F.col("ticket_id").alias("entry")).distinct()
 
 
-@query("d5_state_in_lifetimes", sql("""
-SELECT f.ticket_id AS for_ticket, g.event_timestamp, g.event_source_type, g.ticket_id, g.state_key, g.state_value, g.ttl_seconds
-FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b""", all_rows=ALL_ROWS, f=SOME_TICKETS))
-def d5_rows(spark, sf):
-    return _state_in_lifetimes(spark, sf, _some_tickets(spark, sf))
-
-
 @query("d5_state_in_all_lifetimes", sql("""
 SELECT f.ticket_id AS for_ticket, g.event_timestamp, g.event_source_type, g.ticket_id, g.state_key, g.state_value, g.ttl_seconds
 FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b""", all_rows=ALL_ROWS, f=GONE_TICKETS))
@@ -124,7 +108,25 @@ def _state_in_lifetimes(spark, sf, listed):
     made = tables(spark, sf)
     wanted = listed.withColumnRenamed("entry", "ticket_id")
     lifetimes = ex.ticket_timeframes(made).join(wanted, "ticket_id", "left_semi")
-    return ex.state_in_lifetimes(made[STATE], lifetimes, bucket_seconds=86_400)
+    return ex.state_in_lifetimes(made[STATE], lifetimes)
+
+
+@query("b12_b13_table_health", sql("""
+SELECT 'global_state_events' AS table_name, true AS healthy, count(*) AS rows, true AS has_bytes, 7 AS columns FROM global_state_events
+UNION ALL SELECT 'empatica', true, count(*), true, 13 FROM empatica
+UNION ALL SELECT 'blueiot', true, count(*), true, 7 FROM blueiot"""))
+def b12_b13(spark, sf):
+    """The three tables written, entered in the catalog, checked and measured."""
+    rows, home = [], work_path(spark, "health")
+    for t, df in tables(spark, sf).items():
+        name = f"footfall_{t}_{os.path.basename(home).replace('-', '_')}"
+        writers.write_partitioned(conform(df, t), t, f"{home}/{t}")
+        writers.create_table(spark, t, f"{home}/{t}", name)
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        info, healthy = writers.table_info(spark, name), writers.verify_tables(spark, {t: name})[t]
+        spark.sql(f"DROP TABLE {name}")
+        rows.append((t, healthy and info["partitioning"] == ["event_date"], info["rows"], info["bytes"] > 0, info["columns"]))
+    return spark.createDataFrame(rows, "table_name string, healthy boolean, rows bigint, has_bytes boolean, columns int")
 
 
 # ---- B: sinks, written and read back --------------------------------------------------
@@ -279,17 +281,6 @@ def i17(spark, sf):
     return timed.select("seq", F.col("iteration").cast("bigint").alias("iteration"), "offset_ms")
 
 
-@query("a10_a11_ticket_list_export", sql("""
-SELECT table_name, for_ticket, count(*) AS rows, min(t) AS earliest, max(t) AS latest, 'jsonl' AS format, count(*) AS read_back FROM (
-  SELECT 'global_state_events' AS table_name, f.ticket_id AS for_ticket, date_trunc('millisecond', g.event_timestamp) AS t
-  FROM global_state_events g JOIN f ON g.event_timestamp >= f.a AND g.event_timestamp < f.b
-  UNION ALL SELECT 'empatica', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM empatica e JOIN f ON e.ticket_id = f.ticket_id
-  UNION ALL SELECT 'blueiot', e.ticket_id, date_trunc('millisecond', e.event_timestamp) FROM blueiot e JOIN f ON e.ticket_id = f.ticket_id)
-GROUP BY table_name, for_ticket""", all_rows=ALL_ROWS, f=SOME_TICKETS))
-def a11(spark, sf):
-    return _export_listed(spark, sf, _some_tickets(spark, sf))
-
-
 @query("a10_a11_all_tickets_export", sql("""
 SELECT table_name, for_ticket, count(*) AS rows, min(t) AS earliest, max(t) AS latest, 'jsonl' AS format, count(*) AS read_back FROM (
   SELECT 'global_state_events' AS table_name, f.ticket_id AS for_ticket, date_trunc('millisecond', g.event_timestamp) AS t

@@ -56,14 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
     without it is an error, because a machine-local folder would be lost with
     the machine.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or getattr(spark.sparkContext, "_footfall_folder", None)
     if folder:
         return folder
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="footfall-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    spark.sparkContext._footfall_folder = tempfile.mkdtemp(prefix="footfall-")
+    return spark.sparkContext._footfall_folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -93,8 +92,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared store, if it is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -107,3 +106,47 @@ def plan_bytes(df: DataFrame) -> int:
         return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
     except AttributeError:  # a remote session has no such handle: treat the frame as large
         return 1 << 62
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small text in place as a whole: it is written beside its place and renamed."""
+    fs, target = _fs(spark, path)
+    beside = target.suffix(f"-{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(beside, target):  # stores whose rename does not replace
+        fs.delete(target, False)
+        if not fs.rename(beside, target):
+            raise OSError(f"{path} cannot be replaced")
+
+
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """A small text, or None where there is none."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return None
+    source = fs.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern names in the shared store."""
+    fs, target = _fs(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(target) or []]
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path, from the store's listing."""
+    fs, target = _fs(spark, path)
+    return int(fs.getContentSummary(target).getLength())
+
+
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -6,7 +6,7 @@ import os
 from functools import reduce
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.export import (
@@ -23,6 +23,7 @@ from footfall.operators.export import (
 )
 from footfall.operators.replay import as_log, combined_replay, in_replay_order, to_replay
 from footfall.rules import STATE, TABLES, Table, table_schema
+from footfall.session import remove_path, stored_bytes
 
 CODECS = ("snappy", "gzip", "zstd", "none")
 
@@ -83,6 +84,16 @@ def partition_value(table: Table) -> Column:
     return partition_start(F.col(table.partition_field), table.partition_type)
 
 
+def with_bloom_filters(writer: DataFrameWriter, tables: list[Table]) -> DataFrameWriter:
+    """Bloom filters on the look-up columns: files are sorted by their first clustering column, so for the
+    others the smallest and largest values of a row group prune little."""
+    names = {c.name for t in tables for c in t.columns}
+    for column in ("device_id", "state_key"):
+        if column in names:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
 def write_partitioned(
     rows: DataFrame,
     table: str,
@@ -111,7 +122,22 @@ def write_partitioned(
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
         )
-    writer.partitionBy(*parts).parquet(path)
+    with_bloom_filters(writer, [spec]).partitionBy(*parts).parquet(path)
+
+
+def write_dealt(rows: DataFrame, path: str, batch_id: int, tables: dict[str, Table] = TABLES) -> None:
+    """Writes the rows of several tables at once, below ``target_table=…/event_date=…/batch_id=…``.
+
+    ``rows`` has ``target_table``, ``event_date`` and the columns of all tables. They are dealt by (table,
+    partition) in one exchange, in which adaptive execution splits what is large and joins what is small, and replace
+    what an earlier attempt of the same batch wrote.
+    """
+    clustering = dict.fromkeys(c for spec in tables.values() for c in (*spec.clustering, spec.partition_field))
+    parts = ["target_table", "event_date"]
+    dealt = rows.hint("rebalance", *parts).sortWithinPartitions(*parts, *[c for c in clustering if c in rows.columns])
+    writer = dealt.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+    writer = with_bloom_filters(writer, list(tables.values()))
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(path)
 
 
 def create_table(spark: SparkSession, table: str, path: str, name: str | None = None) -> bool:
@@ -146,15 +172,16 @@ def verify_tables(spark: SparkSession, names: dict[str, str]) -> dict[str, bool]
 
 
 def table_info(spark: SparkSession, name: str) -> dict:
-    """Rows, bytes, number of columns and partition columns of a catalog table."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-    found = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'").first()
-    statistics = found["data_type"] if found else ""
-    numbers = [int(p) for p in statistics.replace(",", "").split() if p.isdigit()]
+    """Rows, bytes, number of columns and partition columns of a catalog table.
+
+    Bytes come from the file listing. Rows are counted without reading a column, which takes the row
+    counts of the files' footers; no statistics are computed.
+    """
     columns = spark.catalog.listColumns(name)
+    location = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
     return {
-        "rows": numbers[1] if len(numbers) > 1 else None,
-        "bytes": numbers[0] if numbers else None,
+        "rows": spark.table(name).count(),
+        "bytes": stored_bytes(spark, location),
         "columns": len(columns),
         "partitioning": [c.name for c in columns if c.isPartition],
     }
@@ -173,20 +200,26 @@ def write_tables(
     """One output per non-empty table, or one combined log for the replay format."""
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
-    filled = {t: df for t, df in frames.items() if not df.isEmpty()}
-    if not filled:
-        return {}
     if fmt == "replay":
         path = os.path.join(folder, f"{combined_name}.replay")
-        log = combined_replay(filled)
-        write_replay(log, path)
+        log = combined_replay(frames)
+        if not _wrote(log, lambda df: write_replay(df, path), path):
+            return {}
         write_schema(as_log(log), f"{path}.schema")
         return {"combined": path}
-    files = {}
-    for table, df in filled.items():
-        files[table] = os.path.join(folder, f"{table}.{fmt}")
-        (write_parquet if fmt == "parquet" else write_jsonl)(df, files[table])
-    return files
+    write = write_parquet if fmt == "parquet" else write_jsonl
+    files = {table: os.path.join(folder, f"{table}.{fmt}") for table in frames}
+    return {t: files[t] for t, df in frames.items() if _wrote(df, lambda df, t=t: write(df, files[t]), files[t])}
+
+
+def _wrote(df: DataFrame, write, path: str) -> bool:
+    """Writes a frame and counts its rows on the way; an output without rows is taken away again."""
+    seen = Observation()
+    write(df.observe(seen, F.count("*").alias("rows")))
+    if seen.get["rows"]:
+        return True
+    remove_path(df.sparkSession, path)
+    return False
 
 
 def export_range(tables: dict[str, DataFrame], spec: RangeSpec, out_dir: str) -> dict[str, str]:

@@ -8,11 +8,12 @@ import tempfile
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import bag
 from footfall.operators import export as ex
-from footfall.operators import profile
+from footfall.operators import ordered, profile
 from footfall.plans.views import tables, visits
 from footfall.rules import EMPATICA, STATE
 from footfall.session import remove_path, shared_dir, work_path
@@ -76,6 +77,50 @@ def test_range_join_equals_brute_force(made, slice_rows, bucket):
     assert got == {t: n for t, n in expected.items() if n}
 
 
+@pytest.fixture(scope="module")
+def crowded(spark):
+    """State events of which a third come in one hour, and a tenth in one moment, with lifetimes across them."""
+    at = F.when(F.col("id") % 3 == 0, F.col("id") % 3600 + 500_000).when(F.col("id") % 10 == 1, 123_456).otherwise(F.xxhash64("id") % 500_000 + 500_000)
+    state = spark.range(6000).select(
+        F.timestamp_seconds(1704067200 + at).alias("event_timestamp"), F.lit("key").alias("event_source_type"), F.format_string("T%d", F.col("id") % 40).alias("ticket_id"),
+        F.concat(F.lit("k"), F.col("id")).alias("state_key"), F.lit("v").alias("state_value"), F.lit(None).cast("bigint").alias("ttl_seconds"),
+    ).persist()
+    span = lambda c: F.timestamp_seconds(1704067200 + F.xxhash64("id", F.lit(c)) % 700_000 + 400_000)
+    lives = spark.range(60).select(F.concat(F.lit("L"), F.col("id")).alias("ticket_id"), F.least(span("a"), span("b")).alias("first_seen"), F.greatest(span("a"), span("b")).alias("last_seen"))
+    edges = state.select(F.lit("all").alias("ticket_id"), F.min("event_timestamp").over(W.partitionBy()).alias("first_seen"), F.max("event_timestamp").over(W.partitionBy()).alias("last_seen")).limit(1)
+    return state, lives.unionByName(edges).persist()
+
+
+@pytest.mark.parametrize("slice_rows", [None, 0, 50, 7])
+def test_crowded_hours_and_moments(crowded, slice_rows):
+    state, lives = crowded
+    times = sorted(r[0] for r in state.select("event_timestamp").collect())
+    want = {}
+    for s in lives.collect():
+        if inside := [t for t in times if s["first_seen"] <= t < s["last_seen"]]:
+            want[s["ticket_id"]] = (len(inside), inside[0], inside[-1])
+    listed = ex.state_in_lifetimes(state, lives, slice_rows=slice_rows).groupBy("for_ticket").agg(
+        F.count("*").alias("n"), F.countDistinct("state_key").alias("keys"), F.min("event_timestamp").alias("a"), F.max("event_timestamp").alias("b")
+    )
+    rows = {r["for_ticket"]: r for r in listed.collect()}
+    assert {t: (r["n"], r["a"], r["b"]) for t, r in rows.items()} == want and all(r["n"] == r["keys"] for r in rows.values())
+    counts = ex.lifetime_counts(state, lives, slice_rows=slice_rows).collect()
+    assert {r["for_ticket"]: (r["context_events"], r["from_ts"], r["to_ts"]) for r in counts} == want
+
+
+def test_slices_hold_equal_numbers_of_rows(crowded, monkeypatch):
+    state, _ = crowded
+    monkeypatch.setattr(ordered, "STEPS", 16)
+    for slice_rows, most, usual in ((1000, 450, 450), (20, 450, 45)):
+        number = ordered.even_slices(state, "event_timestamp", slice_rows)
+        moments = state.groupBy("event_timestamp").count().withColumn("s", number("event_timestamp"))
+        by_slice = moments.groupBy("s").agg(F.sum("count").alias("n"), F.max("count").alias("hot"), F.min("event_timestamp").alias("a"), F.max("event_timestamp").alias("b"))
+        rows = by_slice.orderBy("s").collect()
+        assert all(x["b"] < y["a"] for x, y in zip(rows, rows[1:]))
+        sizes = sorted(r["n"] - r["hot"] for r in rows)  # the rows of one moment stay together
+        assert sizes[-1] <= most and sizes[len(sizes) // 2] <= usual
+
+
 def test_listing(made):
     listed = ex.list_tickets(made[STATE]).collect()
     assert [r["first_seen"] for r in listed] == sorted((r["first_seen"] for r in listed), reverse=True)
@@ -193,6 +238,22 @@ def test_catalog_tables(spark, made, folder):
     spark.sql("DROP TABLE state_check_table")
 
 
+def test_look_ups_skip_row_groups(spark, folder):
+    """A device that lies between a file's smallest and largest, and is not in it, costs no rows of that file."""
+    devices = F.format_string("E3%06d", F.col("id") * 2 % 20_000)
+    rows = spark.range(20_000).select(
+        F.timestamp_seconds(F.col("id") + 1704067200).alias("event_timestamp"), F.format_string("T%d", F.col("id") % 7).alias("ticket_id"), devices.alias("device_id"),
+    )
+    from footfall.operators.projection import conform
+    writers.write_partitioned(conform(rows, EMPATICA), EMPATICA, f"{folder}/t")
+    for device, some in (("E3004000", True), ("E3004001", False)):
+        found = spark.read.parquet(f"{folder}/t").where(F.col("device_id") == device)
+        execution = found._jdf.queryExecution()
+        assert len(execution.executedPlan().executeCollect()) == (2 if some else 0)
+        leaf = execution.executedPlan().collectLeaves().head()
+        assert (leaf.metrics().apply("numOutputRows").value() > 0) is some
+
+
 def test_dry_run_counts(spark):
     assert writers.dry_run(spark.range(42)) == {"rows": 42}
 
