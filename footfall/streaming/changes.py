@@ -29,40 +29,58 @@ def _version(folder: str, batch_id: int) -> str:
     return os.path.join(folder, f"version={batch_id}")
 
 
-def hashes_before(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """(key, value_hash): the last hash of every key before a batch."""
+def hashes_before(spark: SparkSession, folder: str, batch_id: int, seed: DataFrame | None = None) -> DataFrame:
+    """(key, value_hash): the last hash of every key before a batch; ``seed`` holds those from before the stream."""
     first = max(0, (batch_id - 1) // COMPACT * COMPACT)
     paths = [_version(folder, i) for i in range(first, batch_id)]
+    known = spark.createDataFrame([], HASHES)
+    if seed is not None and first == 0:
+        known = seed.select("key", "value_hash", F.lit(-1).cast("bigint").alias("version"))
     if not paths:
-        return spark.createDataFrame([], "key string, value_hash string")
-    read = spark.read.schema(HASHES).parquet(*paths)
+        return known.drop("version")
+    read = known.unionByName(spark.read.schema(HASHES).parquet(*paths)) if first == 0 and seed is not None else spark.read.schema(HASHES).parquet(*paths)
     return read.groupBy("key").agg(F.max_by("value_hash", "version").alias("value_hash"))
 
 
-def changed_in_batch(key_events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None) -> DataFrame:
+def last_hashes(key_events: DataFrame) -> DataFrame:
+    """(key, value_hash) of the newest value of every key: what a stream that goes on from here is seeded with."""
+    as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
+    hashed = key_events.select("key", "seq", hash_text(F.col("value"), as_object).alias("value_hash"))
+    return hashed.groupBy("key").agg(F.max_by("value_hash", "seq").alias("value_hash"))
+
+
+def changed_in_batch(
+    key_events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None, seed: DataFrame | None = None
+) -> DataFrame:
     """The key events of a micro-batch whose value differs from the one before; writes the batch's version."""
     spark = key_events.sparkSession
     as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
     hashed = key_events.withColumn("value_hash", hash_text(F.col("value"), as_object))
-    before = hashes_before(spark, folder, batch_id)
+    before = hashes_before(spark, folder, batch_id, seed)
     seen = neighbours(
         hashed, ["key"], ["seq"], F.col("seq"), prev={"_before": "value_hash", "_seq_before": "seq"}, slice_rows=slice_rows
     )
-    known = seen.join(before.withColumnRenamed("value_hash", "_known"), "key", "left")
-    last = F.when(F.col("_seq_before").isNull(), F.col("_known")).otherwise(F.col("_before"))
+    # only a key's first event needs the old hash; the others meet nothing, and are spread by their number
+    first = F.col("_seq_before").isNull()
+    seen = seen.withColumns({"_first": first, "_probe": F.when(first, F.col("key")).otherwise(F.col("seq").cast("string"))})
+    old = before.select(F.col("key").alias("_probe"), F.col("value_hash").alias("_known"), F.lit(True).alias("_first"))
+    known = seen.join(old, ["_probe", "_first"], "left")
+    last = F.when(F.col("_first"), F.col("_known")).otherwise(F.col("_before"))
     newest = hashed.groupBy("key").agg(F.max_by("value_hash", "seq").alias("value_hash"))
     if batch_id and batch_id % COMPACT == 0:
         newest = before.join(newest, "key", "left_anti").unionByName(newest)
     newest.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(_version(folder, batch_id))
     if batch_id % COMPACT == 0:
-        for old in range(max(0, batch_id - KEPT - COMPACT), batch_id - KEPT):
-            remove_path(spark, _version(folder, old))
+        for old_version in range(max(0, batch_id - KEPT - COMPACT), batch_id - KEPT):
+            remove_path(spark, _version(folder, old_version))
     return known.where(last.isNull() | (last != F.col("value_hash"))).select(*key_events.columns)
 
 
-def changes_in_batch(events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None) -> DataFrame:
+def changes_in_batch(
+    events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None, seed: DataFrame | None = None
+) -> DataFrame:
     """Channel events as they are, key events only where the value changed."""
-    keys = changed_in_batch(events.where(F.col("source_type") == KEY), folder, batch_id, slice_rows)
+    keys = changed_in_batch(events.where(F.col("source_type") == KEY), folder, batch_id, slice_rows, seed)
     return keys.unionByName(events.where(F.col("source_type") != KEY))
 
 

@@ -18,13 +18,14 @@ KEPT_ALERTS = 1_000
 
 
 class HealthListener(StreamingQueryListener):
-    """Collects an alert for every trigger that takes in or writes more than its limit, or
-    that reads faster than it can process."""
+    """Collects an alert for every trigger that takes in or writes more than its limit, that
+    reads faster than it can process, or in which rows come too late for their window (counted in ``late_rows``)."""
 
     def __init__(self, feed_limit: int = FEED_BACKLOG, row_limit: int = ROW_BACKLOG) -> None:
         self.feed_limit, self.row_limit = feed_limit, row_limit
         self.alerts: list[str] = []
         self.triggers = 0
+        self.late_rows = 0
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -40,6 +41,11 @@ class HealthListener(StreamingQueryListener):
         if progress.inputRowsPerSecond > progress.processedRowsPerSecond > 0:
             self._alert(f"batch {progress.batchId}: falling behind the feed")
 
+        late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        if late:
+            self.late_rows += late
+            self._alert(f"batch {progress.batchId}: {late} rows behind the watermark")
+
     def onQueryTerminated(self, event) -> None:
         if event.exception:
             self._alert(f"stream ended: {event.exception}")

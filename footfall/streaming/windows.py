@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from footfall.operators.ordered import PLAIN, choose_slicing, even_slices, settled
 from footfall.operators.profile import windowed_assembly
 
 
@@ -15,21 +17,46 @@ def assemble_stream(
     return windowed_assembly(events, rules, width, watermark=lateness)
 
 
+#: Sessions that fall into one task are merged there before they are shuffled.
+LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def assemble_sessions(
-    events: DataFrame, column: str, gap: str = "5 seconds", lateness: str | None = None
+    events: DataFrame, column: str, gap: str = "5 seconds", lateness: str | None = None, slice_rows: int | None = None
 ) -> DataFrame:
-    """Rows of a device until it is silent for ``gap``: count, mean and span."""
+    """Rows of a device until it is silent for ``gap``: count, mean and span.
+
+    On a stream Spark merges the sessions of each task before the shuffle (``LOCAL_MERGE`` is set on the session).
+    In large batch input a device of any size is cut into slices of time of equal row counts:
+    sessions are built inside (device, slice), and of each slice only the first and the last, which may go on in a
+    neighbour, meet in one window per device.
+    """
     if lateness:
         events = events.withWatermark("event_timestamp", lateness)
-    return (
-        events.groupBy(F.session_window("event_timestamp", gap), "device_id")
-        .agg(F.count("*").alias("source_rows"), F.avg(column).alias(column))
-        .select(
-            F.col("session_window.start").alias("session_start"),
-            F.col("session_window.end").alias("session_end"),
-            "device_id", column, "source_rows",
-        )
-    )
+    sums = [F.count("*").alias("source_rows"), F.sum(column).alias("_sum"), F.count(column).alias("_filled")]
+    names = [F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "device_id"]
+    window = F.session_window("event_timestamp", gap)
+    result = ["session_start", "session_end", "device_id", F.try_divide("_sum", "_filled").alias(column), "source_rows"]
+    if events.isStreaming:
+        events.sparkSession.conf.set(LOCAL_MERGE, "true")
+    if events.isStreaming or (slice_rows := choose_slicing(events, slice_rows)) == PLAIN:
+        return events.groupBy(window, "device_id").agg(*sums).select(*names, "source_rows", "_sum", "_filled").select(*result)
+
+    number = even_slices(events, "event_timestamp", slice_rows)
+    parts = events.withColumn("_slice", number("event_timestamp")).groupBy(window, "device_id", "_slice").agg(*sums)
+    parts = settled(parts.select(*names, "_slice", "source_rows", "_sum", "_filled"), slice_rows, "session-parts")
+    inside = W.partitionBy("device_id", "_slice").orderBy("session_start")
+    edge = F.lag(F.lit(True)).over(inside).isNull() | F.lead(F.lit(True)).over(inside).isNull()
+    parts = parts.withColumn("_edge", edge)
+    along = W.partitionBy("device_id").orderBy("session_start")
+    # at most two rows for each device and slice
+    edges = parts.where("_edge").withColumn("_fresh", F.coalesce(F.col("session_start") > F.lag("session_end").over(along), F.lit(True)))
+    edges = edges.withColumn("_session", F.sum(F.col("_fresh").cast("long")).over(along))
+    merged = edges.groupBy("device_id", "_session").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+        *[F.sum(c).alias(c) for c in ("source_rows", "_sum", "_filled")],
+    )
+    return merged.drop("_session").unionByName(parts.where("not _edge").drop("_slice", "_edge")).select(*result)
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import glob
 import os
+import random
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,9 +14,11 @@ from footfall.operators import assignment, changes, projection, routing
 from footfall.plans.views import feed
 from footfall.rules import BLUEIOT, EMPATICA, STATE
 from footfall.sources import feeds
+from footfall.streaming import bridge as bridge_module
 from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
-from footfall.streaming.changes import start_changes
+from footfall.streaming.changes import last_hashes, start_changes
 from footfall.streaming.health import HealthListener
+from footfall.streaming.windows import assemble_sessions, run_available
 
 SF = "/root/testdata/sf0.001"
 
@@ -113,6 +117,84 @@ def test_compaction_keeps_the_rows(spark, raw_of):
     assert {r["batch_id"] for r in merged.select("batch_id").distinct().collect()} == {2, 3}
 
 
+def test_batches_run_again_after_compaction(spark, raw_of):
+    """Rows are neither lost nor doubled by any batch that runs again, before, between and after merges."""
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    bridge = Bridge(spark, f"{home}/t", f"{home}/s")
+    names = ["state_key", "state_value"]
+    batches = [raw_of([("key", "IO:x", str(n)), ("key", f"IO:y{n}", "1"), ("channel", "Wearables:WatchDevices:D:BioSensors", "{}")]) for n in range(5)]
+    for number, batch in enumerate(batches):
+        bridge.process(batch, number)
+    rows = bag(read_output(bridge, STATE).collect(), names)
+    assert len(rows) == 10
+    compact_output(bridge, STATE, 2)
+    for number in (1, 0, 2):
+        bridge.process(batches[number], number)
+        assert bag(read_output(bridge, STATE).collect(), names) == rows
+    assert bag(compact_output(bridge, STATE, 4).collect(), names) == rows
+    assert bag(compact_output(bridge, STATE, 3).collect(), names) == rows  # an earlier merge has nothing left to do
+    for number in (3, 0, 4):
+        bridge.process(batches[number], number)
+        assert bag(read_output(bridge, STATE).collect(), names) == rows
+    assert read_output(bridge, EMPATICA).count() == 5  # a table that is not merged replaces its own rows
+    kept = {p.rsplit("=", 1)[1] for p in glob.glob(f"{home}/t/target_table={STATE}/event_date=*/batch_id=*")}
+    assert kept == {"-4", "4"}
+
+
+def test_a_merge_cut_short_leaves_the_rows(spark, raw_of, monkeypatch):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    live = Bridge(spark, f"{home}/t", f"{home}/s")
+    for number in range(3):
+        live.process(raw_of([("key", "IO:x", str(number))]), number)
+    for step in ("put_text", "remove_path"):  # before the mark is set, and before the old files go
+        with monkeypatch.context() as m:
+            m.setattr(bridge_module, step, lambda *a: (_ for _ in ()).throw(OSError("cut")))
+            with pytest.raises(OSError):
+                compact_output(live, STATE, 2)
+        assert sorted(r["state_value"] for r in read_output(live, STATE).collect()) == ["0", "1", "2"]
+    assert live.merged_below(STATE) == 2
+
+
+def test_seeds_stand_for_the_earlier_feed(spark, raw_of):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    before = routing.route(raw_of([("key", "IO:x", "1"), ("key", "IO:x", "2"), ("key", "Rooms:a", '{"b": 1}')]))
+    bridge = Bridge(spark, f"{home}/t", f"{home}/s", seed_hashes=last_hashes(before))
+    bridge.process(raw_of([("key", "IO:x", "2"), ("key", "IO:z", "1")]), 0)
+    bridge.process(raw_of([("key", "Rooms:a", '{"b":1}'), ("key", "IO:x", "1")]), 1)
+    assert sorted((r["state_key"], r["state_value"]) for r in read_output(bridge, STATE).collect()) == [("IO:x", "1"), ("IO:z", "1")]
+    assert [s["unchanged"] for s in bridge.stats] == [1, 1]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 4, 50])
+def test_sessions_of_hot_devices(spark, slice_rows):
+    rng = random.Random(2)
+    rows = [("hot" if rng.random() < 0.6 else f"d{rng.randrange(4)}", rng.choice([5 * i, 5 * i + rng.randrange(40)]), rng.choice([None, 1.0, 2.5])) for i in range(400)]
+    rows += [(None, 100, 1.0), (None, 103, 2.0), ("hot", 700, 1.0), ("hot", 700, 3.0)]
+    events = spark.createDataFrame(rows, "device_id string, at int, hr double").withColumn("event_timestamp", F.timestamp_seconds(F.col("at") + 1704067200))
+    columns = ["session_start", "session_end", "device_id", "hr", "source_rows"]
+    plain, sliced = (F.round("hr", 6), F.round("hr", 6))
+    want = assemble_sessions(events, "hr", "7 seconds", slice_rows=0).withColumn("hr", plain)
+    got = assemble_sessions(events, "hr", "7 seconds", slice_rows=slice_rows).withColumn("hr", sliced)
+    assert want.count() > 40 and bag(got.collect(), columns) == bag(want.collect(), columns)
+
+
+def test_late_rows_are_reported(spark, raw_of):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    schema = "event_timestamp timestamp, device_id string, hr double"
+    for second in (1000, 5000, 10, 6000):  # the third file comes long after its windows have closed
+        spark.range(3).select(F.timestamp_seconds(F.lit(second)).alias("event_timestamp"), F.lit("d").alias("device_id"), F.lit(1.0).alias("hr")).coalesce(1).write.mode("append").parquet(f"{home}/in")
+    listener = HealthListener()
+    spark.streams.addListener(listener)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    run_available(assemble_sessions(stream, "hr", "5 seconds", "10 seconds"), f"{home}/out", f"{home}/checkpoint")
+    for _ in range(50):
+        if listener.late_rows:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    assert listener.late_rows and any("behind the watermark" in a for a in listener.alerts)
+
+
 def test_dry_run_writes_no_tables(spark, raw_of):
     home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     bridge = Bridge(spark, f"{home}/t", f"{home}/s", dry_run=True)
