@@ -24,6 +24,8 @@ def local_session(cpus: int | str = 8, app: str = "footfall", **conf) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # call sites are not recorded for every column expression, which doubles the time to build a plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -84,10 +84,11 @@ def partition_value(table: Table) -> Column:
     return partition_start(F.col(table.partition_field), table.partition_type)
 
 
-def with_bloom_filters(writer: DataFrameWriter, tables: list[Table]) -> DataFrameWriter:
+def with_bloom_filters(writer: DataFrameWriter, table: Table) -> DataFrameWriter:
     """Bloom filters on the look-up columns: files are sorted by their first clustering column, so for the
-    others the smallest and largest values of a row group prune little."""
-    names = {c.name for t in tables for c in t.columns}
+    others the smallest and largest values of a row group prune little. They are as large as the values they hold ask for."""
+    names = {c.name for c in table.columns}
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     for column in ("device_id", "state_key"):
         if column in names:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -122,7 +123,7 @@ def write_partitioned(
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
         )
-    with_bloom_filters(writer, [spec]).partitionBy(*parts).parquet(path)
+    with_bloom_filters(writer, spec).partitionBy(*parts).parquet(path)
 
 
 def write_dealt(rows: DataFrame, path: str, batch_id: int, tables: dict[str, Table] = TABLES) -> None:
@@ -130,13 +131,12 @@ def write_dealt(rows: DataFrame, path: str, batch_id: int, tables: dict[str, Tab
 
     ``rows`` has ``target_table``, ``event_date`` and the columns of all tables. They are dealt by (table,
     partition) in one exchange, in which adaptive execution splits what is large and joins what is small, and replace
-    what an earlier attempt of the same batch wrote.
+    what an earlier attempt of the same batch wrote. Files are small until they are merged, and have no bloom filters.
     """
     clustering = dict.fromkeys(c for spec in tables.values() for c in (*spec.clustering, spec.partition_field))
     parts = ["target_table", "event_date"]
     dealt = rows.hint("rebalance", *parts).sortWithinPartitions(*parts, *[c for c in clustering if c in rows.columns])
     writer = dealt.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-    writer = with_bloom_filters(writer, list(tables.values()))
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts, "batch_id").parquet(path)
 
 

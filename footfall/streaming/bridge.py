@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +25,7 @@ from footfall.operators.routing import route
 from footfall.rules import BLUEIOT, EMPATICA, RULES, STATE, TABLE_NAMES, TABLES, table_schema
 from footfall.session import folders, get_text, put_text, remove_path, written
 from footfall.sinks.writers import partition_value, write_dealt, write_partitioned
-from footfall.streaming.changes import KEPT, changes_in_batch
+from footfall.streaming.changes import KEPT, changes_and_state, put_version
 
 OPEN_SCHEMA = "seq bigint, ticket_id string, device_id string"
 
@@ -84,15 +86,23 @@ class Bridge:
             slices = PLAIN if found["received"] <= SLICE_ROWS else SLICE_ROWS
             routed = all_routed.where("target_table is not null")
             hashes = os.path.join(self.state_dir, "hashes")
-            changed = changes_in_batch(routed, hashes, batch_id, slices, self.seed_hashes).persist()
-            held.append(changed)
-            # The batch's own events come after everything that is already open.
-            log = self._open_before(batch_id).unionByName(assignment_log(changed))
-            intervals = assignment_intervals(log, slices).persist()
-            held.append(intervals)
-            still_open = open_assignments(intervals).select(F.col("start_seq").alias("seq"), "ticket_id", "device_id")
-            still_open.write.mode("overwrite").parquet(self._version(batch_id))
-            counts = self._write(self._rows(changed, intervals, slices), batch_id)
+            # The versions are written while the plan of the rows is made, and before the rows.
+            with ThreadPoolExecutor(2) as pool:
+                changes, newest = changes_and_state(routed, hashes, batch_id, slices, self.seed_hashes)
+                changed = changes.persist()
+                held.append(changed)
+                versions = [pool.submit(inheritable_thread_target(self.spark)(put_version), newest, hashes, batch_id)]
+                # The batch's own events come after everything that is already open.
+                log = self._open_before(batch_id).unionByName(assignment_log(changed))
+                intervals = assignment_intervals(log, slices).persist()
+                held.append(intervals)
+                still_open = open_assignments(intervals).select(F.col("start_seq").alias("seq"), "ticket_id", "device_id")
+                target = self._version(batch_id)
+                versions.append(pool.submit(inheritable_thread_target(self.spark)(lambda: still_open.write.mode("overwrite").parquet(target))))
+                rows = self._rows(changed, intervals, slices)
+                for version in versions:
+                    version.result()
+                counts = self._write(rows, batch_id)
             self._report(batch_id, found["received"], found["unrouted"], counts)
             remove_path(self.spark, self._version(batch_id - KEPT))
         finally:

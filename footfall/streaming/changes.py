@@ -49,10 +49,10 @@ def last_hashes(key_events: DataFrame) -> DataFrame:
     return hashed.groupBy("key").agg(F.max_by("value_hash", "seq").alias("value_hash"))
 
 
-def changed_in_batch(
+def changed_keys_and_state(
     key_events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None, seed: DataFrame | None = None
-) -> DataFrame:
-    """The key events of a micro-batch whose value differs from the one before; writes the batch's version."""
+) -> tuple[DataFrame, DataFrame]:
+    """The key events of a micro-batch whose value differs from the one before, and the batch's version of the hashes."""
     spark = key_events.sparkSession
     as_object = F.col("value_is_object") if "value_is_object" in key_events.columns else None
     hashed = key_events.withColumn("value_hash", hash_text(F.col("value"), as_object))
@@ -69,26 +69,33 @@ def changed_in_batch(
     newest = hashed.groupBy("key").agg(F.max_by("value_hash", "seq").alias("value_hash"))
     if batch_id and batch_id % COMPACT == 0:
         newest = before.join(newest, "key", "left_anti").unionByName(newest)
-    newest.withColumn("version", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(_version(folder, batch_id))
+    newest = newest.withColumn("version", F.lit(batch_id).cast("bigint"))
+    return known.where(last.isNull() | (last != F.col("value_hash"))).select(*key_events.columns), newest
+
+
+def put_version(newest: DataFrame, folder: str, batch_id: int) -> None:
+    """Writes a batch's version of the hashes; where that is a whole state, what no batch can go back to is deleted."""
+    newest.write.mode("overwrite").parquet(_version(folder, batch_id))
     if batch_id % COMPACT == 0:
-        for old_version in range(max(0, batch_id - KEPT - COMPACT), batch_id - KEPT):
-            remove_path(spark, _version(folder, old_version))
-    return known.where(last.isNull() | (last != F.col("value_hash"))).select(*key_events.columns)
+        for old in range(max(0, batch_id - KEPT - COMPACT), batch_id - KEPT):
+            remove_path(newest.sparkSession, _version(folder, old))
 
 
-def changes_in_batch(
+def changes_and_state(
     events: DataFrame, folder: str, batch_id: int, slice_rows: int | None = None, seed: DataFrame | None = None
-) -> DataFrame:
-    """Channel events as they are, key events only where the value changed."""
-    keys = changed_in_batch(events.where(F.col("source_type") == KEY), folder, batch_id, slice_rows, seed)
-    return keys.unionByName(events.where(F.col("source_type") != KEY))
+) -> tuple[DataFrame, DataFrame]:
+    """Channel events as they are and key events only where the value changed, and the hashes for ``put_version``."""
+    keys, newest = changed_keys_and_state(events.where(F.col("source_type") == KEY), folder, batch_id, slice_rows, seed)
+    return keys.unionByName(events.where(F.col("source_type") != KEY)), newest
 
 
 def start_changes(events: DataFrame, out: str, state: str, checkpoint: str, columns: list[str] | None = None) -> StreamingQuery:
     """Writes the changed events of a stream below ``out`` and ends when all that is there has been read."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = changes_in_batch(batch, state, batch_id).select(*(columns or events.columns))
+        rows, newest = changes_and_state(batch, state, batch_id)
+        put_version(newest, state, batch_id)
+        rows = rows.select(*(columns or events.columns))
         rows.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
