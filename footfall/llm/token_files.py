@@ -11,8 +11,10 @@ that order. Its layout, little-endian throughout:
     lengths      u32 each: ids of the document, end id included
     control      u8 for each four values: two bits each, the value's bytes less one
     data         1 to 4 bytes for each value, which is a rank
+    before       u64: ids in the earlier files of the same task
 
-Each file ranks its own ids, so one pass over the texts is enough, and each is read alone.
+Each file ranks its own ids, so one pass over the texts is enough, and each is read alone. Where a file's ids
+begin among all follows from ``before`` and the totals of the tasks that wrote the files before it.
 Values are decoded by a table that gives the four lengths of each control byte.
 
 * Null and empty texts are the end id alone; rows without an id come first; rows that repeat an
@@ -25,12 +27,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.common import pieces_of, written
@@ -41,6 +43,8 @@ MAGIC = b"FFTOKEN1"
 VALUES_PER_FILE = 8_000_000
 #: Values that are coded at a time, a multiple of four.
 STEP = 1 << 20
+#: A file's number is that of the task that wrote it, and below that its place among the task's files.
+PART_BITS = 24
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
@@ -66,7 +70,7 @@ def decode_values(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return values
 
 
-def file_bytes(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
+def file_bytes(doc_ids: list[int | None], ids: list[np.ndarray], before: int = 0) -> bytes:
     flat = np.concatenate(ids)
     counts = sum(np.bincount(flat[i : i + STEP], minlength=int(flat.max()) + 1) for i in range(0, len(flat), STEP))
     ranked = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
@@ -77,6 +81,7 @@ def file_bytes(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
         MAGIC, np.array([len(ids), len(flat), len(ranked)], "<u4").tobytes(), ranked.astype("<u4").tobytes(),
         bytes(i is not None for i in doc_ids), np.array([i or 0 for i in doc_ids], "<i8").tobytes(),
         np.array([len(x) for x in ids], "<u4").tobytes(), *(c for c, _ in coded), *(d for _, d in coded),
+        before.to_bytes(8, "little"),
     ])
 
 
@@ -129,10 +134,10 @@ def write_files(
         own, part, files = encoder(tokenizer), TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
         ids: list[np.ndarray] = []
-        held = 0
+        held = done = 0
 
         def close() -> pa.RecordBatch:
-            content, number = file_bytes(doc_ids, ids), (part << 24) + files
+            content, number = file_bytes(doc_ids, ids, done), (part << PART_BITS) + files
             put(folder, f"{number:016d}.tok", content)
             return pa.record_batch([[number], [len(ids)], [held], [len(content)]], names=["file", "docs", "tokens", "bytes"])
 
@@ -145,7 +150,7 @@ def write_files(
                 held += len(ids[-1])
                 if held >= VALUES_PER_FILE:
                     yield close()
-                    doc_ids, ids, held, files = [], [], 0, files + 1
+                    doc_ids, ids, held, done, files = [], [], 0, done + held, files + 1
         if ids:
             yield close()
 
@@ -153,32 +158,33 @@ def write_files(
 
 
 def read_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document, in the files' order; ids as unsigned 32-bit values.
-
-    The starts of the files are one row a file (of some 10 MB), so they may be broadcast.
-    """
+    """(doc_id, start, n_tokens, ids) of every document, in the files' order; ids as unsigned 32-bit values."""
+    # one number for each task that wrote files
+    parts = manifest.groupBy(F.shiftright("file", PART_BITS).alias("part")).agg(F.sum("tokens").alias("n"))
+    totals = sorted((r.part, r.n) for r in parts.collect())
+    starts = {part: start for (part, _), start in zip(totals, accumulate((n for _, n in totals), initial=0))}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                doc_ids, lengths, ids = read_file(content.as_buffer().to_pybytes())
-                name = int(path.as_py().rpartition("/")[2].removesuffix(".tok"))
+                whole = content.as_buffer().to_pybytes()
+                doc_ids, lengths, ids = read_file(whole)
+                number = int(path.as_py().rpartition("/")[2].removesuffix(".tok"))
+                begin = starts[number >> PART_BITS] + int.from_bytes(whole[-8:], "little")
                 ends = np.cumsum(lengths)
                 raw, cuts = ids.astype("<u4").tobytes(), (4 * np.append(0, ends)).tolist()
                 for lo in range(0, len(doc_ids), 512):
                     part = slice(lo, lo + 512)
                     yield pa.record_batch([
-                        pa.array([name] * len(doc_ids[part])), pa.array(doc_ids[part], pa.int64()), pa.array((ends - lengths)[part]),
+                        pa.array(doc_ids[part], pa.int64()), pa.array(begin + (ends - lengths)[part]),
                         pa.array(lengths[part]), pa.array([raw[i:j] for i, j in zip(cuts[part], cuts[lo + 1 : lo + 513])], pa.binary()),
-                    ], names=["file", "doc_id", "inner", "n_tokens", "ids"])
+                    ], names=["doc_id", "start", "n_tokens", "ids"])
 
-    before = F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
-    starts = manifest.select("file", F.coalesce(before, F.lit(0)).alias("before"))
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
+    schema = "doc_id long, start long, n_tokens long, ids binary"
+    if not totals:
+        return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder).select("path", "content")
-    docs = files.mapInArrow(read, "file long, doc_id long, inner long, n_tokens long, ids binary")
-    return docs.join(F.broadcast(starts), "file").select("doc_id", (F.col("before") + F.col("inner")).alias("start"), "n_tokens", "ids")
+    return files.mapInArrow(read, schema)
 
 
 def round_trip(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, folder: str | None = None) -> DataFrame:
