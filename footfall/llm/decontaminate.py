@@ -1,8 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Seeds are word n-grams of the test items. A first pass counts in how many documents each
-occurs. An item keeps the seeds that are rare in the corpus, and always its rarer half, so
-an item whose every n-gram is frequent is still looked for. A second pass joins the passages of
+occurs. Every stretch of ``SPREAD`` neighbouring n-grams of an item keeps its rarest one, so a copy of any
+part of an item of that many words and two is looked for, however many documents hold the item. A second pass joins the passages of
 each document to the items by these seeds (a hash table that every task holds) and aligns the
 words around the seeds with the whole item. A hit is an alignment that reaches a share of the
 item's own score, so edited and paraphrased copies are found as well as exact ones.
@@ -32,8 +32,8 @@ from footfall.llm.common import pieces_of
 from footfall.llm.textops import NOT_WORD, gram_hashes, word_hashes
 
 GRAM = 3
-#: A seed in at most this share of the documents, or in this many, is rare.
-RARE, FEW = 2e-4, 20
+#: Of so many neighbouring n-grams the rarest is a seed.
+SPREAD = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: The least alignment score as a share of the item's score with itself.
 SHARE = 0.4
@@ -158,19 +158,25 @@ def hits_of(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, float,
             yield d, i, s / (MATCH * len(own)), x - int(first[d]), y - int(first[d]), int(start[x]), int(end[y - 1])
 
 
-def seeds_kept(items: Items, frequency: dict[int, int], documents: int) -> np.ndarray:
-    """Which entries stay: rare ones, and each item's rarer half."""
-    df = np.array([frequency.get(int(g), 0) for g in items.gram.view(np.int64)])
-    keep = df <= max(FEW, RARE * documents)
-    order = np.lexsort((items.place, df, items.item))
-    count = np.bincount(items.item, minlength=len(items.ids))
-    nth = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
-    keep[order[nth < (-(-count // 2))[items.item[order]]]] = True
-    return keep
-
-
-def _seed(docs: DataFrame, items: Items, documents: int) -> Items:
-    """Leaves ``items`` with the seeds that the frequencies in ``docs`` admit."""
+def seeds_kept(items: Items, frequency: dict[int, int]) -> np.ndarray:
+    """Which entries stay: the rarest of every ``SPREAD`` neighbours in its item (the first of those that tie), all of shorter items."""
+    df = np.array([frequency.get(int(g), 0) for g in items.gram.view(np.int64)], np.int64)
+    keep = np.zeros(len(df), bool)
+    order = np.lexsort((items.place, items.item))
+    item, df = items.item[order], df[order]
+    if len(order) < SPREAD:
+        keep[:] = True
+        return keep
+    windows = np.lib.stride_tricks.sliding_window_view(df, SPREAD)
+    whole = item[: len(windows)] == item[SPREAD - 1 :]
+    first = np.flatnonzero(whole)
+    keep[order[first + windows[first].argmin(1)]] = True
+    short = np.bincount(items.item, minlength=len(items.ids)) < SPREAD
+    return keep | short[items.item]
+
+
+def _seed(docs: DataFrame, items: Items) -> Items:
+    """Leaves ``items`` with the seeds that the frequencies in ``docs`` choose."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +192,7 @@ def _seed(docs: DataFrame, items: Items, documents: int) -> Items:
 
     seen = docs.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     frequency = dict(zip(seen.column("gram").to_pylist(), seen.column("n").to_pylist()))
-    items.keep(seeds_kept(items, frequency, documents))
+    items.keep(seeds_kept(items, frequency))
     return items
 
 
@@ -231,9 +237,9 @@ def contaminated(
     Bytes are those of the lower-cased text.
     """
     texts = id_and_text(docs, id_col, text_col)
-    found, documents = texts.sparkSession.createDataFrame([], HITS), texts.count()
+    found = texts.sparkSession.createDataFrame([], HITS)
     for held in item_blocks(benchmark, item_col, item_text):
-        found = found.union(_search(texts, _seed(texts, held, documents)))
+        found = found.union(_search(texts, _seed(texts, held)))
     return found
 
 
@@ -242,9 +248,9 @@ def marker(
 ) -> Callable[[Column], Column]:
     """A function from a text column to whether the text holds a test item; seeds are chosen by ``docs``."""
     texts = id_and_text(docs, id_col, text_col)
-    documents, tests = texts.count(), []
+    tests = []
     for held in item_blocks(benchmark, item_col, item_text):
-        tests.append(_holds(docs, _seed(texts, held, documents)))
+        tests.append(_holds(docs, _seed(texts, held)))
     return lambda text: reduce(Column.__or__, (test(text) for test in tests), F.lit(False))
 
 

@@ -81,6 +81,37 @@ def test_blocks_of_items(planted, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()} == want
 
 
+@pytest.mark.parametrize("copies", [1, 400])
+def test_parts_and_edits_of_a_popular_item_equal_all_pairs(spark, docs_of, copies):
+    """Hits are among those of aligning every document with every item, and all that keep five words in a row, whether one document or hundreds hold the item."""
+    rng = random.Random(21)
+    prose = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    items = {i: prose(rng.choice([24, 40, 55])) for i in range(4)}
+    docs = [prose(6) + items[0] + prose(6) for _ in range(copies)]
+    for part in (0.3, 0.45, 0.5, 0.7):
+        size = round(part * len(items[0]))
+        for at in (0, (len(items[0]) - size) // 2, len(items[0]) - size):
+            docs.append(prose(9) + items[0][at : at + size] + prose(9))
+    for i in (0, 1, 2, 3):
+        for every in (3, 4, 6, 9):  # one word in so many changed, or left out
+            docs.append(prose(5) + [w if k % every else "changed" for k, w in enumerate(items[i], 1)] + prose(5))
+            docs.append(prose(5) + [w for k, w in enumerate(items[i], 1) if k % every] + prose(5))
+    docs += [prose(60) for _ in range(10)]
+    number = {w: k + 1 for k, w in enumerate(sorted({w for t in [*docs, *items.values()] for w in t}))}
+    code = lambda words: [number[w] for w in words]
+    want, sure, run = set(), set(), d.SPREAD + d.GRAM - 1
+    for d_id, words in enumerate(docs):
+        for i, own in items.items():
+            if smith_waterman(code(own), code(words)) >= d.SHARE * d.MATCH * len(own):
+                want.add((d_id, i))
+                # a copy that leaves five words of the item in a row has a seed for certain
+                if {tuple(own[k : k + run]) for k in range(len(own) - run + 1)} & {tuple(words[k : k + run]) for k in range(len(words) - run + 1)}:
+                    sure.add((d_id, i))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.contaminated(docs_of([" ".join(w) for w in docs]), frame).collect()}
+    assert sure <= found <= want and len(sure) >= copies + 20
+
+
 def test_odd_and_empty(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (2, None)], "item_id long, text string")
     rows = d.contaminated(odd_docs, items).collect()
