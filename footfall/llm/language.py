@@ -2,9 +2,11 @@
 
 A dictionary is text of that language: short pieces of training documents. A text is compressed
 with every language's dictionary (zstandard) and gets the language with the smallest result.
-When the runner-up's result is hardly larger, the dictionaries' letter triples decide: very
-short texts are often stored as they are, in equal sizes. If no language's dictionary holds the
-text's triples more often than all others, it is rejected.
+A narrow margin over the runner-up rejects it, and so does a size that no dictionary makes small (more than
+``NOISE_BITS`` a letter): such a text is noise or in no learned language. Repeats in the text make it small by itself
+and its margin narrow, so its different words are compressed alone too; their size is looked at where they are ``LONG``
+letters, and their margin where the whole text's is too narrow. Texts below ``LONG`` letters are
+often stored as they are, in equal sizes; there the dictionaries' letter triples decide, and reject only ties.
 
 Letters only, in lower case, are compressed, in blocks, so that long texts are judged by the
 dictionary and not by themselves. Whole texts are used.
@@ -36,8 +38,11 @@ DICTIONARY = 96 * 1024
 BLOCK = 2048
 #: Greedy matching of four bytes and more, so that short words of a dictionary count too.
 MATCHING = dict(strategy=zstandard.STRATEGY_GREEDY, min_match=4, search_log=3, window_log=17, hash_log=16, chain_log=16)
-#: The least lead of the winner over the runner-up, as a share of the runner-up's size.
-MARGIN = 0.002
+#: The least lead of the winner over the runner-up, as a share of the runner-up's size; in long texts, and in those below.
+LONG = 320
+LONG_MARGIN, MARGIN = 0.01, 0.002
+#: The most bits a letter in a long text, beyond what each block costs empty.
+NOISE_BITS, EMPTY_BITS = 4.9, 100
 #: How fast the score falls with the distance in size.
 SHARPNESS = 40.0
 RESULT = "struct<lang: string, score: double, margin: double, rejected: boolean>"
@@ -87,26 +92,44 @@ class Classifier:
             self.compressors.append(zstandard.ZstdCompressor(compression_params=how, dict_data=data))
 
     def sizes(self, text: str) -> list[int]:
-        raw = letters(text)
+        return self._sizes(letters(text))
+
+    def _sizes(self, raw: bytes) -> list[int]:
         blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
         return [sum(len(c.compress(b)) for b in blocks) for c in self.compressors]
 
-    def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
-        if not text or not self.langs or not any(map(str.isalpha, text)):
-            return "und", 0.0, 0.0, True
-        sizes = np.array(self.sizes(text), float)
+    def _judged(self, raw: bytes) -> tuple[np.ndarray, int, float, bool]:
+        """Sizes, the smallest one's place, its margin, and whether that is wide enough."""
+        sizes = np.array(self._sizes(raw), float)
         best = int(sizes.argmin())
-        score = 1 / np.exp(-SHARPNESS * (sizes - sizes[best]) / sizes[best]).sum()
-        if len(sizes) == 1:
-            return self.langs[best], 1.0, 1.0, False
         second = np.partition(sizes, 1)[1]
         margin = float((second - sizes[best]) / second)
-        if margin >= MARGIN:
-            return self.langs[best], float(score), margin, False
-        known = np.array([sum(math.log1p(own[t]) for t in triples(letters(text))) for own in self.triples])
-        if (known == known.max()).sum() == 1:
-            return self.langs[int(known.argmax())], float(score), margin, False
-        return self.langs[best], float(score), margin, True
+        return sizes, best, margin, margin >= (LONG_MARGIN if len(raw) >= LONG else MARGIN)
+
+    def __call__(self, text: str | None) -> tuple[str, float, float, bool]:
+        if not text or not self.langs or not any(map(str.isalpha, text)):
+            return "und", 0.0, 0.0, True
+        if len(self.langs) == 1:
+            return self.langs[0], 1.0, 1.0, False
+        raw = letters(text)
+        sizes, best, margin, wide = self._judged(raw)
+        rejected = False
+        if len(raw) >= LONG:
+            once = b" ".join(dict.fromkeys(raw.split()))
+            alone = self._judged(once)
+            judged, size = (once, alone[0].min()) if len(once) >= LONG else (raw, sizes[best])
+            bits = (8 * size - EMPTY_BITS * -(-len(judged) // BLOCK)) / len(judged)
+            if not wide and len(once) <= len(raw) // 2:
+                sizes, best, margin, wide = alone
+            rejected = not wide or bits > NOISE_BITS
+        elif not wide:
+            known = np.array([sum(math.log1p(own[t]) for t in triples(raw)) for own in self.triples])
+            if (known == known.max()).sum() == 1:
+                best = int(known.argmax())
+            else:
+                rejected = True
+        score = float(1 / np.exp(-SHARPNESS * (sizes - sizes[best]) / sizes.min()).sum())
+        return self.langs[best], score, margin, bool(rejected)
 
 
 def classifier(docs: DataFrame, dictionaries: dict[str, bytes]) -> Callable[[Column], Column]:

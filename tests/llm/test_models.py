@@ -64,6 +64,40 @@ def test_language_on_held_out(tables):
     assert found.rejected.mean() < 0.02 and found.score.between(0, 1).all()
 
 
+FINNISH = """ja on ei se että hän oli mutta kun niin kuin minä sinä hyvää päivää talo auto kissa koira metsä järvi vesi kylmä lämmin suomi ihminen elämä
+kirja koulu opettaja oppilas työ raha aika vuosi kuukausi viikko yö aamu ilta ruoka leipä maito kahvi järjestelmä yliopisto kaupunki ystävä rakkaus kesäloma
+sanomalehti puhelin tietokone ikkuna pöytä tuoli lattia katto keittiö makuuhuone olohuone puutarha kukka lintu kala hevonen lehmä"""
+
+
+def test_language_rejects_noise_and_unlearned_languages(tables):
+    docs, rng = tables["documents"], random.Random(4)
+    own = language.Classifier(language.train(docs, fold("doc_id", 4) != 2))
+    letter = lambda: rng.choice("abcdefghijklmnopqrstuvwxyz")
+    for n in (400, 1500, 5000):
+        noise = ["".join(letter() for _ in range(n)) for _ in range(30)]
+        finnish = [" ".join(rng.choice(FINNISH.split()) for _ in range(n // 5)) for _ in range(30)]
+        assert sum(own(t)[3] for t in noise) == 30
+        assert sum(own(t)[3] for t in finnish) >= (27 if n > 1000 else 15)  # a few dozen words tell less
+    rows = [(r.text, r.lang, own(r.text)) for r in docs.filter(fold("doc_id", 4) == 2).collect()]
+    long = [r for r in rows if len(language.letters(r[0] or "")) >= language.LONG]
+    assert sum(r[2][3] for r in long) <= 0.005 * len(long)
+    # short clean texts are kept, and a text that repeats itself is told by what it repeats
+    short = [r for r in rows if r[0] and any(map(str.isalpha, r[0])) and len(language.letters(r[0])) < language.LONG]
+    assert short and sum(r[2][3] for r in short) <= 0.1 * len(short)
+    clean = next(r for r in long if r[1] == "fr" and not r[2][3])
+    line = " ".join(clean[0].split()[:40])
+    assert own("\n".join([line] * 50))[0] == "fr" and not own("\n".join([line] * 50))[3]
+
+
+def test_language_score_is_that_of_the_language_named(tables):
+    own = language.Classifier(language.train(tables["documents"], fold("doc_id", 4) != 2))
+    for text in ("Die Katze", "the dog and the cat", "a", "el perro"):
+        lang, score, margin, _ = own(text)
+        sizes = np.array(own.sizes(text), float)
+        weights = np.exp(-language.SHARPNESS * (sizes - sizes.min()) / sizes.min())
+        assert score == pytest.approx(weights[own.langs.index(lang)] / weights.sum())
+
+
 def test_language_on_odd_input(docs_of, odd_docs, no_docs):
     two = docs_of(["the cat and the dog"] * 9 + ["der hund und die katze"] * 9 + [None, "x"], langs=["en"] * 9 + ["de"] * 9 + ["fr", None])
     dictionaries = language.train(two, F.lit(True))
