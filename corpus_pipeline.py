@@ -1,13 +1,20 @@
 """A corpus from raw documents to packed sequences: five operators in a row.
 
 Each stage takes the Parquet that the stage before has written and works on all of it. All but
-the last return the columns of documents. Every stage is defined on null and empty texts, null ids,
-repeated rows and empty tables as its operator says.
+the last return the columns of documents, whatever these are. What each stage does with odd input:
+
+* Null and empty texts are scored as empty, are in no language and so go at the second stage.
+* Rows without an id are judged each on its own; the near-duplicate stage keeps them all.
+* Of rows that repeat an id one stays after the near-duplicate stage (``keep_one_of_each``), ties included.
+* Very long texts are read whole by every stage and cut into as many pieces as they need.
+* Columns beyond those of documents are carried along; names that operators use inside do not clash with them.
+* An empty table gives empty tables at every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from footfall.llm import decontaminate, language, minhash, packing, quality
 from footfall.llm.common import fold, table
@@ -30,10 +37,17 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return docs.filter(~language.classifier(docs, dictionaries)(docs["text"])["rejected"])
 
 
-def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, and one row of each document; rows without an id stay."""
-    away = minhash.near_duplicates(docs).filter("not kept").select("doc_id")
-    named = docs.filter(docs["doc_id"].isNotNull()).join(away, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = 80) -> DataFrame:
+    """One document of each component of near copies (five-word shingles, similarity ``percent`` or more).
+
+    Of a repeated id the row with the longest text stays, of these the one with the smallest hash of all its
+    columns (rows that tie are alike); rows without an id stay.
+    """
+    away = minhash.near_duplicates(docs, percent).filter("not kept").select("doc_id")
+    named = docs.filter(docs["doc_id"].isNotNull()).join(away, "doc_id", "left_anti")
+    order = [F.octet_length("text").desc_nulls_last(), F.xxhash64(*docs.columns)]
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
+    named = named.withColumn("_nth", first).filter("_nth = 1").drop("_nth")
     return docs.filter(docs["doc_id"].isNull()).unionByName(named)
 
 

@@ -50,9 +50,18 @@ def test_filters_keep_clean_documents(spark, steps):
     assert steps[2].count() >= 0.98 * steps[1].count()
 
 
-def test_one_of_each_group_stays(steps):
-    groups = brute([(r.doc_id, r.text) for r in steps[2].collect()])
-    assert ids(steps[3]) == sorted({component for _, component in groups.values()})
+def test_one_of_each_group_stays(spark, steps):
+    rows = [(r.doc_id, r.text) for r in steps[2].collect()]
+    for percent, kept in ((80, steps[3]), (85, cp.keep_one_of_each(spark, steps[2], SF, 85))):
+        assert ids(kept) == sorted({component for _, component in brute(rows, percent).values()})
+
+
+def test_the_row_of_a_repeated_id_is_chosen_by_rule(spark, docs_of):
+    docs = docs_of(["a b c d e f", "a b c d e f g", "x y", None, "zz", "", None], [1, 1, 2, 2, 3, 3, None])
+    want = [(1, "a b c d e f g"), (2, "x y"), (3, "zz")]
+    for n in (1, 3, 7):
+        rows = cp.keep_one_of_each(spark, docs.repartition(n), SF).collect()
+        assert sorted((r.doc_id, r.text) for r in rows if r.doc_id is not None) == want and len(rows) == 4
 
 
 def test_no_test_item_is_left(spark, steps):
