@@ -48,15 +48,20 @@ def word_hashes(texts: list[bytes], breaks: np.ndarray = WHITE) -> tuple[np.ndar
     np.cumsum(lengths + 1, out=text_starts[1:])
     edge = np.flatnonzero(np.diff(gap, prepend=True))
     starts, ends = edge[0::2], edge[1::2]
-    up, down = _tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = spans_hashed(data, starts, ends)
     first = np.searchsorted(starts, text_starts)
     own = np.repeat(text_starts[:-1], np.diff(first))
     return hashes, first, starts - own, ends - own
 
 
+def spans_hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of the bytes of each span."""
+    up, down = _tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def factors(n: int, seed: int = 5) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
