@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from footfall.functions.patterns import any_part, glob_match
 from footfall.operators.ordered import first_n
 
 TS = "event_timestamp"
 # Value buckets of the exact quantile search, per metric.
-QUANTILE_BUCKETS = 100_000
+QUANTILE_BUCKETS = 4_096
+QUARTILES = (0.25, 0.5, 0.75)
 # Past every finite double on the bent scale.
 BEYOND = 1_500.0
 
@@ -92,16 +93,15 @@ def heart_rate_span(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles (linear) of each metric.
 
-    Rows are counted in buckets, and only the buckets that hold a wanted rank are looked at
-    value by value, so no metric is sorted in one task. Buckets are of equal width on a scale
-    that is straight about the typical size of a value and logarithmic beyond, so an outlier
-    or an infinity does not squeeze all others into one. A metric without values has count 0.
+    The values at the wanted ranks are found by counting. Each pass counts the rows of the intervals that hold
+    them in buckets, and goes on with the smallest and largest value of the buckets that hold them, until
+    these are equal. So no task ever holds more than its counts, however close the values are. Buckets of the first
+    pass are of equal width on a scale that is straight about the typical size of a value and
+    logarithmic beyond, so an outlier or an infinity does not squeeze all others into one; later ones are
+    straight. Passes run when this is called: two or three, more where values are very close. A metric without values has count 0.
     """
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
-        ).alias("_m")
-    ).select("_m.metric", F.col("_m.value").cast("double").alias("value")).where("value is not null")
+    names = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])).alias("_m")
+    long = df.select(names).select("_m.metric", F.col("_m.value").cast("double").alias("value")).where("value is not null")
     base = long.groupBy("metric").agg(
         F.count("*").alias("count"),
         F.avg("value").alias("mean"),
@@ -110,71 +110,81 @@ def describe(df: DataFrame, metrics: list[str]) -> DataFrame:
         F.max("value").alias("max"),
         F.percentile_approx(F.abs("value"), F.lit(0.5), F.lit(100)).alias("scale"),
     )
-    # base has one row per metric, and metrics are an argument: a bounded broadcast
-    limits = F.broadcast(base.select("metric", "min", "max", "scale"))
-
-    def bent(value: str) -> Column:
+    found = {r["metric"]: r for r in base.collect()}  # one row a metric, and metrics are an argument
+    ranks = {m: [(r["count"] - 1) * q for q in QUARTILES] for m, r in found.items()}
+    wanted = {m: sorted({f(x) for x in at for f in (math.floor, math.ceil)}) for m, at in ranks.items()}
+    values = _at_ranks(long, found, wanted)
+    rows = []
+    for m in dict.fromkeys(metrics):
+        r = found.get(m)
+        if r is None:
+            rows.append((m, 0, *[None] * 7))
+            continue
+        between = [_between(values[m, math.floor(x)], values[m, math.ceil(x)], x - math.floor(x)) for x in ranks[m]]
+        rows.append((m, r["count"], r["mean"], r["std"], r["min"], *between, r["max"]))
+    kinds = ["count bigint", *(f"{c} double" for c in ("mean", "std", "min", "p25", "p50", "p75", "max"))]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["metric string", *kinds]))
+
+
+def _between(low: float, high: float, part: float) -> float:
+    return low if low == high else low + (high - low) * part
+
+
+def _at_ranks(long: DataFrame, found: dict, wanted: dict[str, list[int]]) -> dict[tuple[str, int], float]:
+    """The values of ``long`` (metric, value) at the wanted ranks of each metric, in ascending order from 0."""
+    values: dict[tuple[str, int], float] = {}
+    # metric -> intervals (smallest, largest, rows before, ranks inside)
+    open_ = {m: [(r["min"], r["max"], 0, wanted[m])] for m, r in found.items()}
+    first = True
+    while True:
+        specs = []
+        for m, intervals in open_.items():
+            for i, (low, high, _, ranks) in enumerate(intervals):
+                if low == high:
+                    values.update({(m, k): low for k in ranks})
+                else:
+                    specs.append((m, i, low, high, found[m]["scale"] or 1.0))
+        if not specs:
+            return values
+        counts = _bucket_counts(long, specs, first)
+        # an interval whose values all fall in one bucket again is parted into its two ends and what is between
+        stuck = [s for s in specs if len(counts[s[0], s[1]]) == 1]
+        if stuck:
+            counts |= _bucket_counts(long, stuck, first, ends=True)
+        narrower: dict[str, list] = {}
+        for m, i, *_ in specs:
+            _, _, before, ranks = open_[m][i]
+            for low, high, n in counts[m, i]:
+                inside = [k for k in ranks if before <= k < before + n]
+                if inside:
+                    narrower.setdefault(m, []).append((low, high, before, inside))
+                before += n
+        open_, first = narrower, False
+
+
+def _bucket_counts(long: DataFrame, specs: list[tuple], bent: bool, ends: bool = False) -> dict[tuple[str, int], list[tuple]]:
+    """For each interval (metric, number, low, high, scale) its buckets in order: smallest and largest value, and rows."""
+    table = long.sparkSession.createDataFrame(specs, "metric string, part int, low double, high double, scale double")
+    rows = long.join(F.broadcast(table), "metric").where((F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high")))
+
+    def place(name: str) -> Column:
+        value = F.col(name)
+        if not bent:
+            return value
         unit = F.when(F.col("scale").between(1e-300, 1e300), F.col("scale")).otherwise(1.0)
-        return F.greatest(F.lit(-BEYOND), F.least(F.lit(BEYOND), F.asinh(F.col(value) / unit)))
-
-    share = (bent("value") - bent("min")) / (bent("max") - bent("min"))
-    bucket = F.when(
-        bent("max") > bent("min"),
-        F.least(F.floor(share * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1)),
-    ).otherwise(F.lit(0)).cast("bigint")
-    placed = long.join(limits, "metric").select("metric", "value", bucket.alias("bucket"))
-    by_bucket = W.partitionBy("metric").orderBy("bucket")
-    sums = placed.groupBy("metric", "bucket").agg(F.count("*").alias("n"))
-    sums = sums.withColumn("before", F.sum("n").over(by_bucket) - F.col("n"))
-
-    marks = [(q, side) for q in (0.25, 0.5, 0.75) for side in ("low", "high")]
-    at = {q: (F.col("count") - 1) * F.lit(q) for q in (0.25, 0.5, 0.75)}
-    ranks = base.select(
-        "metric",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(q).alias("q"),
-                        F.lit(side).alias("side"),
-                        (F.floor(at[q]) if side == "low" else F.ceil(at[q])).cast("bigint").alias("rank"),
-                        (at[q] - F.floor(at[q])).alias("part"),
-                    )
-                    for q, side in marks
-                ]
-            )
-        ).alias("_r"),
-    ).select("metric", "_r.*")
-    holds = (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n"))
-    wanted = (
-        sums.join(F.broadcast(ranks), "metric")
-        .where(holds)
-        .select("metric", "bucket", "before", "q", "side", "rank", "part")
-    )
-    # wanted has six rows per metric
-    chosen = F.broadcast(wanted.select("metric", "bucket", F.col("before").alias("base")).distinct())
-    by_value = W.partitionBy("metric", "bucket").orderBy("value")
-    inside = placed.join(chosen, ["metric", "bucket"]).groupBy("metric", "bucket", "base", "value").agg(F.count("*").alias("n"))
-    inside = inside.withColumn("before", F.col("base") + F.sum("n").over(by_value) - F.col("n"))
-    picked = (
-        inside.select("metric", "bucket", "value", "n", F.col("before"))
-        .join(F.broadcast(wanted.drop("before")), ["metric", "bucket"])
-        .where(holds)
-    )
-    edges = picked.groupBy("metric", "q").agg(
-        F.max(F.when(F.col("side") == "low", F.col("value"))).alias("low"),
-        F.max(F.when(F.col("side") == "high", F.col("value"))).alias("high"),
-        F.max("part").alias("part"),
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-    quartiles = edges.groupBy("metric").agg(
-        *[F.max(F.when(F.col("q") == q, value)).alias(n)
-          for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]
-    )
-    every = _names(df, metrics, "metric").join(base, "metric", "left").na.fill(0, ["count"])
-    return every.join(F.broadcast(quartiles), "metric", "left").select(
-        "metric", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+        return F.greatest(F.lit(-BEYOND), F.least(F.lit(BEYOND), F.asinh(value / unit)))
+
+    share = (place("value") - place("low")) / (place("high") - place("low"))
+    bucket = F.least(F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * QUANTILE_BUCKETS), F.lit(QUANTILE_BUCKETS - 1)).cast("bigint")
+    bucket = F.when(place("high") > place("low"), bucket).otherwise(F.lit(0))
+    if ends:
+        bucket = F.when(F.col("value") == F.col("low"), 0).when(F.col("value") == F.col("high"), 2).otherwise(1).cast("bigint")
+    sums = rows.groupBy("metric", "part", bucket.alias("bucket")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    out: dict[tuple[str, int], list[tuple]] = {(m, i): [] for m, i, *_ in specs}
+    # at most QUANTILE_BUCKETS rows an interval, and six intervals a metric
+    for r in sums.orderBy("metric", "part", "bucket").collect():
+        out[r["metric"], r["part"]].append((r["low"], r["high"], r["n"]))
+    return out
 
 
 def channel_counts(raw: DataFrame, pattern: str | None = None) -> DataFrame:

@@ -3,7 +3,9 @@
 import datetime
 import glob
 import json
+import math
 import os
+import random
 import tempfile
 
 import pyarrow.parquet as pq
@@ -295,3 +297,23 @@ def test_assembly_rules(spark):
     for rule, first in (("average", 3.0), ("sum", 6), ("min", 1), ("max", 5), ("first", 1), ("last", 5)):
         got = profile.windowed_assembly(df, {"v": rule}).orderBy("window_start").collect()
         assert [r["v"] for r in got] == [first, 9], rule
+
+
+def test_describe_of_close_values_counts_in_bounded_groups(spark, monkeypatch):
+    """Values a few steps of a double apart, beside outliers and infinities, are told apart by counts alone."""
+    monkeypatch.setattr(profile, "QUANTILE_BUCKETS", 8)
+    rng = random.Random(8)
+    close = [1.0 + k * 2.0**-52 for k in range(300)]
+    cases = {
+        "close": close, "wide": close + [1e300, -1e300, math.inf, -math.inf], "same": [0.0] * 50, "two": [-0.5, 7.0],
+        "mixed": [rng.choice([rng.gauss(0, 1), 1e9 + rng.random(), -3.0]) for _ in range(400)], "ends": [-math.inf] * 5 + [math.inf] * 4,
+    }
+    for name, values in cases.items():
+        rng.shuffle(values)
+        row = profile.describe(spark.createDataFrame([(v,) for v in values], "x double"), ["x"]).first()
+        ordered_ = sorted(values)
+        for q, column in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+            at = (len(values) - 1) * q
+            low, high = ordered_[math.floor(at)], ordered_[math.ceil(at)]
+            assert row[column] == (low if low == high else low + (high - low) * (at - math.floor(at))), (name, column)
+        assert (row["min"], row["max"], row["count"]) == (ordered_[0], ordered_[-1], len(values))
