@@ -29,7 +29,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAINING_TEXTS = 400
@@ -72,10 +72,13 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     place = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(1 << 30))
     at = F.pmod(place, F.greatest(F.length("text") - PIECE, F.lit(0)) + 1).cast("int") + 1
     some = rows.withColumn("place", place).filter(F.col("place") < F.element_at(share, F.col("lang")) * (1 << 30))
-    found = some.select("lang", "place", F.col("text").substr(at, F.lit(PIECE)).alias("piece")).collect()
+    # rows that are alike in id and text give one piece, and a language no more than it may learn from
+    some = some.select("lang", "place", F.col("text").substr(at, F.lit(PIECE)).alias("piece")).distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "piece"))
+    found = some.withColumn("nth", nth).filter(F.col("nth") <= TRAINING_TEXTS).collect()
     out = {}
     for lang in sorted(counts):
-        pieces = sorted((r.place, r.piece) for r in found if r.lang == lang)[:TRAINING_TEXTS]
+        pieces = sorted((r.place, r.piece) for r in found if r.lang == lang)
         out[lang] = b" ".join(dict.fromkeys(letters(p) for _, p in pieces))[-DICTIONARY:]
     return out
 

@@ -71,7 +71,7 @@ def piece_counts(words: DataFrame, name: str) -> DataFrame:
 def token_counts(docs: DataFrame, name: str = "piece_bpe_32k.model", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens), one row for each row of ``docs``."""
     texts = id_text(docs, id_col, text_col)
-    some = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(16)) == 0)
+    some = texts.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(16)) == 0)  # by text too, as ids may be null or all the same
     frequent = wordsums.word_counts(some, pre_tokens).filter("n > 1")
     hot = wordsums.hot_words(wordsums.written(piece_counts(frequent, name), "frequent-pieces"))
     split = wordsums.frequencies(texts, pre_tokens, hot)
