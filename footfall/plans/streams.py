@@ -20,7 +20,7 @@ from footfall.sources.events_view import events_stream, raw_events, visitor_even
 from footfall.sources.feeds import key_events, read_raw, stream_raw
 from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
 from footfall.streaming.changes import last_hashes, start_changes
-from footfall.streaming.windows import assemble_sessions, assemble_stream, run_available
+from footfall.streaming.windows import LateSplit, assemble_sessions, assemble_stream, run_available
 
 
 def _live(spark, sf, change=lambda raw: raw, before=None):
@@ -221,6 +221,35 @@ def j3_session_stream(spark, sf):
     return rounded(run_available(stream, f"{home}/out", f"{home}/checkpoint"), "heart_rate")
 
 
+LATE_EVERY = 20
+
+
+@query("j9_windows_and_late_rows", sql("""
+SELECT 'window' AS kind, time_bucket(INTERVAL 5 SECOND, event_timestamp, TIMESTAMP '1970-01-01') AS at, device_id, count(*) AS source_rows
+FROM judged WHERE NOT late AND time_bucket(INTERVAL 5 SECOND, event_timestamp, TIMESTAMP '1970-01-01') + INTERVAL 5 SECOND
+  <= (SELECT date_trunc('millisecond', max(event_timestamp)) FROM ve) - INTERVAL 10 MINUTE GROUP BY ALL
+UNION ALL SELECT 'late', event_timestamp, device_id, count(*) FROM judged WHERE late GROUP BY ALL""",
+    judged="""SELECT *, event_id % 20 = 0 AND time_bucket(INTERVAL 5 SECOND, event_timestamp, TIMESTAMP '1970-01-01') + INTERVAL 5 SECOND
+  <= (SELECT date_trunc('millisecond', max(event_timestamp)) FROM ve WHERE event_id % 20 <> 0) - INTERVAL 10 MINUTE AS late FROM ve"""))
+def j9(spark, sf):
+    """Windows of a feed whose every twentieth row comes at the end, and beside them the rows that came too late.
+
+    Together with the windows that are still open they hold every row of the feed.
+    """
+    home = work_path(spark, "late")
+    rows = visits(spark, sf)
+    held = F.col("event_id") % LATE_EVERY == 0
+    for part in (rows.where(~held), rows.where(held)):  # files are taken in order of age
+        part.repartition(FILES).write.mode("append").parquet(f"{home}/feed")
+    split = LateSplit(spark, f"{home}/split")
+    feed_ = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(f"{home}/feed")
+    split.start(feed_, f"{home}/checkpoint-split").awaitTermination()
+    closed = run_available(assemble_stream(split.in_time(rows.schema), {}), f"{home}/out", f"{home}/checkpoint")
+    late = split.late(rows.schema).groupBy(F.col("event_timestamp").alias("at"), "device_id").agg(F.count("*").alias("source_rows"))
+    windows = closed.select(F.lit("window").alias("kind"), F.col("window_start").alias("at"), "device_id", "source_rows")
+    return windows.unionByName(late.select(F.lit("late").alias("kind"), "at", "device_id", "source_rows"))
+
+
 @query("j4_stream_changed_keys", sql("SELECT seq, source_type, key, value FROM changed"))
 def j4(spark, sf):
     home = work_path(spark, "changes")

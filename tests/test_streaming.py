@@ -1,5 +1,6 @@
 """Streams give what the batch operators give on the same input."""
 
+import datetime
 import glob
 import os
 import random
@@ -18,7 +19,7 @@ from footfall.streaming import bridge as bridge_module
 from footfall.streaming.bridge import Bridge, compact_output, read_output, read_stats, start_bridge
 from footfall.streaming.changes import last_hashes, start_changes
 from footfall.streaming.health import HealthListener
-from footfall.streaming.windows import assemble_sessions, run_available
+from footfall.streaming.windows import LateSplit, assemble_sessions, assemble_stream, run_available
 
 SF = "/root/testdata/sf0.001"
 
@@ -178,6 +179,31 @@ def test_sessions_of_hot_devices(spark, slice_rows):
     assert want.count() > 40 and bag(got.collect(), columns) == bag(want.collect(), columns)
 
 
+def test_windows_and_late_rows_hold_the_whole_input(spark):
+    home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    parts = [[1000, 1001, 1007], [5000, 3000, 4989, 4990], [4984, 4985, 4986, 990, 6000], [4999, 5985, 5989, 5990, 7000]]
+    schema = "event_timestamp timestamp, device_id string"
+    for seconds in parts:
+        spark.createDataFrame([(s,) for s in seconds], "s int").select(F.timestamp_seconds("s").alias("event_timestamp"), F.lit("d").alias("device_id")).coalesce(1).write.mode("append").parquet(f"{home}/in")
+    split = LateSplit(spark, f"{home}/split", "5 seconds", 10)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    split.start(events, f"{home}/c1").awaitTermination()
+    second = lambda df: sorted(int(r[0].replace(tzinfo=datetime.timezone.utc).timestamp()) for r in df.select("event_timestamp").collect())
+    # a window is closed when it ends at or before the newest earlier event less ten seconds
+    newest, late = None, []
+    for seconds in parts:
+        late += [s for s in seconds if newest is not None and s // 5 * 5 + 5 <= newest - 10]
+        newest = max([*seconds, *([newest] if newest is not None else [])])
+    assert second(split.late(events.schema)) == sorted(late) and late
+    out = run_available(assemble_stream(split.in_time(events.schema), {}, lateness="10 seconds"), f"{home}/out", f"{home}/c2")
+    windows = sum(r["source_rows"] for r in out.collect())
+    open_rows = sum(s // 5 * 5 + 5 > newest - 10 for seconds in parts for s in seconds)
+    assert windows + len(late) + open_rows == sum(map(len, parts))
+    # a batch of the split that runs again parts its rows as before
+    split.process(spark.createDataFrame([(s,) for s in parts[2]], "s int").select(F.timestamp_seconds("s").alias("event_timestamp"), F.lit("d").alias("device_id")), 2)
+    assert second(split.late(events.schema)) == sorted(late)
+
+
 def test_late_rows_are_reported(spark, raw_of):
     home = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     schema = "event_timestamp timestamp, device_id string, hr double"
