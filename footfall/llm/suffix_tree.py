@@ -34,6 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,8 @@ OTHER, END = 0, 0xFFFF
 OFTEN, BITS = 2, 20.0
 DISCOUNT = 0.5
 KEYS_PER_TASK = 2_000_000
+#: Runs that are merged at once, and the fewest of a task that are worth a block.
+KEYS_PER_RANGE, KEYS_PER_BLOCK = 1_000_000, 64
 #: Runs whose values every task holds.
 HOT = 262_144
 FILTER_BITS, BITMAP_BITS = 27, 15
@@ -120,18 +123,16 @@ def signed(keys: np.ndarray) -> pa.Array:
     return pa.array(keys.view(np.int64))
 
 
-def count_runs(texts: DataFrame, order: int, shorter: Filter | None) -> DataFrame:
-    """(key, n): how often each run of ``order`` symbols is there, of those whose two shorter runs are in ``shorter``."""
+def run_chunks(texts: DataFrame, order: int, shorter: Filter | None):
+    """A function of record batches that gives sorted distinct keys of runs of ``order`` symbols and their counts,
+    of those whose two shorter runs are in ``shorter``; some ``KEYS_PER_TASK`` at a time."""
     shared = texts.sparkSession.sparkContext.broadcast(shorter)
 
-    def out(keys: list, counts: list) -> Iterator[pa.RecordBatch]:
+    def merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
         k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)
-        for i in range(0, len(k), ROWS_PER_BATCH):
-            part = slice(i, i + ROWS_PER_BATCH)
-            yield pa.record_batch([signed(k[part]), pa.array(n[part])], names=["key", "n"])
+        return k, np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         keys, counts, held, known = [], [], 0, shared.value
         for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
             stream, since, _ = streams([t or b"" for t in batch.column(0).to_pylist()])
@@ -145,12 +146,64 @@ def count_runs(texts: DataFrame, order: int, shorter: Filter | None) -> DataFram
             counts.append(n)
             held += len(k)
             if held > KEYS_PER_TASK:
-                yield from out(keys, counts)
+                yield merged(keys, counts)
                 keys, counts, held = [], [], 0
         if keys:
-            yield from out(keys, counts)
+            yield merged(keys, counts)
+
+    return chunks
+
+
+def as_rows(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for k, n in chunks:
+        for i in range(0, len(k), ROWS_PER_BATCH):
+            part = slice(i, i + ROWS_PER_BATCH)
+            yield pa.record_batch([signed(k[part]), pa.array(n[part])], names=["key", "n"])
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes; high bytes that are mostly zero cost next to nothing."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def count_runs(texts: DataFrame, order: int, shorter: Filter | None, symbols: int = 0, often: int = 1) -> DataFrame:
+    """(key, n): how often each run of ``order`` symbols is there, of those whose two shorter runs are in ``shorter``, from ``often`` on.
+
+    Most runs come once, so that counting them in a task saves little. Where ``symbols`` says how many there may
+    be, a task sends each range of keys as one block of sorted keys' differences, a third of what rows take, and a range, of
+    about ``KEYS_PER_RANGE``, is merged at once. Where ranges are so many that blocks would hold next to nothing, rows are sent.
+    """
+    chunks = run_chunks(texts, order, shorter)
+    bits = max(0, (symbols // KEYS_PER_RANGE).bit_length())
+    if not symbols or KEYS_PER_TASK >> bits < KEYS_PER_BLOCK:
+        rows = texts.select("text").mapInArrow(lambda batches: as_rows(chunks(batches)), "key long, n long")
+        return rows.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= often)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, n in chunks(batches):
+            at = (k >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(k), np.int64)
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            for i in range(0, len(first), 64):
+                part = list(zip(first[i : i + 64].tolist(), np.append(first, len(k))[i + 1 : i + 65].tolist()))
+                yield pa.record_batch([
+                    pa.array([int(at[a]) for a, _ in part], pa.int64()), pa.array([packed(np.diff(k[a:b], prepend=np.uint64(0))) for a, b in part], pa.binary()),
+                    pa.array([packed(n[a:b].astype(np.uint32)) for a, b in part], pa.binary()),
+                ], names=["range", "keys", "counts"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+        counts = np.concatenate([unpacked(x, np.uint32) for x in table.column("counts").to_pylist()])
+        k, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(at, counts, len(k)).astype(np.int64)
+        return pa.table({"key": signed(k[n >= often]), "n": n[n >= often]})
 
-    return texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    sent = texts.select("text").mapInArrow(blocks, "range long, keys binary, counts binary")
+    return sent.groupBy("range").applyInArrow(merge, "key long, n long")
 
 
 def parts_of_runs(texts: DataFrame, order: int, wanted: Filter) -> DataFrame:
@@ -258,10 +311,11 @@ def release(*tables: DataFrame) -> None:
 
 def grow(learnt: DataFrame, words: DataFrame) -> SuffixTree:
     """The tree of the texts ``learnt`` over the table ``words`` (key, n, lp)."""
+    symbols = int(words.agg(F.sum("n")).first()[0] or 0)
     tree, shorter = SuffixTree(words), words.filter(F.col("n") >= OFTEN)
     known = Filter(shorter)
     for order in range(2, DEPTH + 2):
-        counts = written(count_runs(learnt, order, known).filter(F.col("n") >= OFTEN), "run-counts")
+        counts = written(count_runs(learnt, order, known, symbols, OFTEN), "run-counts")
         if counts.isEmpty():
             break
         known = Filter(counts)

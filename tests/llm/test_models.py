@@ -259,3 +259,22 @@ def test_quality_takes_one_row_of_each_id(spark, docs_of, monkeypatch):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     quality.train(docs, labels, F.lit(True))
     assert seen["shape"] == (2, 2)
+
+
+@pytest.mark.parametrize("per_range,per_block", [(50, 1), (1 << 20, 1), (50, 1 << 30)])
+def test_runs_are_counted_alike_in_blocks_and_rows(docs_of, monkeypatch, per_range, per_block):
+    monkeypatch.setattr(suffix_tree, "KEYS_PER_RANGE", per_range)
+    monkeypatch.setattr(suffix_tree, "KEYS_PER_BLOCK", per_block)
+    monkeypatch.setattr(suffix_tree, "KEYS_PER_TASK", 300)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("a b c d e f g".split()) for _ in range(rng.randrange(30))) for _ in range(100)] + [None, "", "z"]
+    docs = docs_of(texts).select("doc_id", F.col("text").cast("binary").alias("text"))
+    for order in (1, 2, 3):
+        for often in (1, 2, 5):
+            rows = suffix_tree.count_runs(docs, order, None, 900, often).collect()
+            plain = Counter()
+            for t in texts:
+                symbols = ["^", *(t or "").split(), "$"]
+                plain.update(tuple(symbols[i : i + order]) for i in range(0 if order > 1 else 1, len(symbols) - order + 1))
+            assert sorted(r.n for r in rows) == sorted(n for n in plain.values() if n >= often)
+            assert len({r.key for r in rows}) == len(rows)
