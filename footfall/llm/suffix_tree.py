@@ -52,6 +52,8 @@ DISCOUNT = 0.5
 KEYS_PER_TASK = 2_000_000
 #: Runs that are merged at once, and the fewest of a task that are worth a block.
 KEYS_PER_RANGE, KEYS_PER_BLOCK = 1_000_000, 64
+#: Runs of texts that meet the values of a range in one group.
+PAIRS_PER_RANGE = 8_000_000
 #: Runs whose values every task holds.
 HOT = 262_144
 FILTER_BITS, BITMAP_BITS = 27, 15
@@ -179,21 +181,16 @@ def count_runs(texts: DataFrame, order: int, shorter: Filter | None, symbols: in
     about ``KEYS_PER_RANGE``, is merged at once. Where ranges are so many that blocks would hold next to nothing, rows are sent.
     """
     chunks = run_chunks(texts, order, shorter)
-    bits = max(0, (symbols // KEYS_PER_RANGE).bit_length())
+    bits = range_bits(symbols)
     if not symbols or KEYS_PER_TASK >> bits < KEYS_PER_BLOCK:
         rows = texts.select("text").mapInArrow(lambda batches: as_rows(chunks(batches)), "key long, n long")
         return rows.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= often)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, n in chunks(batches):
-            at = (k >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(k), np.int64)
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            for i in range(0, len(first), 64):
-                part = list(zip(first[i : i + 64].tolist(), np.append(first, len(k))[i + 1 : i + 65].tolist()))
-                yield pa.record_batch([
-                    pa.array([int(at[a]) for a, _ in part], pa.int64()), pa.array([packed(np.diff(k[a:b], prepend=np.uint64(0))) for a, b in part], pa.binary()),
-                    pa.array([packed(n[a:b].astype(np.uint32)) for a, b in part], pa.binary()),
-                ], names=["range", "keys", "counts"])
+            for name, a, b in ranges_of(k, bits):
+                block = packed(np.diff(k[a:b], prepend=np.uint64(0))), packed(n[a:b].astype(np.uint32))
+                yield pa.record_batch([pa.array([name]), *(pa.array([c], pa.binary()) for c in block)], names=["range", "keys", "counts"])
 
     def merge(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
@@ -353,26 +350,54 @@ def most_frequent(values: DataFrame, limit: int) -> pa.Table:
     return values.filter(step >= lowest if lowest is not None else F.lit(False)).select("key", "x", "y", "k").toArrow()
 
 
-ROWS = "row long, doc_id long, n_words long, x double, y double, k long, key long, word boolean, f long"
+ROWS = "row long, doc_id long, n_words long, x double, y double, k long, range long, keys binary, rows binary, words binary, counts binary"
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
 
 
-def split_texts(texts: DataFrame, hot: pa.Table, known: Filter) -> DataFrame:
-    """Written table: a head row for each text with the sums of what tasks hold, and a row for each other run that may have values."""
+def range_bits(n: int) -> int:
+    """How many leading bits of a key name its range, of ranges of about ``KEYS_PER_RANGE`` of ``n`` keys."""
+    return max(0, (n // KEYS_PER_RANGE).bit_length())
+
+
+def ranges_of(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """(range, first, end) of each range that sorted ``keys`` have."""
+    at = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    yield from zip(at[first].tolist(), first.tolist(), np.append(first, len(keys))[1:].tolist())
+
+
+def split_texts(texts: DataFrame, hot: pa.Table, known: Filter, bits: int) -> DataFrame:
+    """Written table: a head row for each text with the sums of what tasks hold, and blocks of the other runs that may have values.
+
+    A block holds a range of keys of some texts in a row: the keys' differences, and for each the text (counted from the block's ``row``), whether it is a word, and
+    how often it comes. Its ``n_words`` is the number of keys.
+    """
     keys = hot.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     held = (keys[order], *(hot.column(c).to_numpy()[order] for c in "xyk"))
     shared = texts.sparkSession.sparkContext.broadcast((held, known))
 
+    def blocks(base: int, cold: list) -> Iterator[pa.RecordBatch]:
+        own, key, word, f = (np.concatenate(c) for c in zip(*cold))
+        by = np.argsort(key, kind="stable")
+        own, key, word, f = own[by], key[by], word[by], f[by]
+        for name, a, b in ranges_of(key, bits):
+            columns = [packed(np.diff(key[a:b], prepend=np.uint64(0))), packed((own[a:b] - base).astype(np.uint32)), packed(word[a:b].astype(np.uint8)), packed(f[a:b].astype(np.uint32))]
+            nothing = [pa.nulls(1, t) for t in (pa.float64(), pa.float64(), pa.int64())]
+            yield pa.record_batch(
+                [pa.array([base]), pa.nulls(1, pa.int64()), pa.array([b - a]), *nothing, pa.array([name]), *(pa.array([c], pa.binary()) for c in columns)], names=NAMES
+            )
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (names, *values), may = shared.value
-        row = TaskContext.get().partitionId() << 33
+        row = base = TaskContext.get().partitionId() << 33
+        cold, waiting = [], 0
         for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
             stream, since, sizes = streams([t or b"" for t in batch.column(1).to_pylist()])
             owner = np.repeat(np.arange(len(sizes)), sizes)
             last = np.zeros(len(stream) - 1, bool)
             last[np.cumsum(sizes) - 1] = True
-            sums, cold = [np.zeros(len(sizes)) for _ in values], []
+            sums = [np.zeros(len(sizes)) for _ in values]
             for order_, run in enumerate(run_keys(stream, DEPTH + 1), 1):
                 # the end as a run of one symbol is the same for all texts
                 at = np.flatnonzero(~last if order_ == 1 else since[1:] >= order_ - 1)
@@ -385,25 +410,58 @@ def split_texts(texts: DataFrame, hot: pa.Table, known: Filter) -> DataFrame:
                 by = np.lexsort((key, own))
                 key, own = key[by], own[by]
                 new = np.flatnonzero((np.diff(key, prepend=~key[:1]) != 0) | (np.diff(own, prepend=-1) != 0))
-                cold.append((own[new], key[new], np.full(len(new), order_ == 1), np.diff(new, append=len(key))))
+                cold.append((own[new] + row, key[new], np.full(len(new), order_ == 1), np.diff(new, append=len(key))))
+                waiting += len(new)
             n = len(sizes)
             yield pa.record_batch([
                 pa.array(np.arange(row, row + n)), batch.column(0), pa.array(sizes - 1), pa.array(sums[0]), pa.array(sums[1]),
-                pa.array(sums[2].astype(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64()),
+                pa.array(sums[2].astype(np.int64)), pa.nulls(n, pa.int64()), *(pa.nulls(n, pa.binary()) for _ in range(4)),
             ], names=NAMES)
-            own, key, word, f = (np.concatenate(c) for c in zip(*cold))
-            for i in range(0, len(key), ROWS_PER_BATCH):
-                part = slice(i, i + ROWS_PER_BATCH)
-                n = len(key[part])
-                yield pa.record_batch([
-                    pa.array(own[part] + row), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()),
-                    pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), signed(key[part]), pa.array(word[part]), pa.array(f[part]),
-                ], names=NAMES)
-            row += len(sizes)
+            row += n
+            if waiting > KEYS_PER_TASK:
+                yield from blocks(base, cold)
+                cold, waiting, base = [], 0, row
+        if waiting:
+            yield from blocks(base, cold)
 
     return written(texts.select("doc_id", "text").mapInArrow(split, ROWS), "text-runs")
 
 
+def looked_up(split: DataFrame, valued: DataFrame, bits: int, word_x: float, word_y: float) -> DataFrame:
+    """(row, cx, cy, ck): what the blocks of ``split`` add to each text, by the values of ``valued``; words without a value have the two given.
+
+    The blocks of a range meet the values of that range. Where a range has more than ``PAIRS_PER_RANGE`` keys in
+    blocks, its blocks are dealt to several groups, each with the values.
+    """
+    blocks = split.filter(F.col("keys").isNotNull())
+    pairs = blocks.agg(F.sum("n_words")).first()[0] or 0
+    salts = -(-pairs // (PAIRS_PER_RANGE << bits)) or 1
+
+    def look_up(values: pa.Table, sent: pa.Table) -> pa.Table:
+        keys = values.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        keys, (x, y, k) = keys[order], (values.column(c).to_numpy()[order] for c in "xyk")
+        out = []
+        for i in range(sent.num_rows):
+            base, *raw = (sent.column(c)[i].as_py() for c in ("row", "keys", "rows", "words", "counts"))
+            key, own, word, f = (unpacked(r, t) for r, t in zip(raw, (np.uint64, np.uint32, np.uint8, np.uint32)))
+            at, here = found(keys, np.cumsum(key, dtype=np.uint64))
+            of = lambda v, other: np.where(here, v[at] if len(v) else 0, other) * f
+            rows, place = np.unique(own, return_inverse=True)
+            sums = [np.bincount(place, of(v, other), len(rows)) for v, other in ((x, word * word_x), (y, word * word_y), (k, 0))]
+            out.append((rows.astype(np.int64) + base, *sums[:2], np.rint(sums[2]).astype(np.int64)))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, np.int64)]
+        return pa.table(columns, names=["row", "cx", "cy", "ck"])
+
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    name = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
+    left = valued.select(name.alias("range"), spread.alias("salt"), "key", "x", "y", "k").groupBy("range", "salt")
+    salt = F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt")
+    right = blocks.select("range", salt, "row", "keys", "rows", "words", "counts").groupBy("range", "salt")
+    parts = left.cogroup(right).applyInArrow(look_up, "row long, cx double, cy double, ck long")
+    return parts.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("cx", "cy", "ck")))
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each row of ``docs``.
 
@@ -432,13 +490,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     valued = valued.groupBy("key").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in "xyk"))
     valued = written(valued, "values")
 
-    split = split_texts(texts, most_frequent(valued, HOT), Filter(runs))
-    cold = split.filter("key is not null").join(valued.select("key", F.col("x").alias("vx"), F.col("y").alias("vy"), F.col("k").alias("vk")), "key", "left")
-    of = lambda c, other: F.sum(F.col("f") * F.coalesce(c, F.when(F.col("word"), F.lit(other)).otherwise(F.lit(0.0))))
-    sums = cold.groupBy("row").agg(
-        of("vx", float(np.log10(0.5)) - below).alias("cx"), of("vy", unknown).alias("cy"), F.sum(F.col("f") * F.coalesce("vk", F.lit(0))).alias("ck")
-    )
-    heads = split.filter("key is null").drop("key", "word", "f").join(sums, "row", "left")
+    bits = range_bits(valued.count())
+    split = split_texts(texts, most_frequent(valued, HOT), Filter(runs), bits)
+    sums = looked_up(split, valued, bits, float(np.log10(0.5)) - below, unknown)
+    heads = split.filter(F.col("keys").isNull()).select("row", "doc_id", "n_words", "x", "y", "k").join(sums, "row", "left")
     none = F.lit(0.0)
     return heads.select(
         "doc_id",

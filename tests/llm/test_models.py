@@ -278,3 +278,16 @@ def test_runs_are_counted_alike_in_blocks_and_rows(docs_of, monkeypatch, per_ran
                 plain.update(tuple(symbols[i : i + order]) for i in range(0 if order > 1 else 1, len(symbols) - order + 1))
             assert sorted(r.n for r in rows) == sorted(n for n in plain.values() if n >= often)
             assert len({r.key for r in rows}) == len(rows)
+
+
+def test_scores_do_not_depend_on_ranges(docs_of, monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(80))) for _ in range(150)] * 2 + [None, "", "unseen words only"]
+    docs = docs_of(texts)
+    score = lambda: sorted((r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in suffix_tree.score(docs, fold("doc_id", 5) == 1).collect())
+    monkeypatch.setattr(suffix_tree, "HOT", 20)
+    whole = score()
+    monkeypatch.setattr(suffix_tree, "KEYS_PER_RANGE", 40)
+    monkeypatch.setattr(suffix_tree, "PAIRS_PER_RANGE", 30)
+    assert score() == whole and len(whole) == len(texts)
