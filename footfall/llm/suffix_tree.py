@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import gc
 import posixpath
+import zlib
 from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
@@ -57,6 +58,8 @@ PAIRS_PER_RANGE = 8_000_000
 #: Runs whose values every task holds.
 HOT = 262_144
 FILTER_BITS, BITMAP_BITS = 27, 15
+#: Odd, and small enough that no group's multiple leaves 63 bits.
+GROUP_STEP = 0x517CC1B7272221
 END_HASH, STEP = np.uint64(0x5851F42D4C957F2D), np.uint64(0xD1342543DE82EF95)
 END_KEY = int(END_HASH.view(np.int64))
 
@@ -125,42 +128,56 @@ def signed(keys: np.ndarray) -> pa.Array:
     return pa.array(keys.view(np.int64))
 
 
+def summed(keys: list[np.ndarray], counts: list[np.ndarray], groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the sum of each one's counts, and the smallest of its groups."""
+    k, n, g = (np.concatenate(x) for x in (keys, counts, groups))
+    by = np.argsort(k, kind="stable")
+    k, n, g = k[by], n[by], g[by]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+    return k[first], (np.add.reduceat(n, first) if len(k) else n), (np.minimum.reduceat(g, first) if len(k) else g)
+
+
+def groups_of(texts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The group of each symbol's text: a byte of a hash of the text."""
+    return np.repeat(np.fromiter((zlib.crc32(t) & 0xFF for t in texts), np.uint8, len(texts)), sizes)
+
+
+def named(keys: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """One key for a run and a group."""
+    return keys ^ (groups.astype(np.uint64) * np.uint64(GROUP_STEP))
+
+
 def run_chunks(texts: DataFrame, order: int, shorter: Filter | None):
-    """A function of record batches that gives sorted distinct keys of runs of ``order`` symbols and their counts,
+    """A function of record batches that gives sorted distinct keys of runs of ``order`` symbols, their counts and smallest groups,
     of those whose two shorter runs are in ``shorter``; some ``KEYS_PER_TASK`` at a time."""
     shared = texts.sparkSession.sparkContext.broadcast(shorter)
 
-    def merged(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-        k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        return k, np.bincount(at, np.concatenate(counts), len(k)).astype(np.int64)
-
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        keys, counts, held, known = [], [], 0, shared.value
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        parts, held, known = [], 0, shared.value
         for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
-            stream, since, _ = streams([t or b"" for t in batch.column(0).to_pylist()])
+            raw = [t or b"" for t in batch.column(0).to_pylist()]
+            stream, since, sizes = streams(raw)
             runs = run_keys(stream, order)
             at = 1 + np.flatnonzero(since[1:] >= order - 1)
             if known is not None:
                 at = at[known(runs[-2][at])]
                 at = at[known(runs[-2][at - 1])]
-            k, n = np.unique(runs[-1][at], return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            held += len(k)
+            parts.append(summed([runs[-1][at]], [np.ones(len(at), np.int64)], [groups_of(raw, sizes)[at - 1]]))
+            held += len(parts[-1][0])
             if held > KEYS_PER_TASK:
-                yield merged(keys, counts)
-                keys, counts, held = [], [], 0
-        if keys:
-            yield merged(keys, counts)
+                yield summed(*zip(*parts))
+                parts, held = [], 0
+        if parts:
+            yield summed(*zip(*parts))
 
     return chunks
 
 
-def as_rows(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    for k, n in chunks:
+def as_rows(chunks: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for k, n, g in chunks:
         for i in range(0, len(k), ROWS_PER_BATCH):
             part = slice(i, i + ROWS_PER_BATCH)
-            yield pa.record_batch([signed(k[part]), pa.array(n[part])], names=["key", "n"])
+            yield pa.record_batch([signed(k[part]), pa.array(n[part]), pa.array(g[part].astype(np.int64))], names=["key", "n", "g"])
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -174,7 +191,8 @@ def unpacked(raw: bytes, kind: type) -> np.ndarray:
 
 
 def count_runs(texts: DataFrame, order: int, shorter: Filter | None, symbols: int = 0, often: int = 1) -> DataFrame:
-    """(key, n): how often each run of ``order`` symbols is there, of those whose two shorter runs are in ``shorter``, from ``often`` on.
+    """(key, n, g): how often each run of ``order`` symbols is there, of those whose two shorter runs are in ``shorter``, from ``often`` on,
+    and the smallest group of the texts that have it.
 
     Most runs come once, so that counting them in a task saves little. Where ``symbols`` says how many there may
     be, a task sends each range of keys as one block of sorted keys' differences, a third of what rows take, and a range, of
@@ -183,28 +201,30 @@ def count_runs(texts: DataFrame, order: int, shorter: Filter | None, symbols: in
     chunks = run_chunks(texts, order, shorter)
     bits = range_bits(symbols)
     if not symbols or KEYS_PER_TASK >> bits < KEYS_PER_BLOCK:
-        rows = texts.select("text").mapInArrow(lambda batches: as_rows(chunks(batches)), "key long, n long")
-        return rows.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= often)
+        rows = texts.select("text").mapInArrow(lambda batches: as_rows(chunks(batches)), "key long, n long, g long")
+        return rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("g").alias("g")).filter(F.col("n") >= often)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, n in chunks(batches):
+        for k, n, g in chunks(batches):
             for name, a, b in ranges_of(k, bits):
-                block = packed(np.diff(k[a:b], prepend=np.uint64(0))), packed(n[a:b].astype(np.uint32))
-                yield pa.record_batch([pa.array([name]), *(pa.array([c], pa.binary()) for c in block)], names=["range", "keys", "counts"])
+                block = packed(np.diff(k[a:b], prepend=np.uint64(0))), packed(n[a:b].astype(np.uint32)), packed(g[a:b])
+                yield pa.record_batch([pa.array([name]), *(pa.array([c], pa.binary()) for c in block)], names=["range", "keys", "counts", "groups"])
 
     def merge(table: pa.Table) -> pa.Table:
         keys = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([unpacked(x, np.uint32) for x in table.column("counts").to_pylist()])
-        k, at = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(at, counts, len(k)).astype(np.int64)
-        return pa.table({"key": signed(k[n >= often]), "n": n[n >= often]})
+        counts = [unpacked(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist()]
+        k, n, g = summed(keys, counts, [unpacked(x, np.uint8) for x in table.column("groups").to_pylist()])
+        return pa.table({"key": signed(k[n >= often]), "n": n[n >= often], "g": g[n >= often].astype(np.int64)})
 
-    sent = texts.select("text").mapInArrow(blocks, "range long, keys binary, counts binary")
-    return sent.groupBy("range").applyInArrow(merge, "key long, n long")
+    sent = texts.select("text").mapInArrow(blocks, "range long, keys binary, counts binary, groups binary")
+    return sent.groupBy("range").applyInArrow(merge, "key long, n long, g long")
 
 
 def parts_of_runs(texts: DataFrame, order: int, wanted: Filter) -> DataFrame:
-    """(key, ctx, suf): the runs without their last and without their first symbol, of runs in ``wanted``."""
+    """(key, ctx, suf): the runs without their last and without their first symbol, of runs that are in ``wanted`` with the group of their text.
+
+    So of the many texts that may have a run, those of one group name its parts.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +238,11 @@ def parts_of_runs(texts: DataFrame, order: int, wanted: Filter) -> DataFrame:
                 yield pa.record_batch([signed(c[part]) for c in columns], names=["key", "ctx", "suf"])
 
         for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
-            stream, since, _ = streams([t or b"" for t in batch.column(0).to_pylist()])
+            raw = [t or b"" for t in batch.column(0).to_pylist()]
+            stream, since, sizes = streams(raw)
             runs = run_keys(stream, order)
             at = 1 + np.flatnonzero(since[1:] >= order - 1)
-            at = at[shared.value(runs[-1][at])]
+            at = at[shared.value(named(runs[-1][at], groups_of(raw, sizes)[at - 1]))]
             _, one = np.unique(runs[-1][at], return_index=True)
             kept.append((runs[-1][at[one]], runs[-2][at[one] - 1], runs[-2][at[one]]))
             held += len(one)
@@ -316,7 +337,8 @@ def grow(learnt: DataFrame, words: DataFrame) -> SuffixTree:
         if counts.isEmpty():
             break
         known = Filter(counts)
-        runs = counts.join(parts_of_runs(learnt, order, known), "key")
+        wanted = Filter(counts.select(F.col("key").bitwiseXOR(F.col("g") * F.lit(GROUP_STEP)).alias("key")))
+        runs = counts.drop("g").join(parts_of_runs(learnt, order, wanted), "key")
         runs = runs.join(shorter.select(F.col("key").alias("ctx"), F.col("n").alias("m")), "ctx")
         runs = runs.join(shorter.select(F.col("key").alias("suf"), "lp"), "suf")
         expected = F.col("m") * F.pow(F.lit(10.0), "lp")
@@ -469,7 +491,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """
     texts = id_text(docs, id_col, text_col)
     learnt = texts.filter(~F.coalesce(held_out, F.lit(False)))
-    counts = written(count_runs(learnt, 1, None), "word-counts")
+    counts = written(count_runs(learnt, 1, None).drop("g"), "word-counts")
     row = counts.agg(
         F.count("*").alias("v"), F.sum("n").alias("n"), F.sum(F.when(F.col("key") == END_KEY, F.col("n"))).alias("ends"),
         F.count_if((F.col("n") == 1) & (F.col("key") != END_KEY)).alias("n1"), F.count_if((F.col("n") == 2) & (F.col("key") != END_KEY)).alias("n2"),
