@@ -50,7 +50,7 @@ OTHER, END = 0, 0xFFFF
 #: A context is tried where so many symbols follow it; a symbol passes with so many bits of gain.
 OFTEN, BITS = 2, 20.0
 DISCOUNT = 0.5
-KEYS_PER_TASK = 2_000_000
+KEYS_PER_TASK = 1_000_000
 #: Runs that are merged at once, and the fewest of a task that are worth a block.
 KEYS_PER_RANGE, KEYS_PER_BLOCK = 1_000_000, 64
 #: Runs of texts that meet the values of a range in one group.
@@ -329,7 +329,7 @@ def release(*tables: DataFrame) -> None:
 
 def grow(learnt: DataFrame, words: DataFrame) -> SuffixTree:
     """The tree of the texts ``learnt`` over the table ``words`` (key, n, lp)."""
-    symbols = int(words.agg(F.sum("n")).first()[0] or 0)
+    symbols, before = int(words.agg(F.sum("n")).first()[0] or 0), []
     tree, shorter = SuffixTree(words), words.filter(F.col("n") >= OFTEN)
     known = Filter(shorter)
     for order in range(2, DEPTH + 2):
@@ -354,9 +354,10 @@ def grow(learnt: DataFrame, words: DataFrame) -> SuffixTree:
         graded = runs.join(contexts_.select("ctx", "spread"), "ctx", "left").select("key", "n", lp.alias("lp"), change.alias("change"))
         # of the longest runs only those that passed are looked at again
         shorter = written(graded if order <= DEPTH else graded.filter("change is not null"), "graded-runs")
-        passed = shorter.filter("change is not null")
-        tree.tables.append((contexts_, passed.select("key", "n", F.col("lp").alias("own"), "change")))
-        release(counts, runs)
+        passed = shorter.filter("change is not null").select("key", "n", F.col("lp").alias("own"), "change")
+        tree.tables.append((contexts_, written(passed, "passed-runs")))
+        release(counts, runs, *before)
+        before = [shorter]
     return tree
 
 
@@ -513,7 +514,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     valued = written(valued, "values")
 
     bits = range_bits(valued.count())
-    split = split_texts(texts, most_frequent(valued, HOT), Filter(runs), bits)
+    hot, known = most_frequent(valued, HOT), Filter(runs)
+    release(counts, runs, *chain.from_iterable(tree.tables))  # all that is looked up from here on is in the values
+    split = split_texts(texts, hot, known, bits)
     sums = looked_up(split, valued, bits, float(np.log10(0.5)) - below, unknown)
     heads = split.filter(F.col("keys").isNull()).select("row", "doc_id", "n_words", "x", "y", "k").join(sums, "row", "left")
     none = F.lit(0.0)
