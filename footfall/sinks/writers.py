@@ -26,6 +26,8 @@ from footfall.rules import STATE, TABLES, Table, table_schema
 from footfall.session import remove_path, stored_bytes
 
 CODECS = ("snappy", "gzip", "zstd", "none")
+#: A compressed text file is read by one task, so that a big ticket is cut into several.
+ROWS_PER_TEXT_FILE = 1_000_000
 
 def write_parquet(
     df: DataFrame, path: str, codec: str = "snappy", row_group_rows: int = 100_000
@@ -262,7 +264,8 @@ def export_tickets(
     A ticket gets its sensor rows and every state event, of any ticket, in its lifetime; the
     folders are named ``for_ticket=…``. ``metadata`` has one row per ticket and table: rows
     and times. Rows are spread by range over (ticket, time), so a big ticket spans several
-    tasks and a small one lands in one file.
+    tasks and a small one lands in one file. JSON lines are compressed by gzip: a state event is
+    written once for each ticket that it concerns, and its copies' text would outweigh all other work.
     """
     if fmt not in ("parquet", "jsonl"):
         raise ValueError("many tickets are exported as parquet or jsonl")
@@ -284,7 +287,8 @@ def export_tickets(
         if fmt == "parquet":
             writer.parquet(path)
         else:
-            writer.option("ignoreNullFields", "false").json(path)
+            writer = writer.option("ignoreNullFields", "false").option("maxRecordsPerFile", ROWS_PER_TEXT_FILE)
+            writer.option("compression", "gzip").json(path)
         seen = read_exported(rows, path, fmt).groupBy("for_ticket").agg(
             F.count("*").alias("rows"), F.min("event_timestamp").alias("earliest"), F.max("event_timestamp").alias("latest")
         )

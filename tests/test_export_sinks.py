@@ -2,6 +2,7 @@
 
 import datetime
 import glob
+import gzip
 import json
 import math
 import os
@@ -194,6 +195,24 @@ def test_many_tickets_in_one_job(spark, made, folder):
             assert rows.count() == spark.read.parquet(path).count() == meta[table, ticket]
 
 
+def test_json_of_many_tickets_is_compressed_and_whole(spark, made, folder, monkeypatch):
+    monkeypatch.setattr(writers, "ROWS_PER_TEXT_FILE", 50)
+    writers.export_tickets(made, spark.createDataFrame([("T7",), ("T8",)], "entry string"), f"{folder}/out", "jsonl")
+    writers.export_tickets(made, spark.createDataFrame([("T7",), ("T8",)], "entry string"), f"{folder}/plain")
+    for table in made:
+        files = glob.glob(f"{folder}/out/{table}/for_ticket=*/part-*")
+        assert files and all(f.endswith(".json.gz") for f in files)
+        texts = {f: gzip.open(f).read() for f in files}
+        assert max(t.count(b"\n") for t in texts.values()) <= 50
+        columns = [c for c, kind in made[table].dtypes if kind == "string"] + ["for_ticket"]
+        want, got = spark.read.parquet(f"{folder}/plain/{table}"), spark.read.json(f"{folder}/out/{table}")
+        columns = [c for c in columns if c in want.columns]
+        assert bag(got.collect(), columns) == bag(want.collect(), columns)
+        assert table != STATE or 3 * sum(map(os.path.getsize, files)) < sum(map(len, texts.values()))
+    metas = [spark.read.parquet(f"{folder}/{n}/metadata").drop("format", "path", "earliest", "latest").collect() for n in ("out", "plain")]
+    assert sorted(map(tuple, metas[0])) == sorted(map(tuple, metas[1])) != []
+
+
 def test_bounds_with_a_zone(made):
     first, last = datetime.datetime(2024, 1, 5, 8, tzinfo=datetime.timezone.utc), DAY(2024, 1, 9)
     got = ex.state_context(made[STATE], DAY(2024, 1, 1), last, start=first)
