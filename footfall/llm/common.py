@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.session import ship, written  # noqa: F401  (the operators cut lineage with ``written``)
 
 ROWS_PER_BATCH = 50_000
+#: Text that is worked on at once: arrays over its bytes take some hundred times as much memory.
+PIECE_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +28,20 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(column.cast("string")) % folds
 
 
-def pieces_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
-    """Short runs of a batch's rows, so that what Python makes of them stays small."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
+def pieces_of(batch: pa.RecordBatch, rows: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Short runs of a batch's rows, so that what Python makes of them stays small: of ``rows`` at most, and of one row or ``most`` bytes of text."""
+    until = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns if most else []:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            until += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    until, start = np.cumsum(until), 0
+    while start < batch.num_rows:
+        end = start + rows
+        if most:
+            fits = most + (until[start - 1] if start else 0)
+            end = min(end, max(start + 1, int(np.searchsorted(until, fits, "right"))))
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import pieces_of
+from footfall.llm.common import PIECE_BYTES, pieces_of
 from footfall.llm.textops import NOT_WORD, gram_hashes, word_hashes
 
 GRAM = 3
@@ -181,7 +181,7 @@ def _seed(docs: DataFrame, items: Items) -> Items:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(shared.value.gram), np.int64)
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             words, first, _, _ = word_hashes(lower(batch.column(1).to_pylist()), NOT_WORD)
             at, lo, _ = shared.value.find(gram_hashes(words, GRAM))
             doc = np.searchsorted(first, at, "right") - 1
@@ -200,7 +200,7 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
     seeded = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             rows = list(hits_of(seeded.value, lower(batch.column(1).to_pylist())))
             columns = list(zip(*rows)) or [()] * 7
             ids = batch.column(0).take(pa.array(columns[0], pa.int64()))

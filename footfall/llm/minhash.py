@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import id_text, pieces_of, written
+from footfall.llm.common import PIECE_BYTES, id_text, pieces_of, written
 from footfall.llm.components import components
 from footfall.llm.textops import factors, mix, shingle_sets
 
@@ -76,7 +76,7 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         band_factors = factors(BAND_ROWS, 13)
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             sets = shingle_sets([(t or b"").lower() for t in batch.column(1).to_pylist()], WORDS)
             n = np.fromiter(map(len, sets), np.int64, len(sets))
             some = n > 0
@@ -121,7 +121,7 @@ def confirm(pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b, ta, tb) whose full sets have 100 * common >= percent * united."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(pieces_of(b, 128) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 128, PIECE_BYTES) for b in batches):
             left, right = (shingle_sets([t.lower() for t in batch.column(i).to_pylist()], WORDS) for i in (2, 3))
             keep = []
             for i, (x, y) in enumerate(zip(left, right)):
@@ -204,7 +204,7 @@ def shingle_rows(texts: DataFrame) -> DataFrame:
     """A row for each shingle (``h``) of each text of ``texts`` (doc, comp, text), with the set's size and a name for it."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(pieces_of(b, 64) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 64, PIECE_BYTES) for b in batches):
             sets = shingle_sets([t.lower() for t in batch.column(2).to_pylist()], WORDS)
             n = np.fromiter(map(len, sets), np.int64, len(sets))
             name = np.array([np.add.reduce(mix(s)) for s in sets], np.uint64).view(np.int64)

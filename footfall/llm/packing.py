@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import pieces_of, written
+from footfall.llm.common import PIECE_BYTES, pieces_of, written
 
 LENGTH = 2048
 ROWS = 256
@@ -38,7 +38,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
 
         own, start = encoder(tokenizer), 0
         part = TaskContext.get().partitionId()
-        for batch in chain.from_iterable(pieces_of(b, ROWS) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, ROWS, PIECE_BYTES) for b in batches):
             ids = [x + end for x in own.encode([t or "" for t in batch.column(1).to_pylist()])]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
             starts = start + np.cumsum(n) - n

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import pieces_of, written
+from footfall.llm.common import PIECE_BYTES, pieces_of, written
 from footfall.session import work_path
 
 MAGIC = b"FFTOKEN1"
@@ -142,7 +142,7 @@ def write_files(
             return pa.record_batch([[number], [len(ids)], [held], [len(content)]], names=["file", "docs", "tokens", "bytes"])
 
         end = np.array([end_id], np.uint16)
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for doc_id, raw in zip(batch.column(0).to_pylist(), own.encode(texts)):
                 doc_ids.append(doc_id)

@@ -55,14 +55,17 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        #: Hashes of the pieces that are known, sorted, and each one's place in ``at`` and ``size``: a dict would take seven times as much.
+        self.known, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.at, self.size = np.zeros(1 << 20, np.uint16), np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
         self.pieces = self.filled = 0
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """The places of pieces that are not known yet."""
+        out = np.zeros(len(pieces), np.int64)
         single = [bool(_word(p)) for p in pieces]
         words = [i for i, s in enumerate(single) if s]
         rest = [i for i, s in enumerate(single) if not s]
@@ -79,8 +82,9 @@ class TextEncoder:
             self.size[first:last] = n
             self.at[first:last] = self.filled + np.cumsum(n) - n
             self.ids[self.filled : self.filled + len(ids)] = ids
-            self.known.update(zip((hashes[i] for i in places), range(first, last)))
+            out[places] = np.arange(first, last)
             self.pieces, self.filled = last, self.filled + len(ids)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = [bool(self.special(t)) or not (self.drops_space or t.isascii() or not _wide_space(t)) for t in texts]
@@ -91,26 +95,23 @@ class TextEncoder:
         names, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) + len(names) > CACHE or self.filled > CACHE_IDS:
             self._forget()
-        get, listed = self.known.get, names.tolist()
-        places = list(map(get, listed))
-        new = [i for i, p in enumerate(places) if p is None]
-        long = []
-        if new:
+        at = np.searchsorted(self.known, names)
+        places, here = np.zeros(len(names), np.int64), np.flatnonzero(at < len(self.known))
+        here = here[self.known[at[here]] == names[here]]
+        places[here] = self.places[at[here]]
+        new = np.setdiff1d(np.arange(len(names)), here, assume_unique=True)
+        if len(new):
             whole = data.tobytes()
             where = first[new]
             pieces = [whole[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-            self._learn([listed[i] for i in new], pieces)
-            for i, piece in zip(new, pieces):
-                places[i] = get(listed[i])
-                if len(piece) > LONGEST:
-                    long.append(listed[i])
-        of_piece = np.array(places, np.int64)[inverse] if len(names) else np.zeros(0, np.int64)
+            places[new] = self._learn(pieces)
+            kept = new[np.fromiter(map(len, pieces), np.int64, len(pieces)) <= LONGEST]  # long pieces rarely come again
+            self.known, self.places = np.insert(self.known, at[kept], names[kept]), np.insert(self.places, at[kept], places[kept])
+        of_piece = places[inverse]
         n = self.size[of_piece]
         until = np.cumsum(n)
         out = self.ids[np.repeat(self.at[of_piece] - (until - n), n) + np.arange(until[-1] if len(n) else 0)].astype("<u2").tobytes()
         cuts = 2 * np.append(0, until)[np.searchsorted(starts, begin)]
-        for name in long:  # long pieces rarely come again
-            del self.known[name]
         return [
             self.whole(t) if o or bad else out[a:b]
             for t, o, bad, a, b in zip(texts, odd, irregular.tolist(), cuts.tolist(), cuts[1:].tolist())

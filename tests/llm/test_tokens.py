@@ -1,16 +1,18 @@
 """Token counts, packing and token files against the tokenizers themselves."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from footfall.llm import packing, token_counts, token_files
+from footfall.llm import common, packing, token_counts, token_files, tokenizing
 from footfall.llm.tokenizing import CUTS, encoder
 
 RANDOM = st.text(st.sampled_from("abcXYZ éßñ'’.,!#$%&*|-_0123456789²½ \t\n\r\x0b\x1c\x85\xa0   　́ǅ漢字🙂▁<|endoftext|>"), max_size=60)
@@ -105,3 +107,30 @@ def test_file_bytes_rank_by_frequency():
     assert (ids, lengths.tolist(), values.tolist()) == ([None, 7], [3, 2], [9, 9, 5, 70000, 9])
     assert np.frombuffer(content, "<u4", 3, 20)[0] == 9
     assert zlib.crc32(values[:3].astype("<u4").tobytes()) == zlib.crc32(np.array([9, 9, 5], "<u4").tobytes())
+
+
+def test_long_texts_are_worked_on_a_few_at_a_time():
+    texts = ["a " * 90_000, None, "b " * 90_000, "", "c " * 90_000, "d " * 400_000, "e"]
+    for kind, of in ((pa.string(), lambda t: t), (pa.binary(), lambda t: t and t.encode())):
+        batch = pa.record_batch([pa.array(range(7)), pa.array([of(t) for t in texts], kind)], names=["doc_id", "text"])
+        parts = list(common.pieces_of(batch, 256, common.PIECE_BYTES))
+        assert [p.num_rows for p in parts] == [2, 2, 1, 1, 1]
+        assert pa.Table.from_batches(parts).combine_chunks() == pa.Table.from_batches([batch]).combine_chunks()
+        assert [p.num_rows for p in common.pieces_of(batch.slice(1, 4), 2, common.PIECE_BYTES)] == [2, 2]
+    assert [p.num_rows for p in common.pieces_of(batch, 3)] == [3, 3, 1]
+    assert not list(common.pieces_of(batch.slice(0, 0), 256))
+
+
+def test_known_pieces_take_little_memory():
+    own = tokenizing.TextEncoder("word_bpe_49k.json")
+    words = [" ".join(f"{a}q{b}" for b in range(400)) for a in range(250)]
+    want = [np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in words[:3]]
+    tracemalloc.start()
+    try:
+        assert own.encode(words[:3]) == want
+        for i in range(3, 250, 10):
+            own.encode(words[i : i + 10])
+        assert tracemalloc.get_traced_memory()[0] < 6_000_000
+    finally:
+        tracemalloc.stop()
+    assert own.pieces >= 100_000 and own.encode(words[:3]) == want
