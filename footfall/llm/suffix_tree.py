@@ -50,7 +50,9 @@ OTHER, END = 0, 0xFFFF
 #: A context is tried where so many symbols follow it; a symbol passes with so many bits of gain.
 OFTEN, BITS = 2, 20.0
 DISCOUNT = 0.5
-KEYS_PER_TASK = 1_000_000
+KEYS_PER_TASK = 500_000
+#: Rows of a block, so that it stays below what the JVM's collector takes for a large object, and blocks that are handed over at once.
+ROWS_PER_BLOCK, BLOCKS_PER_BATCH = 16_384, 16
 #: Runs that a task sorts at once for a join of blocks, and about as many as a range has there.
 KEYS_PER_DEAL = KEYS_PER_MEETING = 500_000
 #: Runs that are merged at once, and the fewest of a task that are worth a block.
@@ -183,6 +185,21 @@ def block(kind: int, name: int, columns: list[np.ndarray]) -> tuple:
     return kind, name, len(first), *cells, *[None] * (BLOCK_COLUMNS - len(cells))
 
 
+def blocks_of(kind: int, name: int, columns: list[np.ndarray]) -> list[tuple]:
+    return [block(kind, name, [c[i : i + ROWS_PER_BLOCK] for c in columns]) for i in range(0, len(columns[0]), ROWS_PER_BLOCK)]
+
+
+def batches_of(blocks: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held = []
+    for one in blocks:
+        held.append(one)
+        if len(held) == BLOCKS_PER_BATCH:
+            yield block_batch(held)
+            held = []
+    if held:
+        yield block_batch(held)
+
+
 def block_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * BLOCK_COLUMNS]
     return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(kinds), kinds)], names=BLOCK_NAMES)
@@ -340,7 +357,7 @@ def rows_of(kinds: tuple[type, ...], shape: str, keep=None):
 def scanned_level(
     texts: DataFrame, order: int, bits: int, known, wanted: Filter | None = None, counts: DataFrame | None = None, count: bool = True, often: int = OFTEN, words: bool = False
 ) -> DataFrame:
-    """Blocks of ranges of keys, of one pass over the texts: counted runs of ``order`` symbols with the slices of their filters, and with
+    """Written table: blocks of ranges of keys, of one pass over the texts: counted runs of ``order`` symbols with the slices of their filters, and with
     ``counts``, blocks of the runs of one symbol less, these with their counts and their parts, which the pass names by ``wanted``; with ``words`` also all words."""
     context = texts.sparkSession.sparkContext
     shared = context.broadcast((known, wanted))
@@ -350,7 +367,7 @@ def scanned_level(
         for kind, key, *more in scan(order, of, want, count, words)(batches):
             if kind != PARTS:
                 more[0] = more[0].astype(np.uint32)
-            yield block_batch([block(kind, name, [key[a:b], *(c[a:b] for c in more)]) for name, a, b in ranges_of(key, bits)])
+            yield from batches_of(chain.from_iterable(blocks_of(kind, name, [key[a:b], *(c[a:b] for c in more)]) for name, a, b in ranges_of(key, bits)))
 
     def merge(group: tuple, have: pa.Table, sent: pa.Table) -> pa.Table:
         kind, name = (x.as_py() for x in group)
@@ -359,19 +376,22 @@ def scanned_level(
             runs, n, _ = joined(have, COUNTED)
             at, here = found(runs, key)
             here &= np.append(True, key[1:] != key[:-1])[: len(key)]
-            return block_table([block(PARTS, name, [key[here], ctx[here], suf[here], n[at[here]]])] if here.any() else [])
+            return block_table(blocks_of(PARTS, name, [key[here], ctx[here], suf[here], n[at[here]]]))
         parts = [(k, n.astype(np.int64), g) for _, (k, n, g) in opened(sent, (U64, np.uint32, np.uint8))]
         key, n, g = summed(*zip(*parts))
         if kind == WORDS:
-            return block_table([block(WORDS, name, [key, n, g])])
+            return block_table(blocks_of(WORDS, name, [key, n, g]))
         key, n, g = (c[n >= often] for c in (key, n, g))
         if not len(key):
             return block_table([])
-        return block_table([block(COUNTS, name, [key, n, g]), Slices.of(KNOWN, name, key, bits), Slices.of(WANTED, name, named(key, g), bits)])
+        return block_table([*blocks_of(COUNTS, name, [key, n, g]), Slices.of(KNOWN, name, key, bits), Slices.of(WANTED, name, named(key, g), bits)])
 
     sent = texts.select("text").mapInArrow(send, BLOCKS)
     have = counts.withColumn("kind", F.lit(PARTS)) if counts is not None else sent.limit(0)
-    return have.groupBy("kind", "range").cogroup(sent.groupBy("kind", "range")).applyInArrow(merge, BLOCKS)
+    merged = have.groupBy("kind", "range").cogroup(sent.groupBy("kind", "range")).applyInArrow(merge, BLOCKS)
+    out = written(merged, "counted-runs", "kind")
+    shared.destroy()
+    return out
 
 
 def in_ranges(columns: list[np.ndarray], bits: int) -> Iterator[tuple]:
@@ -379,7 +399,7 @@ def in_ranges(columns: list[np.ndarray], bits: int) -> Iterator[tuple]:
     by = np.argsort(columns[0])
     columns = [c[by] for c in columns]
     for name, a, b in ranges_of(columns[0], bits):
-        yield block(0, name, [c[a:b] for c in columns])
+        yield from blocks_of(0, name, [c[a:b] for c in columns])
 
 
 def dealt(table: DataFrame, columns: list[str], by: str, take: list[str], bits: int) -> DataFrame:
@@ -395,7 +415,7 @@ def dealt(table: DataFrame, columns: list[str], by: str, take: list[str], bits:
         def out() -> Iterator[pa.RecordBatch]:
             parts = [np.concatenate(c) for c in zip(*held)]
             held.clear()
-            yield block_batch(list(in_ranges(parts, bits)))
+            yield from batches_of(in_ranges(parts, bits))
 
         for batch in batches:
             if from_rows:
@@ -561,7 +581,7 @@ def grow(learnt: DataFrame, words: DataFrame, level: DataFrame, bits: int) -> Su
             break
         last = order == DEPTH + 1
         counts = level.filter(F.col("kind") == COUNTS)
-        scanned, level = level, written(scanned_level(learnt, order + 1, bits, known, wanted, counts, count=not last), "runs", "kind")
+        scanned, level = level, scanned_level(learnt, order + 1, bits, known, wanted, counts, count=not last)
         release(scanned)
         deal_bits = (max(rows, shorter_rows) // KEYS_PER_MEETING).bit_length()
         graded = dealt(shorter, ["key:key", "n:count", "lp:log"], "key", ["n", "lp"], deal_bits)
@@ -752,7 +772,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     learnt = texts.filter(~F.coalesce(held_out, F.lit(False)))
     likely = int(learnt.agg(F.sum(F.octet_length("text") / BYTES_PER_SYMBOL + 1)).first()[0] or 0)
     bits = min(range_bits(likely), max(0, (KEYS_PER_TASK // KEYS_PER_BLOCK).bit_length() - 1), FILTER_BITS - 6)
-    level = written(scanned_level(learnt, 2, bits, None, words=True), "run-counts", "kind")
+    level = scanned_level(learnt, 2, bits, None, words=True)
     shape = "key long, n long, g long"
     counts = written(level.filter(F.col("kind") == WORDS).mapInArrow(rows_of(COUNTED, shape), shape).drop("g"), "word-counts")
     row = counts.agg(
