@@ -30,6 +30,7 @@ import gc
 import posixpath
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cached_property
 from itertools import chain
 
@@ -37,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.common import ROWS_PER_BATCH, id_text, pieces_of, written
@@ -53,6 +54,7 @@ DISCOUNT = 0.5
 KEYS_PER_TASK = 500_000
 #: Rows of a block, so that it stays below what the JVM's collector takes for a large object, and blocks that are handed over at once.
 ROWS_PER_BLOCK, BLOCKS_PER_BATCH = 16_384, 16
+ROWS_TO_PYTHON = 1024
 #: Runs that a task sorts at once for a join of blocks, and about as many as a range has there.
 KEYS_PER_DEAL = KEYS_PER_MEETING = 500_000
 #: Runs that are merged at once, and the fewest of a task that are worth a block.
@@ -763,11 +765,28 @@ def looked_up(split: DataFrame, valued: DataFrame, bits: int, word_x: float, wor
     return parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_words", "x", "y", "k")))
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Meanwhile rows go to Python in batches of ``ROWS_TO_PYTHON``, as batches of long texts take several times their size in the JVM and in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(ROWS_TO_PYTHON))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each row of ``docs``.
 
-    ``held_out`` is over ``doc_id``; the model and the word counts come from the other rows.
+    ``held_out`` is over ``doc_id``; the model and the word counts come from the other rows. The result is a written table.
     """
+    with small_batches(docs.sparkSession):
+        return written(scores(docs, held_out, id_col, text_col), "scores")
+
+
+def scores(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> DataFrame:
     texts = id_text(docs, id_col, text_col)
     learnt = texts.filter(~F.coalesce(held_out, F.lit(False)))
     likely = int(learnt.agg(F.sum(F.octet_length("text") / BYTES_PER_SYMBOL + 1)).first()[0] or 0)
