@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import ROWS_PER_BATCH, id_text, pieces_of, written
+from footfall.llm.common import PIECE_BYTES, ROWS_PER_BATCH, id_text, pieces_of, written
 from footfall.llm.textops import mix, word_hashes
 from footfall.session import remove_path
 
@@ -61,7 +61,7 @@ KEYS_PER_DEAL = KEYS_PER_MEETING = 500_000
 KEYS_PER_RANGE, KEYS_PER_BLOCK = 4_000_000, 64
 BYTES_PER_SYMBOL = 6
 #: Runs of texts, about, that meet the values of a range in one group.
-PAIRS_PER_RANGE = 4_000_000
+PAIRS_PER_RANGE = 2_000_000
 #: Runs whose values every task holds.
 HOT, HOT_BITS = 262_144, 21
 FILTER_BITS, BITMAP_BITS = 27, 15
@@ -285,7 +285,7 @@ def scan(order: int, known, wanted: Filter | None = None, count: bool = True, wo
         held = {COUNTS: [], PARTS: [], WORDS: []}
         sizes_ = dict.fromkeys(held, 0)
         ends = {COUNTS: of_counts, PARTS: of_parts, WORDS: of_words}
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             raw = [t or b"" for t in batch.column(0).to_pylist()]
             stream, since, sizes = streams(raw)
             runs, groups = run_keys(stream, order), groups_of(raw, sizes)
@@ -687,7 +687,7 @@ def split_texts(texts: DataFrame, hot: pa.Table, known: Filter, bits: int) -> Da
         hot_place = places_by_first_bits(names)
         row = base = TaskContext.get().partitionId() << 33
         cold, heads, waiting = [], [], 0
-        for batch in chain.from_iterable(pieces_of(b, 256) for b in batches):
+        for batch in chain.from_iterable(pieces_of(b, 256, PIECE_BYTES) for b in batches):
             stream, since, sizes = streams([t or b"" for t in batch.column(1).to_pylist()])
             n = len(sizes)
             owner = np.repeat(np.arange(n, dtype=np.int32), sizes)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,3 +292,36 @@ def test_scores_do_not_depend_on_ranges(docs_of, monkeypatch):
     monkeypatch.setattr(suffix_tree, "KEYS_PER_RANGE", 40)
     monkeypatch.setattr(suffix_tree, "PAIRS_PER_RANGE", 30)
     assert score() == whole and len(whole) == len(texts)
+
+
+def test_memory_of_a_pass_is_bounded(docs_of, monkeypatch):
+    """Texts are worked on by bytes, not by rows alone, and what is sent on is in blocks of few rows."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(9000)).encode() for _ in range(24)]
+    seen, streams = [], suffix_tree.streams
+    monkeypatch.setattr(suffix_tree, "streams", lambda raw: seen.append(sum(map(len, raw))) or streams(raw))
+    chunks = list(suffix_tree.scan(2, None, words=True)([pa.record_batch([pa.array(texts)], names=["text"])]))
+    assert sum(seen) == sum(map(len, texts)) and max(seen) <= suffix_tree.PIECE_BYTES
+    by = {kind: sum(int(c[2].sum()) for c in chunks if c[0] == kind) for kind in (suffix_tree.WORDS, suffix_tree.COUNTS)}
+    assert by == {suffix_tree.WORDS: 24 * 9001, suffix_tree.COUNTS: 24 * 9001}
+    for kind, *columns in chunks:
+        blocks = suffix_tree.blocks_of(kind, 0, columns)
+        assert max(b[2] for b in blocks) <= suffix_tree.ROWS_PER_BLOCK and sum(b[2] for b in blocks) == len(columns[0])
+        opened = list(suffix_tree.opened(suffix_tree.block_table(blocks), (np.uint64, np.int64, np.uint8)))
+        for i, want in enumerate(columns):
+            assert np.array_equal(np.concatenate([c[i] for _, c in opened]), want)
+
+
+@pytest.mark.parametrize("bits", [0, 5])
+def test_filters_by_range_know_their_keys(bits):
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 20_000, dtype=np.uint64))
+    rows = [suffix_tree.Slices.of(suffix_tree.KNOWN, name, keys[a:b], bits) for name, a, b in suffix_tree.ranges_of(keys, bits)]
+    known = suffix_tree.Slices(bits, suffix_tree.block_table(rows))
+    assert known(keys).all() and known(keys + np.uint64(1)).mean() < 0.01
+    places = suffix_tree.places_by_first_bits(keys[::2])(keys)
+    assert (places[::2] == np.arange(10_000)).all() and (places[1::2] == -1).all()
+
+
+def test_the_tree_stays_readable_after_scoring(spark, docs_of, monkeypatch):
+    tree = tree_of(spark, docs_of(["a b c d"] * 40 + ["x y z"] * 40), monkeypatch)
+    assert all(contexts.count() and passed.count() for contexts, passed in tree.tables[:1]) and tree.words.count() == 8
