@@ -51,14 +51,14 @@ OTHER, END = 0, 0xFFFF
 #: A context is tried where so many symbols follow it; a symbol passes with so many bits of gain.
 OFTEN, BITS = 2, 20.0
 DISCOUNT = 0.5
-KEYS_PER_TASK = 500_000
+KEYS_PER_TASK = 250_000
 #: Rows of a block, so that it stays below what the JVM's collector takes for a large object, and blocks that are handed over at once.
 ROWS_PER_BLOCK, BLOCKS_PER_BATCH = 16_384, 16
 ROWS_TO_PYTHON = 1024
 #: Runs that a task sorts at once for a join of blocks, and about as many as a range has there.
-KEYS_PER_DEAL = KEYS_PER_MEETING = 500_000
+KEYS_PER_DEAL = KEYS_PER_MEETING = 250_000
 #: Runs that are merged at once, and the fewest of a task that are worth a block.
-KEYS_PER_RANGE, KEYS_PER_BLOCK = 4_000_000, 64
+KEYS_PER_RANGE, KEYS_PER_BLOCK = 4_000_000, 16
 BYTES_PER_SYMBOL = 6
 #: Runs of texts, about, that meet the values of a range in one group.
 PAIRS_PER_RANGE = 2_000_000
