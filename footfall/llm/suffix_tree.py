@@ -654,6 +654,8 @@ def ranges_of(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
 RUNS, HEADS = 0, 1
 OF_RUNS, OF_HEADS = (U64, np.uint32, np.uint8, np.uint32), (U64, np.uint8, I64, I64, F64, F64, I64)
 SPLIT = "kind int, range long, row long, " + ", ".join(f"c{i} binary" for i in range(len(OF_HEADS)))
+#: Texts whose sums are added up in one group.
+ROW_BITS = 13
 SUMS = "row long, doc_id long, n_words long, x double, y double, k long"
 
 
@@ -725,6 +727,20 @@ def split_texts(texts: DataFrame, hot: pa.Table, known: Filter, bits: int) -> Da
     return texts.select("doc_id", "text").mapInArrow(split, SPLIT)
 
 
+def as_sums(sent: pa.Table, i: int) -> pa.RecordBatch:
+    """The rows of a block of heads."""
+    first, there, ids, *more = (unpacked(sent.column(f"c{j}")[i].as_py(), t) for j, t in enumerate(OF_HEADS))
+    names = [c.split()[0] for c in SUMS.split(", ")]
+    return pa.record_batch([signed(np.cumsum(first, dtype=U64)), pa.array(ids, mask=there == 0), *map(pa.array, more)], names=names)
+
+
+def summed_by_row(parts: list[pa.RecordBatch]) -> pa.Table:
+    kinds = [(c.split()[0], pa.float64() if c.endswith("double") else pa.int64()) for c in SUMS.split(", ")]
+    names = [c for c, _ in kinds]
+    table = pa.Table.from_batches(parts, pa.schema(kinds)).group_by("row").aggregate([("doc_id", "max"), *((c, "sum") for c in names[2:])])
+    return table.select(["row", "doc_id_max", *(f"{c}_sum" for c in names[2:])]).rename_columns(names)
+
+
 def looked_up(split: DataFrame, valued: DataFrame, bits: int, word_x: float, word_y: float) -> DataFrame:
     """(row, doc_id, n_words, x, y, k): the heads of ``split`` with what the blocks add to each text, by the values of ``valued``; words without a value have the two given.
 
@@ -737,13 +753,11 @@ def looked_up(split: DataFrame, valued: DataFrame, bits: int, word_x: float, wor
         keys, (x, y, k) = keys[order], (values.column(c).to_numpy()[order] for c in "xyk")
         out = []
         for i, (kind, base) in enumerate(zip(sent.column("kind").to_pylist(), sent.column("row").to_pylist())):
-            kinds = OF_RUNS if kind == RUNS else OF_HEADS
-            first, *rest = (unpacked(sent.column(f"c{j}")[i].as_py(), t) for j, t in enumerate(kinds))
-            first = np.cumsum(first, dtype=U64)
             if kind == HEADS:
-                there, ids, *more = rest
-                out.append(pa.record_batch([signed(first), pa.array(ids, mask=there == 0), *map(pa.array, more)], names=[c.split()[0] for c in SUMS.split(", ")]))
+                out.append(as_sums(sent, i))
                 continue
+            first, *rest = (unpacked(sent.column(f"c{j}")[i].as_py(), t) for j, t in enumerate(OF_RUNS))
+            first = np.cumsum(first, dtype=U64)
             own, word, f = rest
             at, here = found(keys, first)
             of = lambda v, other: np.where(here, v[at] if len(v) else 0, other) * f
@@ -753,16 +767,25 @@ def looked_up(split: DataFrame, valued: DataFrame, bits: int, word_x: float, wor
             n = len(rows)
             columns = [pa.array(rows + base), pa.nulls(n, pa.int64()), pa.array(np.zeros(n, np.int64)), *map(pa.array, sums[:2]), pa.array(np.rint(sums[2]).astype(np.int64))]
             out.append(pa.record_batch(columns, names=[c.split()[0] for c in SUMS.split(", ")]))
-        if not out:
-            return pa.table([pa.array([], pa.float64() if c.endswith("double") else pa.int64()) for c in SUMS.split(", ")], names=[c.split()[0] for c in SUMS.split(", ")])
-        # a text has many blocks' sums in a range, and one row in what is sent on
-        table = pa.Table.from_batches(out).group_by("row").aggregate([("doc_id", "max"), *((c, "sum") for c in ("n_words", "x", "y", "k"))])
-        return table.select(["row", "doc_id_max", "n_words_sum", "x_sum", "y_sum", "k_sum"]).rename_columns([c.split()[0] for c in SUMS.split(", ")])
+        # a text has many blocks' sums in a range, and one in what is sent on
+        table = summed_by_row(out).sort_by("row")
+        row, ids = table.column("row").to_numpy(), table.column("doc_id")
+        columns = [row.view(U64), ids.is_valid().to_numpy().astype(np.uint8), ids.fill_null(0).to_numpy(), *(table.column(c).to_numpy() for c in ("n_words", "x", "y", "k"))]
+        first = np.flatnonzero(np.diff(row >> ROW_BITS, prepend=-1)).tolist()
+        cells = []
+        for lo, hi in zip(first, [*first[1:], len(row)]):
+            head, *rest = (c[lo:hi] for c in columns)
+            cells.append((HEADS, int(row[lo]) >> ROW_BITS, int(row[lo]), packed(np.diff(head, prepend=U64(0))), *map(packed, rest)))
+        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * len(OF_HEADS)]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*cells) if cells else [()] * len(kinds), kinds)], names=[c.split()[0] for c in SPLIT.split(", ")])
+
+    def add_up(sent: pa.Table) -> pa.Table:
+        return summed_by_row([as_sums(sent, i) for i in range(sent.num_rows)])
 
     name = F.shiftrightunsigned("key", 64 - bits) if bits else F.lit(0).cast("long")
     left = valued.select(name.alias("range"), "key", "x", "y", "k").groupBy("range")
-    parts = left.cogroup(split.groupBy("range")).applyInArrow(look_up, SUMS)
-    return parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_words", "x", "y", "k")))
+    parts = left.cogroup(split.groupBy("range")).applyInArrow(look_up, SPLIT)
+    return parts.groupBy("range").applyInArrow(add_up, SUMS)
 
 
 @contextmanager
